@@ -125,14 +125,19 @@ def fact_from_records(records: DataFrame, source: str = "INE", prefix: str = "GT
     """
     label = sex_label(F.col(sex)) if sex_labels is SEX_LABELS else relabel(F.col(sex), sex_labels, default="Ambos")
     usable = records.filter(all_present(year, month, place))
-    keyed = classify_cause(usable, cause, "id_causa", rules).select(
-        cal.month_key_from_parts(F.col(year), F.col(month)).alias("id_tiempo_mes"),
-        F.concat(F.lit(prefix), F.col(place).cast("string")).alias("id_geografia"),
-        profile_key(label, band(F.col(age), cuts)).alias("id_perfil"),
-        "id_causa",
+    cells = (
+        classify_cause(usable, cause, "id_causa", rules)
+        .groupBy(
+            cal.month_key_from_parts(F.col(year), F.col(month)).alias("id_tiempo_mes"), F.col(place).alias("_place"),
+            label.alias("_sex"), band(F.col(age), cuts).alias("_band"), "id_causa",
+        )
+        .agg(F.count(F.lit(1)).alias(MEASURE))
+    )
+    # the longer keys are spelled out per cell, not per record
+    return cells.select(
+        "id_tiempo_mes", F.concat(F.lit(prefix), F.col("_place").cast("string")).alias("id_geografia"),
+        profile_key(F.col("_sex"), F.col("_band")).alias("id_perfil"), "id_causa", MEASURE, F.lit(source).alias("fuente"),
     )
-    counted = keyed.groupBy(*FACT_KEYS).agg(F.count(F.lit(1)).alias(MEASURE))
-    return counted.withColumn("fuente", F.lit(source)).select(*FACT_COLUMNS)
 
 
 def fact_from_series(series: DataFrame, places: dict[str, tuple[str, str]] = NATIONAL_SERIES, first_day: str = "2020-01-01",
@@ -142,16 +147,17 @@ def fact_from_series(series: DataFrame, places: dict[str, tuple[str, str]] = NAT
     ``places``: country -> (place key, source tag).  NaN and NULL days count 0;
     months that sum to 0 vanish.
     """
-    key = relabel(F.col(country), {c: k for c, (k, _) in places.items()}, default=F.lit(None))
-    tag = relabel(F.col(country), {c: s for c, (_, s) in places.items()}, default=F.lit(None))
     chosen = series.filter(F.col(country).isin(*places) & since_date(date, first_day))
-    keyed = chosen.select(
-        cal.month_key_of(cal.safe_date(F.col(date))).alias("id_tiempo_mes"),
-        key.alias("id_geografia"), tag.alias("fuente"), missing_to_zero(F.col(value)).alias("_v"),
+    monthly = chosen.groupBy(F.col(country).alias("_country"), F.trunc(cal.iso_date(F.col(date)), "month").alias("_month")).agg(
+        F.sum(missing_to_zero(F.col(value))).cast("long").alias(MEASURE)
+    )
+    key = relabel(F.col("_country"), {c: k for c, (k, _) in places.items()}, default=F.lit(None))
+    tag = relabel(F.col("_country"), {c: s for c, (_, s) in places.items()}, default=F.lit(None))
+    facts = monthly.select(
+        cal.month_key_of(F.col("_month")).alias("id_tiempo_mes"), key.alias("id_geografia"), F.lit(ALL_PROFILES).alias("id_perfil"),
+        F.lit(cause).alias("id_causa"), MEASURE, tag.alias("fuente"),
     )
-    summed = keyed.groupBy("id_tiempo_mes", "id_geografia", "fuente").agg(F.sum("_v").cast("long").alias(MEASURE))
-    fixed = summed.withColumns({"id_perfil": F.lit(ALL_PROFILES), "id_causa": F.lit(cause)})
-    return fixed.filter(measured(FACT_KEYS, MEASURE)).select(*FACT_COLUMNS)
+    return facts.filter(measured(FACT_KEYS, MEASURE))
 
 
 def context_fact(events: DataFrame, source: str = "RENAP", fold_accents: bool = False) -> DataFrame:

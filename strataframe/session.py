@@ -22,6 +22,9 @@ SCALE_SETTINGS = {
 }
 
 
+_APPLIED = "strataframe.settings.applied"
+
+
 def build_session(app_name: str = "strataframe", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the scale settings; cluster values come from spark-submit."""
     builder = SparkSession.builder.appName(app_name)
@@ -34,8 +37,9 @@ def build_session(app_name: str = "strataframe", master: str | None = None, **co
 
 def apply_scale_settings(spark: SparkSession) -> SparkSession:
     """Apply the scale settings to a running session."""
-    for key, value in SCALE_SETTINGS.items():
-        spark.conf.set(key, value)
+    if spark.conf.get(_APPLIED, None) != "true":
+        for key, value in {**SCALE_SETTINGS, _APPLIED: "true"}.items():
+            spark.conf.set(key, value)
     return spark
 
 

@@ -6,8 +6,11 @@ The star's detail source is ``A`` (line items), its national daily series are
 
 from __future__ import annotations
 
+from functools import cached_property, lru_cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from strataframe.functions.text import zero_padded
 from strataframe.plans import star as gold
@@ -25,8 +28,15 @@ FIRST_DAY = "1996-01-01"
 EVENT_COLUMNS = {"Nacimientos": "renap_nacimientos", "Matrimonios": "renap_matrimonios", "Divorcios": "renap_divorcios", "Adopciones": "renap_adopciones"}
 
 
+@lru_cache(maxsize=None)
+def _schema(path: str) -> StructType:
+    """The schema of one stored table; asked for once, as each inference is a job of its own."""
+    return SparkSession.active().read.parquet(path).schema
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return apply_scale_settings(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    return apply_scale_settings(spark).read.schema(_schema(path)).parquet(path)
 
 
 def parts_with_cause(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -165,13 +175,42 @@ def months(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.month_dimension_of(table(spark, sf_dir, "orders"), "o_orderdate", CUT)
 
 
-def star(spark: SparkSession, sf_dir: str) -> gold.Star:
-    """The lazy star over the driver's tables; each question reads only what it needs of it."""
-    return gold.Star(
-        dim_tiempo=months(spark, sf_dir),
-        dim_geografia=geography(spark, sf_dir),
-        dim_perfil=gold.profile_dimension(spark),
-        dim_causa_muerte=gold.cause_dimension(cause_names(spark, sf_dir)),
-        fact_mortalidad_unificada=gold.unified_fact([detail_fact(spark, sf_dir), series_fact(spark, sf_dir)], stamp=False),
-        fact_contexto_renap=context(spark, sf_dir),
-    )
+class DriverStar:
+    """The star over the driver's tables.  A table is planned when a question first asks for it."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._at = (spark, sf_dir)
+
+    @cached_property
+    def dim_tiempo(self) -> DataFrame:
+        return months(*self._at)
+
+    @cached_property
+    def dim_geografia(self) -> DataFrame:
+        return geography(*self._at)
+
+    @cached_property
+    def dim_perfil(self) -> DataFrame:
+        return gold.profile_dimension(self._at[0])
+
+    @cached_property
+    def dim_causa_muerte(self) -> DataFrame:
+        return gold.cause_dimension(cause_names(*self._at))
+
+    @cached_property
+    def fact_mortalidad_unificada(self) -> DataFrame:
+        return gold.unified_fact([detail_fact(*self._at), series_fact(*self._at)], stamp=False)
+
+    @cached_property
+    def fact_contexto_renap(self) -> DataFrame:
+        return context(*self._at)
+
+
+def star(spark: SparkSession, sf_dir: str) -> DriverStar:
+    return DriverStar(spark, sf_dir)
+
+
+def whole_star(spark: SparkSession, sf_dir: str) -> gold.Star:
+    """All six tables, e.g. to store them."""
+    lazy = star(spark, sf_dir)
+    return gold.Star(*[getattr(lazy, name) for name in gold.Star._fields])
