@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strataframe.functions.numeric import percent
@@ -74,9 +74,8 @@ def exact_quantiles(df: DataFrame, column: str, probabilities, by=(), slices: in
     )
     cuts = [i / slices for i in range(1, slices)]
     splits = counts.groupBy(*keys).agg(F.percentile_approx("_v", cuts, 10 * slices).alias("_splits"))
-    sliced = (
-        counts.join(splits, _null_safe(counts, splits, keys))
-        .select(*[counts[k] for k in keys], "_v", "_n", F.expr("size(filter(_splits, s -> s < _v))").alias("_slice"))
+    sliced = join_same(counts, splits, keys).select(
+        *keys, "_v", "_n", F.expr("size(filter(_splits, s -> s < _v))").alias("_slice")
     )
     totals = sliced.groupBy(*keys, "_slice").agg(F.sum("_n").alias("_total"))
     in_order = Window.partitionBy(*keys).orderBy("_slice")
@@ -98,10 +97,7 @@ def exact_quantiles(df: DataFrame, column: str, probabilities, by=(), slices: in
     hot = wanted.groupBy(*keys, "_slice").agg(
         F.first("_before").alias("_before"), F.collect_list(F.struct("_i", "_low", "_high", "_frac")).alias("_want")
     )
-    cond = _null_safe(sliced, hot, [*keys, "_slice"])
-    near = sliced.join(hot, cond).select(
-        *[sliced[k] for k in keys], sliced["_slice"], "_v", "_n", "_before", "_want"
-    )
+    near = join_same(sliced, hot, [*keys, "_slice"])
     rank = Window.partitionBy(*keys, "_slice").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranked = near.withColumn("_last", F.col("_before") + F.sum("_n").over(rank))
     ranked = ranked.withColumn("_first", F.col("_last") - F.col("_n") + 1).withColumn("_w", F.explode("_want"))
@@ -122,11 +118,13 @@ def exact_quantiles(df: DataFrame, column: str, probabilities, by=(), slices: in
     ).drop("_all")
 
 
-def _null_safe(left: DataFrame, right: DataFrame, keys) -> Column:
+def join_same(left: DataFrame, right: DataFrame, keys) -> DataFrame:
+    """Inner join on equal keys, NULL equal to NULL, keeping the left keys."""
+    renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
     condition = F.lit(True)
     for key in keys:
-        condition = condition & left[key].eqNullSafe(right[key])
-    return condition
+        condition = condition & F.col(key).eqNullSafe(F.col(f"_r_{key}"))
+    return left.join(renamed, condition).drop(*[f"_r_{k}" for k in keys])
 
 
 def pivot_sum(df: DataFrame, keys, column: str, values, measure: str, fill: int | None = 0) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from strataframe.functions.calendar import month_key_of
 from strataframe.functions.classify import five_year_group
 from strataframe.functions.numeric import percent, stable_gaussian
-from strataframe.operators.aggregate import exact_quantiles
+from strataframe.operators.aggregate import exact_quantiles, join_same
 from strataframe.session import broadcast_if_small, cut_lineage
 from strataframe.spec import PrivacyPolicy
 
@@ -169,7 +169,4 @@ def release_statistics(df: DataFrame, by, measure: str, minimum: int = MIN_GROUP
         F.round(F.var_samp(value), digits).alias("variance"),
     ).filter(F.col("n") >= minimum)
     median = exact_quantiles(df, measure, (0.5,), by=by).withColumn("median", F.round("q0", digits))
-    condition = F.lit(True)
-    for key in by:
-        condition = condition & stats[key].eqNullSafe(median[key])
-    return stats.join(median, condition).select(*[stats[c] for c in stats.columns], "median")
+    return join_same(stats, median.select(*by, "median"), by)

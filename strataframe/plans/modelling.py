@@ -85,12 +85,18 @@ class Fitted(NamedTuple):
 
 
 def _stages(numeric, categorical, scale: bool):
-    indexers = [StringIndexer(inputCol=c, outputCol=f"_ix_{c}", handleInvalid="keep", stringOrderType="alphabetAsc") for c in categorical]
-    encoders = [OneHotEncoder(inputCol=f"_ix_{c}", outputCol=f"_oh_{c}", dropLast=True, handleInvalid="keep") for c in categorical]
-    parts = [*numeric, *[f"_oh_{c}" for c in categorical]]
-    assembled = VectorAssembler(inputCols=parts, outputCol="_raw" if scale else "features")
-    scaler = [StandardScaler(inputCol="_raw", outputCol="features", withMean=True, withStd=True)] if scale else []
-    return [*indexers, *encoders, assembled, *scaler]
+    stages = []
+    if categorical:
+        indexed, encoded = [f"_ix_{c}" for c in categorical], [f"_oh_{c}" for c in categorical]
+        # one pass finds the labels of all descriptors
+        stages += [
+            StringIndexer(inputCols=list(categorical), outputCols=indexed, handleInvalid="keep", stringOrderType="alphabetAsc"),
+            OneHotEncoder(inputCols=indexed, outputCols=encoded, dropLast=True, handleInvalid="error"),
+        ]
+    stages.append(VectorAssembler(inputCols=[*numeric, *[f"_oh_{c}" for c in categorical]], outputCol="_raw" if scale else "features"))
+    if scale:
+        stages.append(StandardScaler(inputCol="_raw", outputCol="features", withMean=True, withStd=True))
+    return stages
 
 
 def fit(train: DataFrame, numeric, target: str, kind: str = "ridge", alpha: float = 1.0, categorical=(), scale: bool = True) -> Fitted:
@@ -98,7 +104,8 @@ def fit(train: DataFrame, numeric, target: str, kind: str = "ridge", alpha: floa
 
     Spark divides the loss by the row count and scales the label, hence
     ``regParam = alpha * stddev(target) / n`` for ridge and ``alpha`` for lasso.
-    Eager: fits, plus one aggregate for ridge.
+    Eager: fits, plus one aggregate for ridge.  Every pass reads ``train`` again,
+    so hand in a stored or checkpointed table.
     """
     if kind not in ("ridge", "lasso"):
         raise ValueError(f"unknown regression {kind!r}")
@@ -112,12 +119,11 @@ def fit(train: DataFrame, numeric, target: str, kind: str = "ridge", alpha: floa
     )
     model = Pipeline(stages=[*_stages(numeric, categorical, scale), regression]).fit(train)
     names = list(numeric)
-    indexers = [s for s in model.stages if hasattr(s, "labelsArray")]
-    for column, indexer in zip(categorical, indexers):
-        names += [f"{column}_{label}" for label in indexer.labelsArray[0]]
-    size = model.stages[-1].coefficients.size
-    names += [f"extra_{i}" for i in range(len(names), size)]
-    return Fitted(model, names[:size], target)
+    if categorical:
+        # handleInvalid="keep" adds one index for unseen labels, and dropLast removes it again
+        for column, labels in zip(categorical, model.stages[0].labelsArray):
+            names += [f"{column}_{label}" for label in labels]
+    return Fitted(model, names, target)
 
 
 def metrics(predictions: DataFrame, target: str, prediction: str = "prediction", digits: int = 4) -> DataFrame:

@@ -31,7 +31,9 @@ def ingest_available(stream: DataFrame, target: str, checkpoint: str, batch_id:
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     query = writer.trigger(availableNow=True).start(target)
-    if not query.awaitTermination(timeout):
+    if timeout is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout):
         query.stop()
         raise TimeoutError(f"ingest into {target} did not finish")
 
