@@ -77,12 +77,12 @@ def complementary_suppression(table: DataFrame, row: str, column: str, measure:
     pass.  ``total_exposed`` marks cells that are alone in a line: there the line
     total itself must stay unpublished.
     """
-    state = cut_lineage(table.select(row, column, measure, (F.col(measure) < minimum).alias("hidden")))
+    state = cut_lineage(table.select(row, column, measure, (F.col(measure) < minimum).alias("_hidden")))
     for _ in range(max_passes):
         for line, other in ((row, column), (column, row)):
             state = _hide_next(state, line, other, measure)
         state = cut_lineage(state)
-        exposed = [state.groupBy(line).agg(F.count_if("hidden").alias("h"), F.count(F.lit(1)).alias("c")).filter("h = 1 and c > 1")
+        exposed = [state.groupBy(line).agg(F.count_if("_hidden").alias("_h"), F.count(F.lit(1)).alias("_c")).filter("_h = 1 and _c > 1")
                    for line in (row, column)]
         if exposed[0].isEmpty() and exposed[1].isEmpty():
             break
@@ -91,18 +91,18 @@ def complementary_suppression(table: DataFrame, row: str, column: str, measure:
     alone = (F.count(F.lit(1)).over(Window.partitionBy(row)) == 1) | (F.count(F.lit(1)).over(Window.partitionBy(column)) == 1)
     return state.select(
         row, column,
-        F.when(~F.col("hidden"), F.col(measure)).alias(measure),
-        F.col("hidden").alias("suppressed"),
-        (F.col("hidden") & alone).alias("total_exposed"),
+        F.when(~F.col("_hidden"), F.col(measure)).alias(measure),
+        F.col("_hidden").alias("suppressed"),
+        (F.col("_hidden") & alone).alias("total_exposed"),
     )
 
 
 def _hide_next(state: DataFrame, line: str, other: str, measure: str) -> DataFrame:
-    hidden = F.count_if("hidden").over(Window.partitionBy(line))
-    rank = F.row_number().over(Window.partitionBy(line, "hidden").orderBy(measure, other))
+    hidden = F.count_if("_hidden").over(Window.partitionBy(line))
+    rank = F.row_number().over(Window.partitionBy(line, "_hidden").orderBy(measure, other))
     return (
         state.withColumns({"_h": hidden, "_r": rank})
-        .withColumn("hidden", F.col("hidden") | ((F.col("_h") == 1) & (F.col("_r") == 1)))
+        .withColumn("_hidden", F.col("_hidden") | ((F.col("_h") == 1) & (F.col("_r") == 1)))
         .drop("_h", "_r")
     )
 
