@@ -22,7 +22,7 @@ def contains_any(col: Column, fragments) -> Column:
 def slug(col: Column, keep_accents: bool = False) -> Column:
     """Words joined by underscores; other characters vanish ("Cólera" -> "clera" in ASCII form)."""
     letters = "a-zA-Z0-9áéíóúÁÉÍÓÚñÑ" if keep_accents else "a-zA-Z0-9"
-    kept = F.regexp_replace(col, rf"[^{letters}\s]", "")
+    kept = F.regexp_replace(col, rf"[^{letters}\s]+", "")
     return F.lower(F.regexp_replace(kept, r"\s+", "_"))
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strataframe.functions.numeric import percent
+from strataframe.session import broadcast_if_small, cut_lineage
 
 
 def null_profile(df: DataFrame) -> DataFrame:
@@ -57,65 +58,82 @@ def approx_quantiles(df: DataFrame, column: str, probabilities, accuracy: int =
     )
 
 
-def exact_quantiles(df: DataFrame, column: str, probabilities, by=(), slices: int = 64) -> DataFrame:
-    """Exact interpolated quantiles without gathering a group in one task.
+def exact_quantiles(df: DataFrame, column: str, probabilities, by=(), accuracy: int = 10_000, slices: int = 1024) -> DataFrame:
+    """Exact interpolated quantiles without shuffling the data or gathering a group.
 
-    Values collapse to (value, count) map-side.  A sketch cuts every group into
-    ``slices`` value ranges; only slice totals are accumulated in order, and only
-    the slices that hold a wanted rank are ranked row by row.
+    First pass (eager): a sketch per group brackets every wanted rank between two
+    values.  Second pass: bracket ends cut the value axis into zones.  Rows of a
+    zone outside all brackets are only counted; rows inside one collapse to (value,
+    count) within one of ``slices`` sub-ranges.  Both happen map-side.  Slice totals
+    are accumulated in order, and only the slices that hold a wanted rank are
+    ranked value by value.
     Matches ``percentile`` / ``quantile_cont``.  Result: ``by`` + q0, q1, ...
     """
-    keys = list(by) or ["_all"]
-    base = df.filter(F.col(column).isNotNull())
-    if not by:
-        base = base.withColumn("_all", F.lit(0))
-    counts = (
-        base.groupBy(*keys, F.col(column).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
-    )
-    cuts = [i / slices for i in range(1, slices)]
-    splits = counts.groupBy(*keys).agg(F.percentile_approx("_v", cuts, 10 * slices).alias("_splits"))
-    sliced = join_same(counts, splits, keys).select(
-        *keys, "_v", "_n", F.expr("size(filter(_splits, s -> s < _v))").alias("_slice")
-    )
-    totals = sliced.groupBy(*keys, "_slice").agg(F.sum("_n").alias("_total"))
-    in_order = Window.partitionBy(*keys).orderBy("_slice")
-    running = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = totals.select(
-        *keys, "_slice", "_total",
-        (F.sum("_total").over(running) - F.col("_total")).alias("_before"),
-        F.sum("_total").over(Window.partitionBy(*keys)).alias("_size"),
-    )
-    wanted = placed.withColumn(
-        "_p", F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p")) for i, p in enumerate(probabilities)]))
-    )
-    position = F.col("_p.p") * (F.col("_size") - 1)
-    wanted = wanted.withColumns({"_low": F.floor(position) + 1, "_high": F.ceil(position) + 1, "_frac": position - F.floor(position)})
-    touches = (F.col("_low").between(F.col("_before") + 1, F.col("_before") + F.col("_total"))) | (
-        F.col("_high").between(F.col("_before") + 1, F.col("_before") + F.col("_total"))
-    )
-    wanted = wanted.filter(touches).select(*keys, "_slice", "_before", "_low", "_high", "_frac", F.col("_p.i").alias("_i"))
-    hot = wanted.groupBy(*keys, "_slice").agg(
-        F.first("_before").alias("_before"), F.collect_list(F.struct("_i", "_low", "_high", "_frac")).alias("_want")
-    )
-    near = join_same(sliced, hot, [*keys, "_slice"])
-    rank = Window.partitionBy(*keys, "_slice").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = near.withColumn("_last", F.col("_before") + F.sum("_n").over(rank))
-    ranked = ranked.withColumn("_first", F.col("_last") - F.col("_n") + 1).withColumn("_w", F.explode("_want"))
-    holds_low = F.col("_w._low").between(F.col("_first"), F.col("_last"))
-    holds_high = F.col("_w._high").between(F.col("_first"), F.col("_last"))
-    per_quantile = (
-        ranked.filter(holds_low | holds_high)
-        .groupBy(*keys, F.col("_w._i").alias("_i"))
-        .agg(
-            F.max(F.when(holds_low, F.col("_v"))).alias("_vl"),
-            F.max(F.when(holds_high, F.col("_v"))).alias("_vh"),
-            F.first("_w._frac").alias("_frac"),
+    keys = list(by)
+    value = F.col(column).cast("double")
+    base = df.filter(F.col(column).isNotNull()).select(*keys, value.alias("_v"))
+    brackets = _brackets(base, keys, probabilities, accuracy)
+    bracketed = join_same(base, brackets, keys) if keys else base.withColumn("_b", brackets.select("_b").scalar())
+    v, zone, place = F.col("_v"), F.lit(0), None
+    for i in range(len(probabilities)):
+        low, high = F.col("_b")[i]["low"], F.col("_b")[i]["high"]
+        zone = zone + (v >= low).cast("int") + (v > high).cast("int")
+        spot = F.when(low < high, F.least(F.floor((v - low) / (high - low) * slices), F.lit(slices - 1))).otherwise(0)
+        inside = v.between(low, high)
+        place = F.when(inside, spot) if place is None else place.when(inside, spot)
+    pieces = (
+        bracketed.select(*keys, "_v", zone.alias("_zone"), place.alias("_place"))
+        .groupBy(
+            *keys, (F.col("_zone") * slices + F.coalesce("_place", F.lit(0))).alias("_s"),
+            F.when(F.col("_place").isNotNull(), v).alias("_v"),
         )
-        .withColumn("_q", F.col("_vl") + (F.col("_vh") - F.col("_vl")) * F.col("_frac"))
+        .agg(F.count(F.lit(1)).alias("_n"))
     )
+    totals = pieces.groupBy(*keys, "_s").agg(F.sum("_n").alias("_total"))
+    # one row per slice and group
+    earlier = Window.partitionBy(*keys).orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+    placed = totals.withColumn("_before", F.coalesce(F.sum("_total").over(earlier), F.lit(0)))
+    ranks = brackets.select(*keys, F.posexplode("_b").alias("_i", "_r")).select(*keys, "_i", "_r.first", "_r.second", "_r.frac")
+    holds = (F.col("first") <= F.col("_before") + F.col("_total")) & (F.col("second") > F.col("_before"))
+    wanted = join_same(placed, ranks, keys).filter(holds)
+    near = join_same(pieces, wanted, [*keys, "_s"])
+    rank = Window.partitionBy(*keys, "_i", "_s").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = near.withColumn("_last", F.col("_before") + F.sum("_n").over(rank)).withColumn("_first", F.col("_last") - F.col("_n") + 1)
+    per_quantile = ranked.groupBy(*keys, "_i").agg(
+        F.max(F.when(F.col("first").between(F.col("_first"), F.col("_last")), v)).alias("_lo"),
+        F.max(F.when(F.col("second").between(F.col("_first"), F.col("_last")), v)).alias("_hi"),
+        F.max("frac").alias("_f"),
+    ).withColumn("_q", F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_f"))
     return per_quantile.groupBy(*keys).agg(
         *[F.max(F.when(F.col("_i") == i, F.col("_q"))).alias(f"q{i}") for i in range(len(probabilities))]
-    ).drop("_all")
+    )
+
+
+def _brackets(base: DataFrame, keys, probabilities, accuracy: int) -> DataFrame:
+    """Per group and probability: the wanted ranks and two values that enclose them.
+
+    The sketch is off by at most n / accuracy ranks, so a margin of twice that on
+    either side is safe once it spans several rows; smaller groups are bracketed
+    by their extremes.
+    """
+    margin = 2.0 / accuracy
+    cuts = [c for p in probabilities for c in (max(0.0, p - margin), min(1.0, p + margin))]
+    sketch = base.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"),
+        F.percentile_approx("_v", cuts, accuracy).alias("_c"),
+    )
+    few = F.col("_n") <= 10 * accuracy
+    entries = []
+    for i, p in enumerate(probabilities):
+        position = F.lit(float(p)) * (F.col("_n") - 1)
+        low = F.col("_min") if p - margin <= 0 else F.when(few, F.col("_min")).otherwise(F.col("_c")[2 * i])
+        high = F.col("_max") if p + margin >= 1 else F.when(few, F.col("_max")).otherwise(F.col("_c")[2 * i + 1])
+        entries.append(F.struct(
+            low.alias("low"), high.alias("high"), (F.floor(position) + 1).alias("first"), (F.ceil(position) + 1).alias("second"),
+            (position - F.floor(position)).alias("frac"),
+        ))
+    stored = cut_lineage(sketch.select(*keys, F.array(*entries).alias("_b")))
+    return broadcast_if_small(stored) if keys else stored
 
 
 def join_same(left: DataFrame, right: DataFrame, keys) -> DataFrame:

@@ -241,7 +241,7 @@ _WIDE_ONLY = _FEATURES_B[len(CONTEXT) + 2:]
 
 
 def _line_a(spark, sf_dir):
-    return ml.simple_fit(_features_a(spark, sf_dir), "total_defunciones_renap", "cantidad_fallecidos")
+    return ml.simple_fit(cut_lineage(_features_a(spark, sf_dir)), "total_defunciones_renap", "cantidad_fallecidos")
 
 
 def _line_b(spark, sf_dir):
