@@ -17,7 +17,8 @@ from strataframe.plans import star as gold
 from strataframe.plans.analytics import Scope
 from strataframe.plans.silver import clean_deaths, events_by_month, unify_event_years
 from strataframe.operators.reshape import months_to_columns
-from strataframe.session import apply_scale_settings
+from strataframe.session import apply_scale_settings, scratch_path
+from strataframe.sources.sinks import GOLD_TABLES, read_gold, write_gold
 from strataframe.spec import SchemaPatch
 
 CUT = "1998-03"
@@ -206,11 +207,37 @@ class DriverStar:
         return context(*self._at)
 
 
-def star(spark: SparkSession, sf_dir: str) -> DriverStar:
+def raw_star(spark: SparkSession, sf_dir: str) -> DriverStar:
+    """The star planned from the raw tables."""
     return DriverStar(spark, sf_dir)
 
 
-def whole_star(spark: SparkSession, sf_dir: str) -> gold.Star:
-    """All six tables, e.g. to store them."""
-    lazy = star(spark, sf_dir)
-    return gold.Star(*[getattr(lazy, name) for name in gold.Star._fields])
+SOURCES = ("region", "nation", "customer", "part", "orders", "lineitem")
+_stored: dict[tuple, gold.Star] = {}
+
+
+def _inputs(spark: SparkSession, sf_dir: str) -> int:
+    """A digest of path, size and time of every source file (a listing, no content)."""
+    paths = [f"{sf_dir}/{name}.parquet" for name in SOURCES]
+    listed = spark.read.format("binaryFile").load(paths)
+    return listed.agg(F.sum(F.xxhash64("path", "length", "modificationTime") % 1_000_000_007)).first()[0]
+
+
+def star(spark: SparkSession, sf_dir: str) -> gold.Star:
+    """The stored gold layer, refreshed when a source file has changed.
+
+    Questions read the six gold tables, as they would in production, instead of
+    joining the raw tables each time.  The tables lie in the shared folder, belong
+    to this application and are written by whichever question comes first.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, _inputs(spark, sf_dir))
+    if key not in _stored:
+        _stored[key] = refresh(spark, sf_dir)
+    return _stored[key]
+
+
+def refresh(spark: SparkSession, sf_dir: str) -> gold.Star:
+    """Build and store the gold layer, and open what was stored."""
+    raw, folder = raw_star(spark, sf_dir), scratch_path(spark, "gold")
+    write_gold(raw, folder)
+    return read_gold(spark, folder, {name: getattr(raw, name).schema for name in GOLD_TABLES})

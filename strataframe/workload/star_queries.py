@@ -35,7 +35,7 @@ def dim_geography(spark, sf_dir):
 )
 def dim_profile_usage(spark, sf_dir):
     """Every member of the profile dimension with what the detail fact holds for it."""
-    used = ad.detail_fact(spark, sf_dir).groupBy("id_perfil").agg(F.sum(gold.MEASURE).alias("total"))
+    used = ad.star(spark, sf_dir).fact_mortalidad_unificada.filter("fuente = 'A'").groupBy("id_perfil").agg(F.sum(gold.MEASURE).alias("total"))
     return gold.profile_dimension(spark).join(used, "id_perfil", "left").fillna(0, ["total"])
 
 
@@ -64,7 +64,7 @@ def fact_context(spark, sf_dir):
 
 @query("fact_unified", with_star("SELECT * FROM fact", FACT))
 def fact_unified(spark, sf_dir):
-    return ad.star(spark, sf_dir).fact_mortalidad_unificada
+    return ad.raw_star(spark, sf_dir).fact_mortalidad_unificada
 
 
 @query(
@@ -434,5 +434,6 @@ def source_scale(spark, sf_dir):
     ),
 )
 def share_of_total_by_place(spark, sf_dir):
-    per = ad.detail_fact(spark, sf_dir).groupBy("id_geografia").agg(F.sum(gold.MEASURE).alias("total"))
+    facts = ad.star(spark, sf_dir).fact_mortalidad_unificada.filter("fuente = 'A'")
+    per = facts.groupBy("id_geografia").agg(F.sum(gold.MEASURE).alias("total"))
     return share_of_total(per, "total", "pct_total")
