@@ -45,6 +45,12 @@ def _months(alias: str = "meses_con_datos") -> Column:
     return F.countDistinct("id_tiempo_mes").alias(alias)
 
 
+def _mean(per_month: bool) -> Column:
+    """``promedio_mensual`` as published (mean of fact rows), or the true mean per month with data."""
+    monthly = F.round(F.try_divide(F.sum(MEASURE).cast("double"), F.countDistinct("id_tiempo_mes").cast("double")), 2)
+    return (monthly if per_month else rounded_mean(F.col(MEASURE))).alias("promedio_mensual")
+
+
 def _covid_facts(star: Star) -> DataFrame:
     flagged = star.dim_causa_muerte.filter("es_covid").select("id_causa")
     return star.fact_mortalidad_unificada.join(flagged, "id_causa")
@@ -80,14 +86,14 @@ def covid_detail(star: Star, scope: Scope = DEFAULT, limit: int = 100) -> DataFr
     return top.drop("mes")
 
 
-def bands_by_period(star: Star, scope: Scope = DEFAULT, sex: str = "Ambos") -> DataFrame:
-    """Age bands per period with their share of it.  ``promedio_mensual`` averages fact rows, as published."""
+def bands_by_period(star: Star, scope: Scope = DEFAULT, sex: str = "Ambos", per_month: bool = False) -> DataFrame:
+    """Age bands per period with their share of it."""
     facts = (
         _of(star.fact_mortalidad_unificada, scope.detail)
         .join(star.dim_perfil.filter((F.col("sexo") == sex) & (F.col("rango_edad") != "Todas")), "id_perfil")
         .join(star.dim_tiempo.select("id_tiempo_mes", "periodo"), "id_tiempo_mes")
     )
-    grouped = facts.groupBy("rango_edad", "periodo").agg(_months(), _sum("total_fallecidos"), rounded_mean(F.col(MEASURE)).alias("promedio_mensual"))
+    grouped = facts.groupBy("rango_edad", "periodo").agg(_months(), _sum("total_fallecidos"), _mean(per_month))
     return share_of_group(grouped, ["periodo"], "total_fallecidos", "porcentaje_del_periodo").orderBy("periodo", F.desc("total_fallecidos"), "rango_edad")
 
 
@@ -115,10 +121,10 @@ def natural_growth_by_year(star: Star, scope: Scope = DEFAULT, births: str = "Na
     )
 
 
-def top_covid_places(star: Star, scope: Scope = DEFAULT, limit: int = 10) -> DataFrame:
+def top_covid_places(star: Star, scope: Scope = DEFAULT, limit: int = 10, per_month: bool = False) -> DataFrame:
     local = star.dim_geografia.filter(~F.col("id_geografia").like("%-NA")).select("id_geografia", "nombre_departamento")
     grouped = _of(_covid_facts(star), scope.detail).join(local, "id_geografia").groupBy("nombre_departamento").agg(
-        _months(), _sum("total_fallecidos_covid"), rounded_mean(F.col(MEASURE)).alias("promedio_mensual"),
+        _months(), _sum("total_fallecidos_covid"), _mean(per_month),
         F.min("id_tiempo_mes").alias("primer_registro"), F.max("id_tiempo_mes").alias("ultimo_registro"),
     )
     return grouped.orderBy(F.desc("total_fallecidos_covid"), "nombre_departamento").limit(limit)
@@ -185,12 +191,12 @@ def year_on_year(star: Star, scope: Scope = DEFAULT) -> DataFrame:
     )
 
 
-def cause_ranking(star: Star, scope: Scope = DEFAULT, limit: int = 10) -> DataFrame:
+def cause_ranking(star: Star, scope: Scope = DEFAULT, limit: int = 10, per_month: bool = False) -> DataFrame:
     facts = _of(star.fact_mortalidad_unificada, scope.detail).join(
         star.dim_causa_muerte.select("id_causa", "categoria_general", "es_covid"), "id_causa"
     )
     grouped = facts.groupBy("categoria_general", "es_covid").agg(
-        _months("meses_registrados"), _sum("total_fallecidos"), rounded_mean(F.col(MEASURE)).alias("promedio_mensual")
+        _months("meses_registrados"), _sum("total_fallecidos"), _mean(per_month)
     )
     # at most one row per category and flag, so the one-partition window is a handful of rows
     total = F.sum("total_fallecidos").over(Window.partitionBy())

@@ -256,6 +256,15 @@ _question(
     "WHERE p.sexo = 'Ambos' AND p.rango_edad <> 'Todas' GROUP BY 1, 2",
     FACT_A, PROFILE, TIME,
 )
+_PER_MONTH = rounded("sum(f.cantidad_fallecidos) / CAST(count(DISTINCT f.id_tiempo_mes) AS DOUBLE)", 2)
+_question(
+    "q04_bands_by_period_per_month", an.bands_by_period,
+    f"SELECT p.rango_edad, t.periodo, count(DISTINCT f.id_tiempo_mes) AS meses_con_datos, {_SUM} AS total_fallecidos, {_PER_MONTH} AS promedio_mensual, "
+    f"{pct('sum(f.cantidad_fallecidos)', 'sum(sum(f.cantidad_fallecidos)) OVER (PARTITION BY t.periodo)')} AS porcentaje_del_periodo "
+    "FROM fact_a f JOIN dim_p p ON f.id_perfil = p.id_perfil JOIN dim_t t ON f.id_tiempo_mes = t.id_tiempo_mes "
+    "WHERE p.sexo = 'Hombre' AND p.rango_edad <> 'Todas' GROUP BY 1, 2",
+    FACT_A, PROFILE, TIME, sex="Hombre", per_month=True,
+)
 _question(
     "q05_natural_growth_by_year", an.natural_growth_by_year,
     f"""SELECT n.anio, b AS total_nacimientos, d AS total_defunciones, m AS total_matrimonios, b - d AS crecimiento_natural, {pct('b - d', 'b')} AS tasa_crecimiento_pct
