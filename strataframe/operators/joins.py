@@ -1,0 +1,55 @@
+"""Joins that measure their sides: broadcast when small, hot keys apart otherwise."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from strataframe.session import broadcast_if_small, is_small
+
+# A key above this share of the rows counts as hot.
+HOT_SHARE = 0.002
+
+
+def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list:
+    """Values of ``key`` with at least ``share`` of all rows.
+
+    Eager: one pass over one column with a mergeable frequent-items sketch, so
+    there is no shuffle of the keys.  At most ``1 / share`` values come back.
+    The list only steers a plan; results never depend on it.
+    """
+    limit = int(1 / share)
+    total, top = df.agg(F.count(key), F.expr(f"approx_top_k(`{key}`, {limit}, {max(10_000, 20 * limit)})")).first()
+    return [item["item"] for item in top or [] if item["item"] is not None and item["count"] >= share * total]
+
+
+def join_measured(left: DataFrame, right: DataFrame, left_key: str, right_key: str, how: str = "inner",
+                  profile: DataFrame | None = None, share: float = HOT_SHARE) -> DataFrame:
+    """Equi join (inner or left) of a large table with one of unknown size.
+
+    A small right side is broadcast.  Otherwise rows with a hot key are joined
+    apart from the rest: their few partners are broadcast, so no task receives a
+    hot key whole, and only the remaining rows are shuffled.  Rows without a key
+    never travel.  ``profile`` is a cheaper table with the same ``left_key``
+    column to look for hot keys in, e.g. the scan below earlier joins.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError(f"unsupported join {how!r}")
+    matches = F.col(left_key) == F.col(right_key)
+    if is_small(right):
+        return left.join(F.broadcast(right), matches, how)
+    hot = hot_keys(left if profile is None else profile, left_key, share)
+    if not hot:
+        return left.join(right, matches, how)
+    is_hot = F.col(left_key).isin(hot)
+    partners = broadcast_if_small(right.filter(F.col(right_key).isin(hot)))
+    parts = [
+        left.filter(is_hot).join(partners, matches, how),
+        left.filter(~is_hot).join(right.filter(~F.col(right_key).isin(hot)), matches, how),
+    ]
+    if how == "left":
+        parts.append(left.filter(F.col(left_key).isNull()))
+    joined = parts[0]
+    for part in parts[1:]:
+        joined = joined.unionByName(part, allowMissingColumns=True)
+    return joined

@@ -11,6 +11,7 @@ from strataframe.functions.naming import rename_all
 from strataframe.functions.numeric import sentinel_to_null
 from strataframe.functions.text import clean_upper, first_number, slug, strip_brackets, unquote
 from strataframe.operators.filters import non_negative
+from strataframe.operators.joins import join_measured
 from strataframe.operators.project import cast_columns, rename_present, with_processing_stamp
 from strataframe.operators.reshape import first_by, harmonise, months_to_rows, stack_tables
 from strataframe.operators.validate import Validated, remove_outliers, validate_all
@@ -119,12 +120,9 @@ def enrich_necropsies(records: DataFrame, municipalities: DataFrame, departments
     towns = municipalities.select(F.col("id").alias("_m"), F.col("nombre").alias("municipio_nombre"), F.col("departamento_id").alias("_d"))
     regions = departments.select(F.col("id").alias("_r"), F.col("nombre").alias("departamento_nombre"))
     reasons = causes.select(F.col("id").alias("_c"), F.col("nombre").alias("causa_muerte_nombre"))
-    joined = (
-        records.join(towns, F.col("municipio_id") == F.col("_m"), "left")
-        .join(regions, F.col("_d") == F.col("_r"), "left")
-        .join(reasons, F.col("causa_muerte_id") == F.col("_c"), "left")
-        .drop("_m", "_d", "_r", "_c")
-    )
+    placed = join_measured(records, towns, "municipio_id", "_m", "left")
+    named = join_measured(placed, regions, "_d", "_r", "left")
+    joined = join_measured(named, reasons, "causa_muerte_id", "_c", "left", profile=records).drop("_m", "_d", "_r", "_c")
     age = F.col("edad_numerica")
     return joined.withColumn("edad_numerica", first_number(F.col("edad"))).withColumns({
         "grupo_etario": band(age, AGE_GROUPS, missing=AGE_GROUPS[-1][1]),

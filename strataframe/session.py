@@ -73,16 +73,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 500_000, max_bytes: int = 64 << 20) -> DataFrame:
-    """Hint a broadcast only after measuring the table; otherwise leave the join to shuffle.
-
-    Eager: one bounded job that stops reading after ``max_rows + 1`` rows.
-    """
-    head = df.limit(max_rows + 1)
+def is_small(df: DataFrame, max_rows: int = 500_000, max_bytes: int = 64 << 20) -> bool:
+    """Whether a table fits a broadcast.  Eager: one job that stops after ``max_rows + 1`` rows."""
     size = F.lit(0)
     for field in df.schema.fields:
         kind = field.dataType.typeName()
         width = F.octet_length(F.col(f"`{field.name}`")) if kind in ("string", "binary") else F.lit(16)
         size = size + F.coalesce(width, F.lit(0))
-    rows, size_bytes = head.agg(F.count(F.lit(1)), F.coalesce(F.sum(size.cast("long")), F.lit(0))).first()
-    return F.broadcast(df) if rows <= max_rows and size_bytes <= max_bytes else df
+    rows, size_bytes = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(size.cast("long")), F.lit(0))).first()
+    return rows <= max_rows and size_bytes <= max_bytes
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = 500_000, max_bytes: int = 64 << 20) -> DataFrame:
+    """Hint a broadcast only after measuring the table; otherwise leave the join to shuffle."""
+    return F.broadcast(df) if is_small(df, max_rows, max_bytes) else df

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from strataframe.functions.text import zero_padded
+from strataframe.operators.joins import join_measured
 from strataframe.plans import star as gold
 from strataframe.plans.analytics import Scope
 from strataframe.plans.silver import clean_deaths, events_by_month, unify_event_years
@@ -64,13 +65,12 @@ def death_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     people = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-    return (
-        lines.join(parts_with_cause(spark, sf_dir), F.col("l_partkey") == F.col("p_partkey"))
-        .join(orders.join(people, F.col("o_custkey") == F.col("c_custkey")), F.col("l_orderkey") == F.col("o_orderkey"))
-        .select(
-            F.year("o_orderdate").alias("Añoreg"), F.month("o_orderdate").alias("Mesreg"),
-            F.col("c_nationkey").alias("Depocu"), sex.alias("Sexo"), age.alias("Edadif"), F.col("caudef").alias("Caudef"),
-        )
+    parts = parts_with_cause(spark, sf_dir)
+    described = join_measured(lines, parts, "l_partkey", "p_partkey")
+    placed = join_measured(orders, people, "o_custkey", "c_custkey")
+    return join_measured(described, placed, "l_orderkey", "o_orderkey", profile=lines).select(
+        F.year("o_orderdate").alias("Añoreg"), F.month("o_orderdate").alias("Mesreg"),
+        F.col("c_nationkey").alias("Depocu"), sex.alias("Sexo"), age.alias("Edadif"), F.col("caudef").alias("Caudef"),
     )
 
 
@@ -81,8 +81,9 @@ def daily_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     places = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", "r_name")
     people = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    residents = people.join(places, F.col("c_nationkey") == F.col("n_nationkey"))
     return (
-        orders.join(people.join(places, F.col("c_nationkey") == F.col("n_nationkey")), F.col("o_custkey") == F.col("c_custkey"))
+        join_measured(orders, residents, "o_custkey", "c_custkey")
         .select(F.date_format("o_orderdate", "yyyy-MM-dd").alias("date_reported"), F.col("r_name").alias("country"), value.alias("new_deaths"))
     )
 

@@ -23,6 +23,22 @@ def ints(spark, values, name="x"):
     return literal_rows(spark, [(v,) for v in values], f"{name} long")
 
 
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_hot_keys_are_joined_apart_with_the_same_result(spark, monkeypatch, how):
+    from strataframe.operators import joins
+
+    rng = random.Random(4)
+    # a third of the rows share one key, some have none
+    data = [(1, i) for i in range(1000)] + [(rng.randrange(2, 1500), i) for i in range(2000)] + [(None, i) for i in range(50)]
+    left = literal_rows(spark, data, "k long, n long").repartition(8)
+    right = literal_rows(spark, [(i, f"v{i}") for i in range(0, 1500, 1)][1:1400] + [(1, "twin"), (None, "none")], "id long, v string")
+    expected = rows(left.join(right, left.k == right.id, how))
+    assert joins.hot_keys(left, "k", 0.2) == [1]
+    monkeypatch.setattr(joins, "is_small", lambda df: False)
+    apart = joins.join_measured(left, right, "k", "id", how, share=0.2)
+    assert apart.columns == ["k", "n", "id", "v"] and rows(apart) == expected
+
+
 def test_validate_codes(spark):
     df, dim = ints(spark, [1, 2, 7, None]), ints(spark, [1, 2, 2], "code")
     kept, rejects = dq.validate_codes(df, "x", dim, critical=True)
