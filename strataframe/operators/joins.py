@@ -24,19 +24,20 @@ def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list:
 
 
 def join_measured(left: DataFrame, right: DataFrame, left_key: str, right_key: str, how: str = "inner",
-                  profile: DataFrame | None = None, share: float = HOT_SHARE) -> DataFrame:
+                  profile: DataFrame | None = None, bound: DataFrame | None = None, share: float = HOT_SHARE) -> DataFrame:
     """Equi join (inner or left) of a large table with one of unknown size.
 
     A small right side is broadcast.  Otherwise rows with a hot key are joined
     apart from the rest: their few partners are broadcast, so no task receives a
     hot key whole, and only the remaining rows are shuffled.  Rows without a key
     never travel.  ``profile`` is a cheaper table with the same ``left_key``
-    column to look for hot keys in, e.g. the scan below earlier joins.
+    column to look for hot keys in, e.g. the scan below earlier joins; ``bound`` is
+    a cheaper table with at least as many rows as ``right``, to measure instead.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"unsupported join {how!r}")
     matches = F.col(left_key) == F.col(right_key)
-    if is_small(right):
+    if (bound is None or is_small(bound)) and is_small(right):
         return left.join(F.broadcast(right), matches, how)
     hot = hot_keys(left if profile is None else profile, left_key, share)
     if not hot:

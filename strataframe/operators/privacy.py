@@ -7,7 +7,7 @@ at most as many rows per group as the published categories allow.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strataframe.functions.calendar import month_key_of
@@ -15,6 +15,7 @@ from strataframe.functions.classify import five_year_group
 from strataframe.functions.numeric import percent, stable_gaussian
 from strataframe.operators.aggregate import exact_quantiles, join_same
 from strataframe.session import broadcast_if_small, cut_lineage
+from strataframe.sources.tables import literal_rows
 from strataframe.spec import PrivacyPolicy
 
 # Thresholds of the written policy.
@@ -33,6 +34,17 @@ POLICIES = {
 }
 
 
+def policy_catalogue(spark: SparkSession, policies: dict[str, PrivacyPolicy] = POLICIES) -> DataFrame:
+    """One row per table and treated column: sensitivity and action."""
+    rows = [
+        (p.table, p.sensitivity, column, action)
+        for p in policies.values()
+        for action, columns in (("drop", p.drop), ("month", p.months), ("age group", p.age_groups))
+        for column in columns
+    ]
+    return literal_rows(spark, rows, "table_name string, sensitivity string, column_name string, action string")
+
+
 def apply_policy(df: DataFrame, policy: PrivacyPolicy) -> DataFrame:
     """Drop identifiers, cut dates to months and ages to five-year groups."""
     safe = df.drop(*policy.drop)

@@ -66,9 +66,9 @@ def death_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     people = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     parts = parts_with_cause(spark, sf_dir)
-    described = join_measured(lines, parts, "l_partkey", "p_partkey")
+    described = join_measured(lines, parts, "l_partkey", "p_partkey", bound=table(spark, sf_dir, "part").select("p_partkey"))
     placed = join_measured(orders, people, "o_custkey", "c_custkey")
-    return join_measured(described, placed, "l_orderkey", "o_orderkey", profile=lines).select(
+    return join_measured(described, placed, "l_orderkey", "o_orderkey", profile=lines, bound=orders).select(
         F.year("o_orderdate").alias("Añoreg"), F.month("o_orderdate").alias("Mesreg"),
         F.col("c_nationkey").alias("Depocu"), sex.alias("Sexo"), age.alias("Edadif"), F.col("caudef").alias("Caudef"),
     )
@@ -83,7 +83,7 @@ def daily_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     residents = people.join(places, F.col("c_nationkey") == F.col("n_nationkey"))
     return (
-        join_measured(orders, residents, "o_custkey", "c_custkey")
+        join_measured(orders, residents, "o_custkey", "c_custkey", bound=people)
         .select(F.date_format("o_orderdate", "yyyy-MM-dd").alias("date_reported"), F.col("r_name").alias("country"), value.alias("new_deaths"))
     )
 

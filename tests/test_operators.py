@@ -34,7 +34,7 @@ def test_hot_keys_are_joined_apart_with_the_same_result(spark, monkeypatch, how)
     right = literal_rows(spark, [(i, f"v{i}") for i in range(0, 1500, 1)][1:1400] + [(1, "twin"), (None, "none")], "id long, v string")
     expected = rows(left.join(right, left.k == right.id, how))
     assert joins.hot_keys(left, "k", 0.2) == [1]
-    monkeypatch.setattr(joins, "is_small", lambda df: False)
+    monkeypatch.setattr(joins, "is_small", lambda *_: False)
     apart = joins.join_measured(left, right, "k", "id", how, share=0.2)
     assert apart.columns == ["k", "n", "id", "v"] and rows(apart) == expected
 
@@ -131,6 +131,7 @@ def test_policy(spark):
     df = literal_rows(spark, [("x1", 7, "43 años")], "numero_correlativo string, dia int, edad string")
     safe = pv.apply_policy(df.withColumn("edad", F.lit("43")), pv.POLICIES["inacif_necropsias"])
     assert rows(safe) == [("40-44",)]
+    assert ("ine_deaths", "high", "diaocu", "drop") in rows(pv.policy_catalogue(spark))
     dated = literal_rows(spark, [("2020-05-17",)], "d string").withColumn("d", F.col("d").cast("date"))
     assert rows(pv.apply_policy(dated, PrivacyPolicy("t", months=("d",)))) == [("2020-05",)]
 
