@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from strataframe.functions.numeric import percent
 from strataframe.operators.aggregate import approx_quantiles, exact_quantiles
+from strataframe.operators.joins import join_measured
 from strataframe.operators.reshape import stack_tables
-from strataframe.session import broadcast_if_small
+from strataframe.session import broadcast_if_small, is_small
 from strataframe.spec import CodeCheck, RowRule
 
 
@@ -24,25 +25,37 @@ class Validated(NamedTuple):
     report: DataFrame
 
 
-def _codes(catalogue: DataFrame, code: str) -> DataFrame:
-    return broadcast_if_small(catalogue.select(F.col(code).alias("_code")).filter("_code is not null").distinct())
+class _Codes(NamedTuple):
+    codes: DataFrame
+    small: bool
+
+
+def _codes(catalogue: DataFrame, code: str) -> _Codes:
+    """Distinct codes, measured once."""
+    codes = catalogue.select(F.col(code).alias("_code")).filter("_code is not null").distinct()
+    return _Codes(codes, is_small(codes))
+
+
+def _look_up(df: DataFrame, column: str, known: _Codes, name: str, profile: DataFrame) -> DataFrame:
+    """Add ``name``: the code found for ``column`` or NULL.  Codes are distinct, so no row multiplies."""
+    side = known.codes.select(F.col("_code").alias(name))
+    if known.small:
+        return df.join(F.broadcast(side), F.col(column) == F.col(name), "left")
+    return join_measured(df, side, column, name, "left", profile=profile)
 
 
 def validate_codes(df: DataFrame, column: str, catalogue: DataFrame, code: str = "code", critical: bool = False):
     """(kept, rejects) for one column.
 
-    Critical: rows with an unknown or missing code are dropped (a semi join, so a
-    code listed twice does not multiply rows).  Otherwise the code becomes NULL.
+    Critical: rows with an unknown or missing code are dropped, and a code listed
+    twice does not multiply rows.  Otherwise the code becomes NULL.
     """
-    codes = _codes(catalogue, code)
-    rejects = df.join(codes, df[column] == codes["_code"], "left_anti")
+    flagged = _look_up(df, column, _codes(catalogue, code), "_found", df)
+    found = F.col("_found").isNotNull()
+    rejects = flagged.filter(~found).select(*df.columns)
     if critical:
-        return df.join(codes, df[column] == codes["_code"], "left_semi"), rejects
-    joined = df.join(codes, df[column] == codes["_code"], "left")
-    kept = joined.select(
-        *[F.when(F.col("_code").isNotNull(), df[c]).alias(c) if c == column else df[c] for c in df.columns]
-    )
-    return kept, rejects
+        return flagged.filter(found).select(*df.columns), rejects
+    return flagged.select(*[F.when(found, F.col(c)).alias(c) if c == column else F.col(c) for c in df.columns]), rejects
 
 
 def validate_all(df: DataFrame, checks: list[CodeCheck], catalogues: dict[str, DataFrame]) -> Validated:
@@ -51,14 +64,13 @@ def validate_all(df: DataFrame, checks: list[CodeCheck], catalogues: dict[str, D
     A check only sees the rows that earlier critical checks let through, and its
     report counts those rows.
     """
-    code_sets: dict[tuple, DataFrame] = {}
+    code_sets: dict[tuple, _Codes] = {}
     flagged = df
     for i, check in enumerate(checks):
         ref = (check.catalogue, check.code)
         if ref not in code_sets:
             code_sets[ref] = _codes(catalogues[check.catalogue], check.code)
-        side = code_sets[ref].select(F.col("_code").alias(f"_code{i}"))
-        flagged = flagged.join(side, F.col(check.column) == F.col(f"_code{i}"), "left")
+        flagged = _look_up(flagged, check.column, code_sets[ref], f"_code{i}", df)
     flagged = flagged.select(
         *[F.col(c) for c in df.columns], *[F.col(f"_code{i}").isNotNull().alias(f"_ok{i}") for i in range(len(checks))]
     )

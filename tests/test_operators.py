@@ -56,11 +56,19 @@ def test_validate_all_is_the_same_in_one_pass(spark):
     assert [tuple(r) for r in result.report.collect()] == [(1, "a", True, 5, 2, 40.0), (2, "b", False, 3, 1, 33.33)]
 
 
-def test_shuffled_validation_equals_broadcast(spark, monkeypatch):
-    df, dim = ints(spark, [1] * 50 + [2, 7, None]), ints(spark, [1, 2, 2], "code")
-    monkeypatch.setattr(dq, "broadcast_if_small", lambda d: broadcast_if_small(d, max_rows=0))
-    kept, _ = dq.validate_codes(df, "x", dim, critical=True)
-    assert kept.count() == 51
+def test_validation_beyond_a_broadcast(spark, monkeypatch):
+    """With catalogues too large to broadcast, hot and missing codes take their own way."""
+    from strataframe.operators import joins
+
+    df, dim = ints(spark, [1] * 50 + [2, 7, None, None]), ints(spark, [1, 2, 2], "code")
+    small = dq.validate_all(df, [CodeCheck("x", "c", critical=True)], {"c": dim})
+    expected = [rows(part) for part in small]
+    monkeypatch.setattr(dq, "is_small", lambda *_: False)
+    monkeypatch.setattr(joins, "is_small", lambda *_: False)
+    large = dq.validate_all(df, [CodeCheck("x", "c", critical=True)], {"c": dim})
+    assert [rows(part) for part in large] == expected
+    kept, rejects = dq.validate_codes(df, "x", dim, critical=True)
+    assert kept.count() == 51 and rejects.count() == 3
 
 
 def test_outliers(spark):
