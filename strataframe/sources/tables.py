@@ -106,9 +106,9 @@ def metadata_records(spark: SparkSession, specs: list[TableSpec]) -> DataFrame:
 
 
 def month_rows(spark: SparkSession, first_year: int, last_year: int) -> DataFrame:
-    """Cross join of years and months: (anio, mes)."""
-    years = spark.range(first_year, last_year + 1).select(F.col("id").alias("anio"))
-    return years.crossJoin(spark.range(1, 13).select(F.col("id").alias("mes")))
+    """Every year of the range with each of its twelve months: (anio, mes)."""
+    twelve = F.sequence(F.lit(1).cast("long"), F.lit(12).cast("long"))
+    return spark.range(first_year, last_year + 1).select(F.col("id").alias("anio"), F.explode(twelve).alias("mes"))
 
 
 def sample_rows(df: DataFrame, n: int = 10) -> DataFrame:

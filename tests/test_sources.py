@@ -95,6 +95,19 @@ def test_sinks(spark, tmp_path):
     assert rows(sinks.row_counts({"a": df, "b": df.limit(3)})) == [("a", 100), ("b", 3)]
 
 
+def test_catalogue_table(spark):
+    sinks.drop_table(spark, "strata_things")
+    try:
+        sinks.overwrite_table(spark.range(3), "strata_things", "Things, the owner's", {"quality": "bronze"})
+        sinks.overwrite_table(spark.range(2).withColumn("b", F.lit("x")), "strata_things", "Things", {"quality": "silver"})
+        assert tables.read_table(spark, "strata_things").columns == ["id", "b"]
+        described = {r.col_name: r.data_type for r in spark.sql("DESCRIBE TABLE EXTENDED strata_things").collect()}
+        assert described["Comment"] == "Things" and "quality=silver" in described["Table Properties"]
+    finally:
+        sinks.drop_table(spark, "strata_things")
+    assert not spark.catalog.tableExists("strata_things")
+
+
 def test_stream_is_incremental(spark, tmp_path):
     source, target, mark = (str(tmp_path / n) for n in ("in", "out", "mark"))
     spark.range(10).write.parquet(source)
