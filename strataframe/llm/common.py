@@ -27,6 +27,15 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_staged(*tables: DataFrame) -> None:
+    """Remove staged tables that nothing reads any more, so the shared folder holds only what is needed."""
+    for df in tables:
+        spark = df.sparkSession
+        for file in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(file)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def words_of(text: Column) -> Column:
     """The words between ASCII white space, in order; null and blank texts have none."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), f"[{SPACE}]+"), "")

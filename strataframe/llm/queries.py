@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from strataframe.llm.common import table
+from strataframe.llm.jaccard import jaccard_components
 from strataframe.llm.quality import quality_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,3 +29,9 @@ def query(name: str, check: str | None = None):
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words, symbols, repeats, base verdict and the verdict of the robust outlier test."""
     return quality_rules(table(spark, sf_dir, "documents"), "doc_id")
+
+
+@query("op5_ngram_jaccard_join")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Set size and component of every document under four-word shingles and a Jaccard similarity of 0.85."""
+    return jaccard_components(table(spark, sf_dir, "documents"))
