@@ -17,6 +17,7 @@ SPACE = r"\x20\x09-\x0D"
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     apply_scale_settings(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "16m")  # long texts must not pile up in one batch
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

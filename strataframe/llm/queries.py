@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from strataframe.llm.bpe import encode_documents
 from strataframe.llm.common import table
 from strataframe.llm.jaccard import jaccard_components
 from strataframe.llm.quality import quality_rules
@@ -35,3 +38,14 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Set size and component of every document under four-word shingles and a Jaccard similarity of 0.85."""
     return jaccard_components(table(spark, sf_dir, "documents"))
+
+
+@query("op7_byte_bpe")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts and digests of the ids of every document and of the bytes decoded from them."""
+    vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    encoded = encode_documents(table(spark, sf_dir, "documents"), "doc_id", vocabulary=vocabulary, pattern=public_tokenizers.PATTERN)
+    return encoded.select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
