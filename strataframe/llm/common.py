@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from strataframe.session import apply_scale_settings, scratch_path
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 SPACE = r"\x20\x09-\x0D"
 
 
@@ -23,8 +24,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def staged(df: DataFrame, name: str) -> DataFrame:
     """The rows written to the shared folder and read again: later passes neither repeat the work nor its choices."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")  # the shuffles below it serve nothing else
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -69,14 +75,14 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def window_hashes(words: np.ndarray, width: int) -> np.ndarray:
-    """A hash of every run of ``width`` consecutive word hashes."""
-    n = len(words) - width + 1
+def window_hashes(words: np.ndarray, width: int, step: int = 1) -> np.ndarray:
+    """A hash of every run of ``width`` hashes that lie ``step`` places apart."""
+    n = len(words) - step * (width - 1)
     if n <= 0:
         return np.zeros(0, np.uint64)
     out = np.zeros(n, np.uint64)
     for i in range(width):
-        out = mixed(out + words[i : i + n] + np.uint64(i + 1))
+        out = mixed(out + words[i * step : i * step + n] + np.uint64(i + 1))
     return out
 
 

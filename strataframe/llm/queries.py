@@ -12,6 +12,7 @@ from strataframe.llm.bpe import encode_documents
 from strataframe.llm.common import table
 from strataframe.llm.jaccard import jaccard_components
 from strataframe.llm.quality import quality_rules
+from strataframe.llm.substrings import substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -49,3 +50,9 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query("op10_substring_dedup")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document, words lost to repeats of 50 words or more, and the digest of those left."""
+    return substring_dedup(table(spark, sf_dir, "documents")).drop("left_text")
