@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from strataframe.llm.bpe import encode_documents
 from strataframe.llm.common import table
 from strataframe.llm.jaccard import jaccard_components
+from strataframe.llm.mixing import mixed_sizes
 from strataframe.llm.quality import quality_rules
 from strataframe.llm.substrings import substring_dedup
 
@@ -56,3 +57,9 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document, words lost to repeats of 50 words or more, and the digest of those left."""
     return substring_dedup(table(spark, sf_dir, "documents")).drop("left_text")
+
+
+@query("op4_mixing")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document, with the size and target of its source."""
+    return mixed_sizes(table(spark, sf_dir, "documents"))
