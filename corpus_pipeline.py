@@ -4,15 +4,60 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from strataframe.llm.bpe import encode_documents
 from strataframe.llm.common import staged, table
+from strataframe.llm.jaccard import jaccard_components
+from strataframe.llm.mixing import mixed_documents
 from strataframe.llm.quality import quality_rules
+from strataframe.llm.secret_scan import redacted
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
-STAGES: list[tuple[str, Stage]] = []
+VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the base rules and are no outliers of their language and source."""
+    return quality_rules(docs, "doc_id", "text", "n_chars").filter("kept").select(*COLUMNS)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of linked ones, the one with the smallest doc_id; equal rows count once."""
+    groups = jaccard_components(docs)
+    gone = groups.filter("doc_id <> component_id").select("doc_id").distinct()
+    left = docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    repeats = groups.groupBy("doc_id").count().filter("count > 1 and doc_id is not null")
+    return left if repeats.isEmpty() else left.dropDuplicates(["doc_id", "text"])
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, their secrets replaced by a mark."""
+    return redacted(docs.select(*COLUMNS))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The passes over documents that the mix takes; a document may come more than once."""
+    return mixed_documents(docs.select(*COLUMNS))
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Packed token ids of every pass, with their number and the digest of the bytes decoded from them."""
+    encoded = encode_documents(docs, "doc_id", "source", vocabulary=VOCABULARY, pattern=public_tokenizers.PATTERN)
+    return encoded.select("doc_id", "source", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality rules", keep_quality),
+    ("n-gram Jaccard join", drop_near_duplicates),
+    ("secret scans", redact_secrets),
+    ("mixing sources", mix_sources),
+    ("byte-level BPE", encode),
+]
 
 # the outlier fits are iterative and the forest is trained, so no SQL gives these rows
 ORACLE_SQL = None
@@ -22,5 +67,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents; each one's rows are written and read again before the next."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = staged(stage(spark, docs, sf_dir), name)
+        docs = staged(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return docs

@@ -204,7 +204,7 @@ def quality_rules(docs: DataFrame, *carry: str, min_rows: int = 200, c_steps: in
     distance = F.when(~F.col("base_failed"), F.round(_distance(), 6))
     out = chosen.select(*rows.columns, distance.alias("distance"))
     return out.select(
-        *carry, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+        *carry, "lang", "source", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         (~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= limit)).alias("kept"), "distance",
         *[f"x{i}" for i in range(D)],
     )

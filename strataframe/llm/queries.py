@@ -13,6 +13,7 @@ from strataframe.llm.common import table
 from strataframe.llm.jaccard import jaccard_components
 from strataframe.llm.mixing import mixed_sizes
 from strataframe.llm.quality import quality_rules
+from strataframe.llm.secret_scan import scan
 from strataframe.llm.substrings import substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,3 +64,9 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document, with the size and target of its source."""
     return mixed_sizes(table(spark, sf_dir, "documents"))
+
+
+@query("op8_secret_scan")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every candidate of every document with the forest's score and verdict; offsets count code points."""
+    return scan(table(spark, sf_dir, "documents"), "doc_id")
