@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from strataframe.llm.bpe import encode_documents
 from strataframe.llm.common import table
 from strataframe.llm.jaccard import jaccard_components
+from strataframe.llm.licenses import license_scan
 from strataframe.llm.mixing import mixed_sizes
 from strataframe.llm.quality import quality_rules
 from strataframe.llm.secret_scan import scan
@@ -70,3 +71,9 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every candidate of every document with the forest's score and verdict; offsets count code points."""
     return scan(table(spark, sf_dir, "documents"), "doc_id")
+
+
+@query("op3_license_scan")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base places and labels of every document, and the labels of templates found by rare words."""
+    return license_scan(table(spark, sf_dir, "documents"), "doc_id")
