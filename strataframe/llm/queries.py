@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from strataframe.llm.bpe import encode_documents
 from strataframe.llm.common import table
+from strataframe.llm.html_text import extract_pages
 from strataframe.llm.jaccard import jaccard_components
 from strataframe.llm.licenses import license_scan
 from strataframe.llm.mixing import mixed_sizes
@@ -77,3 +78,9 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base places and labels of every document, and the labels of templates found by rare words."""
     return license_scan(table(spark, sf_dir, "documents"), "doc_id")
+
+
+@query("op1_html_extraction")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return extract_pages(table(spark, sf_dir, "pages"), "page_id", "url")
