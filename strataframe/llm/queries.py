@@ -12,6 +12,7 @@ from strataframe.llm.bpe import encode_documents
 from strataframe.llm.common import table
 from strataframe.llm.html_text import extract_pages
 from strataframe.llm.jaccard import jaccard_components
+from strataframe.llm.language_id import identify
 from strataframe.llm.licenses import license_scan
 from strataframe.llm.mixing import mixed_sizes
 from strataframe.llm.quality import quality_rules
@@ -84,3 +85,9 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return extract_pages(table(spark, sf_dir, "pages"), "page_id", "url")
+
+
+@query("op2_language_id")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document; learned from four of five documents."""
+    return identify(table(spark, sf_dir, "documents"))
