@@ -15,6 +15,7 @@ from strataframe.llm.jaccard import jaccard_components
 from strataframe.llm.language_id import identify
 from strataframe.llm.licenses import license_scan
 from strataframe.llm.mixing import mixed_sizes
+from strataframe.llm.neighbours import nearest
 from strataframe.llm.quality import quality_rules
 from strataframe.llm.secret_scan import scan
 from strataframe.llm.substrings import substring_dedup
@@ -91,3 +92,10 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document; learned from four of five documents."""
     return identify(table(spark, sf_dir, "documents"))
+
+
+@query("op6_nearest_neighbours")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five nearest vectors by cosine of every vector whose id is divisible by 50."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return nearest(vectors, vectors.filter("vec_id % 50 = 0"))
