@@ -7,29 +7,48 @@ from __future__ import annotations
 
 import csv
 import io
+from typing import NamedTuple
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strataframe.functions.naming import drop_matching, rename_all
 from strataframe.functions.text import base_name, without_extension, year_in_name
+from strataframe.operators.reshape import stack_tables
 from strataframe.spec import SourceSpec
 
-# Files above this size are read line by line across tasks instead of whole.
-WHOLE_FILE_LIMIT = 64 << 20
 COPYRIGHT_COLUMN = "^<!___copyright_"
 
 
+BAD_RECORD = "_bad_record"
+
+
 def read_csv(spark: SparkSession, path, schema: str | None = None, drop_malformed: bool = False) -> DataFrame:
-    """CSV with a header.  Pass a schema at scale: inferring types reads the data twice."""
+    """CSV with a header.  Pass a schema at scale: inferring types reads the data twice.
+
+    ``drop_malformed`` leaves out records that do not fit the schema; which ones does not depend
+    on the columns used later, since every record is parsed whole.  See :func:`csv_rejects`.
+    """
+    if drop_malformed and schema:
+        return _checked_csv(spark, path, schema).filter(F.col(BAD_RECORD).isNull()).drop(BAD_RECORD)
     reader = spark.read.option("header", True)
-    if drop_malformed:
-        reader = reader.option("mode", "DROPMALFORMED")
     reader = reader.schema(schema) if schema else reader.option("inferSchema", True)
     return reader.csv(path)
 
 
+def csv_rejects(spark: SparkSession, path, schema: str) -> DataFrame:
+    """The records that ``read_csv(..., drop_malformed=True)`` leaves out, as text."""
+    return _checked_csv(spark, path, schema).filter(F.col(BAD_RECORD).isNotNull()).select(BAD_RECORD)
+
+
+def _checked_csv(spark: SparkSession, path, schema: str) -> DataFrame:
+    reader = spark.read.option("header", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", BAD_RECORD)
+    # without pruning a record is bad or good as a whole; the reader refuses queries of the bad record alone
+    rows = reader.option("columnPruning", False).schema(f"{schema}, {BAD_RECORD} string").csv(path)
+    own = [F.col(f"`{c}`").cast("string") for c in rows.columns if c != BAD_RECORD]
+    return rows.filter(F.length(F.concat_ws("", *own)) >= 0)
+
+
 def list_files(spark: SparkSession, folder: str, glob: str) -> DataFrame:
     """Files that match the glob: path, name, stem, year in the name, length.  Reads no content.
 
@@ -59,89 +78,116 @@ def with_source_file(df: DataFrame) -> DataFrame:
     return df.withColumn("source_file", F.col("_metadata.file_name"))
 
 
-def _repaired_rows(content: bytes, skip: int, overlong: str) -> tuple[list[str], list[list[str]]]:
-    """Header and data rows of one ragged file; a trailing unnamed field is dropped."""
-    text = content.decode("utf-8", errors="ignore").removeprefix("\ufeff")
-    body = io.StringIO(text, newline="")
-    # the preamble is counted in physical lines and is not CSV
-    for _ in range(skip):
-        body.readline()
-    lines = csv.reader(body)
-    header = next(lines, [])
-    rows = [r for r in lines if r]
-    width = len(header)
-    phantom = bool(rows) and len(rows[0]) > width
-    limit = width + 1 if phantom else width
-    if overlong == "skip":
-        rows = [r for r in rows if len(r) <= limit]
-    return header, [(r + [None] * width)[:width] for r in rows]
-
-
-def ragged_header(spark: SparkSession, path: str, skip: int) -> list[str]:
-    """Column names of a ragged file: the line after the preamble (reads the first lines only)."""
-    head = [r.value for r in spark.read.text(path).head(skip + 1)]
-    if len(head) <= skip:
+class Ragged(NamedTuple):
+    """Rows of a ragged file as text columns, and the records that do not fit with the reason."""
+
+    rows: DataFrame
+    rejects: DataFrame
+
+
+def text_records(spark: SparkSession, path: str, skip: int = 0) -> DataFrame:
+    """(file, line, record): the CSV records of text files, those with quoted line ends whole.
+
+    Files are split by line whatever their size.  A line's number and whether it begins inside
+    quotes follow from counts per block of the file, so no task needs a file whole.  ``line`` is
+    the number of a record's first line, from 1; the first ``skip`` lines are no records.  Bytes
+    that do not decode vanish; empty lines between records are left out.
+    """
+    text = F.col("value")
+    decoded = F.when(F.is_valid_utf8(text), text).otherwise(F.translate(F.make_valid_utf8(text), "\ufffd", ""))
+    raw = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"), F.regexp_replace(decoded, "^\ufeff|\r$", "").alias("value"),
+    )
+    in_block = Window.partitionBy("file", "block").orderBy("row")
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = raw.groupBy("file", "block").agg(F.count(F.lit(1)).alias("n"))
+    sizes = sizes.select("file", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
+    numbered = raw.join(sizes, ["file", "block"]).withColumn("line", F.col("first") + F.row_number().over(in_block)).filter(F.col("line") > skip)
+    quoted = numbered.withColumn("quotes", F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit(""))))
+    parity = quoted.groupBy("file", "block").agg((F.sum("quotes") % 2).alias("odd"))
+    parity = parity.select("file", "block", F.coalesce(F.sum("odd").over(before), F.lit(0)).alias("odd"))
+    inside = (F.col("odd") + F.coalesce(F.sum("quotes").over(in_block.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))) % 2
+    marked = quoted.join(parity, ["file", "block"]).withColumn("starts", inside == 0)
+
+    starts = F.when(F.col("starts"), F.col("line"))
+    last = marked.groupBy("file", "block").agg(F.max(starts).alias("last"))
+    last = last.select("file", "block", F.max("last").over(before).alias("open"))
+    upto = in_block.rowsBetween(Window.unboundedPreceding, 0)
+    owned = marked.join(last, ["file", "block"]).withColumn("record", F.coalesce(F.max(starts).over(upto), "open"))
+    whole = F.col("starts") & (F.col("quotes") % 2 == 0)
+    alone = owned.filter(whole & (F.col("value") != "")).select("file", "line", F.col("value").alias("record"))
+    pieces = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("line", "value"))), lambda p: p["value"]), "\n")
+    spread = owned.filter(~whole).groupBy("file", F.col("record").alias("line")).agg(pieces.alias("record"))
+    return alone.unionByName(spread)
+
+
+def headers(records: DataFrame) -> list[tuple[str, list[str]]]:
+    """The distinct headers: the text of each file's first record and its names.  One row per layout comes to the driver."""
+    first = records.groupBy("file").agg(F.min_by("record", "line").alias("header"))
+    found = [r.header for r in first.select("header").distinct().orderBy("header").collect()]
+    return [(text, next(csv.reader(io.StringIO(text, newline="")))) for text in found]
+
+
+def _parsed(records: DataFrame, names: list[str]) -> DataFrame:
+    """Columns ``c0``.. as text, the number of fields and where each record lies."""
+    columns = [f"c{i}" for i in range(len(names))]
+    schema = ", ".join(f"{c} string" for c in [*columns, "extra"])
+    options = {"mode": "PERMISSIVE", "escape": '"', "maxCharsPerColumn": "-1", "lineSep": "\u0000"}
+    bare = F.regexp_replace("record", '"(?:[^"]|"")*"', "")
+    parsed = records.select("file", "line", "record", F.size(F.split(bare, ",")).alias("fields"), F.from_csv("record", schema, options).alias("r"))
+    return parsed.select("file", "line", "record", "fields", *[F.nullif(F.col(f"r.{c}"), F.lit("")).alias(c) for c in columns])
+
+
+def _data(records: DataFrame) -> DataFrame:
+    """The records below the header of each file."""
+    first = records.groupBy("file").agg(F.min("line").alias("_first"))
+    return records.join(first, "file").filter(F.col("line") > F.col("_first")).drop("_first")
+
+
+def read_ragged(spark: SparkSession, path: str, skip: int = 0, overlong: str = "reject", style: str = "separator") -> Ragged:
+    """CSV with BOM, preamble, CRLF, undecodable bytes, a phantom last field and overlong records.
+
+    All columns arrive as text (cast afterwards, see ``cast_columns``).  ``path`` may name many
+    files of one layout.  One field beyond the header is the phantom and is dropped, record by
+    record; a record with more is a reject with its file, line and reason, or is cut
+    (``overlong="truncate"``).  Missing fields are NULL.
+    """
+    if overlong not in ("reject", "truncate"):
+        raise ValueError(f"unsupported treatment {overlong!r}")
+    records = text_records(spark, path, skip)
+    layouts = headers(records)
+    if not layouts:
         raise ValueError(f"{path}: no header after {skip} lines")
-    return next(csv.reader([head[skip].removeprefix("\ufeff").rstrip("\r")]))
+    if len({tuple(names) for _, names in layouts}) > 1:
+        raise ValueError("files of one read must share their header")
+    names = layouts[0][1]
+    parsed = _parsed(_data(records), names)
+    fits = F.col("fields") <= len(names) + 1 if overlong == "reject" else F.lit(True)
+    rows = parsed.filter(fits).select([f"c{i}" for i in range(len(names))]).toDF(*names)
+    rejects = parsed.filter(~fits).select("file", "line", "record", F.lit("overlong").alias("reason"))
+    return Ragged(drop_matching(rename_all(rows, style), pattern=COPYRIGHT_COLUMN), rejects)
+
 
+def read_ragged_csv(spark: SparkSession, path: str, skip: int = 0, overlong: str = "reject", style: str = "separator") -> DataFrame:
+    """The rows of :func:`read_ragged`."""
+    return read_ragged(spark, path, skip, overlong, style).rows
 
-def read_ragged_csv(spark: SparkSession, path: str, skip: int = 0, whole_file_limit: int = WHOLE_FILE_LIMIT,
-                    overlong: str = "skip", style: str = "separator") -> DataFrame:
-    """CSV with BOM, preamble, CRLF, undecodable bytes, a phantom last field and overlong lines.
 
-    All columns arrive as text (cast afterwards, see ``cast_columns``).  ``path``
-    may name many files of one layout.  A file is one task while it is small;
-    larger files are split by line across tasks.  ``overlong`` lines (more fields
-    than the header and one phantom) are skipped or cut ("truncate").
+def read_by_name(spark: SparkSession, path: str) -> DataFrame:
+    """Files whose headers differ, united by column name: columns a file lacks are NULL there.
+
+    One read per distinct header, not per file.  All columns are text, beside ``source_file``.
     """
-    files = spark.read.format("binaryFile").load(path)
-    size = files.agg(F.max("length"), F.min("path")).first()
-    if size[0] is None:
+    records = text_records(spark, path)
+    first = records.groupBy("file").agg(F.min_by("record", "line").alias("header"))
+    held, parts = records.join(first, "file"), []
+    for text, names in headers(records):
+        own = _parsed(_data(held.filter(F.col("header") == text).drop("header")), names)
+        parts.append(own.select(*[F.col(f"c{i}").alias(n) for i, n in enumerate(names)], base_name(F.col("file")).alias("source_file")))
+    if not parts:
         raise FileNotFoundError(path)
-    header = ragged_header(spark, size[1], skip)
-    if size[0] > whole_file_limit:
-        df = _read_lines(spark, path, skip, header, overlong)
-    else:
-        names = [f"c{i}" for i in range(len(header))]
-        schema = ", ".join(f"{n} string" for n in names)
-
-        def decode(batches):
-            for batch in batches:
-                for content in batch["content"]:
-                    found, rows = _repaired_rows(content, skip, overlong)
-                    if found != header:
-                        raise ValueError("files of one read must share their header")
-                    yield pd.DataFrame(rows, columns=names, dtype="object").replace("", None)
-
-        df = files.select("content").mapInPandas(decode, schema).toDF(*header)
-    df = drop_matching(rename_all(df, style), pattern=COPYRIGHT_COLUMN)
-    return df
-
-
-def _read_lines(spark: SparkSession, path: str, skip: int, header: list[str], overlong: str) -> DataFrame:
-    """Line-split read.  Preamble and header lines lie at the start of a file's first block."""
-    first = path_heads(spark, path, skip)
-    lines = spark.read.text(path).select(
-        F.regexp_replace(F.translate("value", "\ufffd", ""), "^\ufeff|\r$", "").alias("line"),
-        (F.col("_metadata.file_block_start") == 0).alias("in_first_block"),
-    )
-    lines = lines.filter((F.trim("line") != "") & ~(F.col("in_first_block") & F.col("line").isin(first)))
-    names = [f"c{i}" for i in range(len(header))]
-    schema = ", ".join(f"{n} string" for n in [*names, "extra", "overflow"])
-    parsed = lines.select(F.from_csv("line", schema, {"mode": "PERMISSIVE", "maxCharsPerColumn": "-1"}).alias("r")).select("r.*")
-    if overlong == "skip":
-        # an empty field after the header's width is the phantom; anything more is a bad line
-        parsed = parsed.filter(F.col("overflow").isNull() & F.col("extra").isNull())
-    return parsed.select(*names).toDF(*header)
-
-
-def path_heads(spark: SparkSession, path: str, skip: int) -> list[str]:
-    """Preamble and header lines of every file (a few lines per file)."""
-    found = set()
-    for row in spark.read.format("binaryFile").load(path).select("path").toLocalIterator():
-        for line in spark.read.text(row.path).head(skip + 1):
-            found.add(line.value.removeprefix("\ufeff").replace("\ufffd", "").rstrip("\r"))
-    return sorted(found)
+    return stack_tables(parts, allow_missing=True)
 
 
 def load(spark: SparkSession, spec: SourceSpec) -> DataFrame:

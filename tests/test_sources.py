@@ -10,21 +10,48 @@ from strataframe.spec import SourceSpec, TableSpec
 from strataframe.streaming.arrival import arriving_files, ingest_available, upsert_available
 
 RAGGED = (
-    b"\xef\xbb\xbfTitle, with comma\r\nsecond line\r\nCode,Indicator Name,<!___COPYRIGHT_x,Death-rate\r\n"
+    b"\xef\xbb\xbfTitle, with comma and \" quote\r\nsecond line\r\nCode,Indicator Name,<!___COPYRIGHT_x,Death-rate\r\n"
     b"A,one,c,1.5,\r\nB,\"two, quoted\",c,\xff2.5,\r\n\r\nC,three\r\nD,too,many,1,2,3,4\r\n"
+    b"E,\"a \"\"line\"\"\r\nbreak\",c,3,filled\r\nCode,Indicator Name,<!___COPYRIGHT_x,Death-rate\r\n   \r\n\"second line\",\\,c,\xef\xbf\xbd\r\n"
 )
-GOOD = [("A", "one", "1.5"), ("B", "two, quoted", "2.5"), ("C", "three", None)]
+GOOD = [
+    ("   ", None, None), ("A", "one", "1.5"), ("B", "two, quoted", "2.5"), ("C", "three", None), ("Code", "Indicator Name", "Death-rate"),
+    ("E", 'a "line"\nbreak', "3"), ("second line", "\\", "\ufffd"),
+]
 
 
-@pytest.mark.parametrize("limit", [1 << 20, 0])
-def test_ragged_csv(spark, tmp_path, limit):
+@pytest.mark.parametrize("split", ["1g", "64", "17", "5"])
+def test_ragged_csv(spark, tmp_path, split):
+    """The same bytes give the same rows however the file is split."""
     path = tmp_path / "who.csv"
     path.write_bytes(RAGGED)
-    df = files.read_ragged_csv(spark, str(path), skip=2, whole_file_limit=limit)
-    assert df.columns == ["code", "indicator_name", "death_rate"]
-    assert rows(df) == GOOD
-    cut = files.read_ragged_csv(spark, str(path), skip=2, whole_file_limit=limit, overlong="truncate")
-    assert rows(cut) == [*GOOD, ("D", "too", "1")]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        found = files.read_ragged(spark, str(path), skip=2)
+        assert found.rows.columns == ["code", "indicator_name", "death_rate"]
+        assert rows(found.rows) == sorted(GOOD, key=repr)
+        assert rows(found.rejects.select("line", "record", "reason")) == [(8, "D,too,many,1,2,3,4", "overlong")]
+        cut = files.read_ragged_csv(spark, str(path), skip=2, overlong="truncate")
+        assert rows(cut) == sorted([*GOOD, ("D", "too", "1")], key=repr)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_files_by_name(spark, tmp_path):
+    (tmp_path / "deaths-2018.csv").write_text("Depreg,Sexo,Edadif\n1,2,30\n")
+    (tmp_path / "deaths-2019.csv").write_text("Depreg,Edadif,Sexo,Nuevo\n5,77,1,9\n")
+    (tmp_path / "deaths-2020.csv").write_text("Sexo\n1\n")
+    out = bronze.yearly_records(spark, str(tmp_path), "deaths-*.csv", "Depreg int, Sexo int, Edadif int")
+    assert rows(out.select("Depreg", "Sexo", "Edadif", "Nuevo")) == sorted([(1, 2, 30, None), (5, 1, 77, "9"), (None, 1, None, None)], key=repr)
+
+
+def test_malformed_rows_do_not_depend_on_the_columns(spark, tmp_path):
+    (tmp_path / "plain.csv").write_text("a,b\n1,x\nbad,y\n2,z\n")
+    df = files.read_csv(spark, str(tmp_path / "plain.csv"), "a int, b string", drop_malformed=True)
+    assert df.count() == len(df.collect()) == df.select("b").count() == 2
+    assert [r[0] for r in files.csv_rejects(spark, str(tmp_path / "plain.csv"), "a int, b string").collect()] == ["bad,y"]
 
 
 def test_title_row_and_plain_csv(spark, tmp_path):
