@@ -25,8 +25,9 @@ def month_key_of(date: Column) -> Column:
 
 
 def month_key_from_parts(year: Column, month: Column) -> Column:
-    """NULL as soon as one part is NULL."""
-    return F.concat(year.cast("string"), F.lit("-"), zero_padded(month))
+    """NULL as soon as one part is NULL or the month is none of 1..12."""
+    number = month.cast("string").try_cast("int")
+    return F.when(number.between(1, 12), F.concat(year.cast("string"), F.lit("-"), zero_padded(number)))
 
 
 def first_of_month(year: Column, month: Column) -> Column:

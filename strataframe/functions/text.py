@@ -36,8 +36,9 @@ def strip_brackets(col: Column) -> Column:
 
 
 def zero_padded(col: Column, width: int = 2) -> Column:
-    """Left-pad with zeros; like ``lpad`` it cuts longer text to ``width``."""
-    return F.lpad(col.cast("string"), width, "0")
+    """Left-pad with zeros; longer text stays whole."""
+    text = col.cast("string")
+    return F.when(F.length(text) >= width, text).otherwise(F.lpad(text, width, "0"))
 
 
 def first_number(col: Column) -> Column:

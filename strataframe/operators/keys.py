@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strataframe.session import broadcast_if_small, cut_lineage
+from strataframe.session import cut_lineage
 
 UNKNOWN_KEY = -1
 
@@ -42,5 +42,5 @@ def lookup_key(df: DataFrame, members: DataFrame, on: dict[str, str], key: str,
     for fact, member in on.items():
         test = df[fact] == side[f"_m_{member}"]
         condition = test if condition is None else condition & test
-    joined = df.join(broadcast_if_small(side), condition, "left")
+    joined = df.join(side, condition, "left")
     return joined.select(*[df[c] for c in df.columns], F.coalesce(F.col("_key"), F.lit(default)).alias(key))

@@ -14,7 +14,7 @@ from strataframe.functions.calendar import month_key_of
 from strataframe.functions.classify import five_year_group
 from strataframe.functions.numeric import percent, stable_gaussian
 from strataframe.operators.aggregate import exact_quantiles, join_same
-from strataframe.session import broadcast_if_small, cut_lineage
+from strataframe.session import cut_lineage
 from strataframe.sources.tables import literal_rows
 from strataframe.spec import PrivacyPolicy
 
@@ -26,6 +26,7 @@ MIN_INHABITANTS = 10_000
 ADULT_AGE = 18
 OTHERS = "Otros"
 
+# The treated columns of the sensitive tables.
 POLICIES = {
     "inacif_necropsias": PrivacyPolicy(
         "inacif_necropsias", "high", drop=("numero_correlativo", "dia"), age_groups=("edad",)
@@ -62,7 +63,8 @@ def merge_small_cells(table: DataFrame, within, category: str, measure: str = "n
 
     When that cell would still be small, it is suppressed together with the next
     smallest cell, so that a published group total gives neither away.  Suppressed
-    cells keep their row with a NULL measure and ``suppressed`` = true.
+    cells keep their row with a NULL measure and ``suppressed`` = true.  ``total_exposed`` marks
+    a suppressed cell that is alone in its group: there the group total must stay unpublished.
     """
     small = F.col(measure) < minimum
     group = Window.partitionBy(*within)
@@ -77,10 +79,11 @@ def merge_small_cells(table: DataFrame, within, category: str, measure: str = "n
     label = F.when(F.col("_small"), others).otherwise(F.col(category))
     judged = judged.select(*within, label.alias(category), measure, hide.alias("_hide"))
     merged = judged.groupBy(*within, category).agg(F.sum(measure).alias(measure), F.max("_hide").alias("suppressed"))
-    return merged.withColumn(measure, F.when(~F.col("suppressed"), F.col(measure)))
+    alone = F.count(F.lit(1)).over(group) == 1
+    return merged.withColumns({measure: F.when(~F.col("suppressed"), F.col(measure)), "total_exposed": F.col("suppressed") & alone})
 
 
-def complementary_suppression(table: DataFrame, row: str, column: str, measure: str = "n", minimum: int = MIN_CELL, max_passes: int = 100) -> DataFrame:
+def complementary_suppression(table: DataFrame, row: str, column: str, measure: str = "n", minimum: int = MIN_CELL) -> DataFrame:
     """Two-way table in which no suppressed cell follows from a row or column total.
 
     A line with exactly one hidden cell gets its smallest visible cell hidden as
@@ -90,7 +93,7 @@ def complementary_suppression(table: DataFrame, row: str, column: str, measure:
     total itself must stay unpublished.
     """
     state = cut_lineage(table.select(row, column, measure, (F.col(measure) < minimum).alias("_hidden")))
-    for _ in range(max_passes):
+    while True:
         for line, other in ((row, column), (column, row)):
             state = _hide_next(state, line, other, measure)
         state = cut_lineage(state)
@@ -98,8 +101,6 @@ def complementary_suppression(table: DataFrame, row: str, column: str, measure:
                    for line in (row, column)]
         if exposed[0].isEmpty() and exposed[1].isEmpty():
             break
-    else:
-        raise RuntimeError("suppression did not settle")
     alone = (F.count(F.lit(1)).over(Window.partitionBy(row)) == 1) | (F.count(F.lit(1)).over(Window.partitionBy(column)) == 1)
     return state.select(
         row, column,
@@ -130,7 +131,7 @@ def rare_to_parent(table: DataFrame, scope, detail: str, parent: str, measure: s
 
 def small_place_to_parent(table: DataFrame, population: DataFrame, place: str, parent: str, measure: str = "n", minimum: int = MIN_INHABITANTS) -> DataFrame:
     """Places below ``minimum`` inhabitants (or of unknown size) report under their parent."""
-    people = broadcast_if_small(population.select(place, "poblacion"))
+    people = population.select(place, "poblacion")
     keys = [c for c in table.columns if c not in (place, parent, measure)]
     big = F.coalesce(F.col("poblacion") >= minimum, F.lit(False))
     joined = table.join(people, place, "left").withColumn(place, F.when(big, F.col(place)).otherwise(F.col(parent)))

@@ -11,9 +11,7 @@ from pyspark.sql import functions as F
 
 from strataframe.functions.numeric import percent
 from strataframe.operators.aggregate import approx_quantiles, exact_quantiles
-from strataframe.operators.joins import join_measured
 from strataframe.operators.reshape import stack_tables
-from strataframe.session import broadcast_if_small, is_small
 from strataframe.spec import CodeCheck, RowRule
 
 
@@ -25,23 +23,14 @@ class Validated(NamedTuple):
     report: DataFrame
 
 
-class _Codes(NamedTuple):
-    codes: DataFrame
-    small: bool
+def _look_up(df: DataFrame, column: str, catalogue: DataFrame, code: str, name: str) -> DataFrame:
+    """Add ``name``: the code found for ``column`` or NULL.  Codes are distinct, so no row multiplies.
 
-
-def _codes(catalogue: DataFrame, code: str) -> _Codes:
-    """Distinct codes, measured once."""
-    codes = catalogue.select(F.col(code).alias("_code")).filter("_code is not null").distinct()
-    return _Codes(codes, is_small(codes))
-
-
-def _look_up(df: DataFrame, column: str, known: _Codes, name: str, profile: DataFrame) -> DataFrame:
-    """Add ``name``: the code found for ``column`` or NULL.  Codes are distinct, so no row multiplies."""
-    side = known.codes.select(F.col("_code").alias(name))
-    if known.small:
-        return df.join(F.broadcast(side), F.col(column) == F.col(name), "left")
-    return join_measured(df, side, column, name, "left", profile=profile)
+    One left join that reads the rows once.  It carries no hint: the planner broadcasts small
+    catalogues by their size on disk or by the bytes shuffled, and splits hot keys otherwise.
+    """
+    codes = catalogue.select(F.col(code).alias(name)).filter(F.col(name).isNotNull()).distinct()
+    return df.join(codes, F.col(column) == F.col(name), "left")
 
 
 def validate_codes(df: DataFrame, column: str, catalogue: DataFrame, code: str = "code", critical: bool = False):
@@ -50,7 +39,7 @@ def validate_codes(df: DataFrame, column: str, catalogue: DataFrame, code: str =
     Critical: rows with an unknown or missing code are dropped, and a code listed
     twice does not multiply rows.  Otherwise the code becomes NULL.
     """
-    flagged = _look_up(df, column, _codes(catalogue, code), "_found", df)
+    flagged = _look_up(df, column, catalogue, code, "_found")
     found = F.col("_found").isNotNull()
     rejects = flagged.filter(~found).select(*df.columns)
     if critical:
@@ -64,13 +53,12 @@ def validate_all(df: DataFrame, checks: list[CodeCheck], catalogues: dict[str, D
     A check only sees the rows that earlier critical checks let through, and its
     report counts those rows.
     """
-    code_sets: dict[tuple, _Codes] = {}
+    missing = [c.column for c in checks if c.column not in df.columns]
+    if missing:
+        raise ValueError(f"checks name columns that are not there: {missing}")
     flagged = df
     for i, check in enumerate(checks):
-        ref = (check.catalogue, check.code)
-        if ref not in code_sets:
-            code_sets[ref] = _codes(catalogues[check.catalogue], check.code)
-        flagged = _look_up(flagged, check.column, code_sets[ref], f"_code{i}", df)
+        flagged = _look_up(flagged, check.column, catalogues[check.catalogue], check.code, f"_code{i}")
     flagged = flagged.select(
         *[F.col(c) for c in df.columns], *[F.col(f"_code{i}").isNotNull().alias(f"_ok{i}") for i in range(len(checks))]
     )
@@ -140,7 +128,7 @@ def orphan_rows(fact: DataFrame, dimensions: dict[str, DataFrame]) -> DataFrame:
     """Fact rows with a key no dimension row has; ``missing`` names those keys in order."""
     joined = fact
     for i, (key, dim) in enumerate(dimensions.items()):
-        side = broadcast_if_small(dim.select(F.col(key).alias(f"_k{i}")).distinct())
+        side = dim.select(F.col(key).alias(f"_k{i}")).distinct()
         joined = joined.join(side, F.col(key) == F.col(f"_k{i}"), "left")
     absent = [F.col(f"_k{i}").isNull() for i in range(len(dimensions))]
     missing = F.concat_ws(",", *[F.when(a, key) for a, key in zip(absent, dimensions)])

@@ -11,7 +11,6 @@ from strataframe.functions.naming import rename_all
 from strataframe.functions.numeric import sentinel_to_null
 from strataframe.functions.text import clean_upper, first_number, slug, strip_brackets, unquote
 from strataframe.operators.filters import non_negative
-from strataframe.operators.joins import join_measured
 from strataframe.operators.project import cast_columns, rename_present, with_processing_stamp
 from strataframe.operators.reshape import first_by, harmonise, months_to_rows, stack_tables
 from strataframe.operators.validate import Validated, remove_outliers, validate_all
@@ -55,13 +54,17 @@ def clean_deaths(df: DataFrame, drop_duplicates: bool = False, drop_negative_age
 
 
 def silver_deaths(df: DataFrame, catalogues: dict[str, DataFrame], checks=None, exact_bounds: bool = False, **options) -> Validated:
-    """Cleaned, outlier-free and code-checked records, with rejects and a report."""
+    """Cleaned, outlier-free and code-checked records, with rejects and a report.
+
+    A check of a column that is not there is an error: passing over it would let every row in.
+    """
     bounded = remove_outliers(clean_deaths(df, **options), "edadif", exact=exact_bounds)
     checks = DEATH_CHECKS if checks is None else checks
-    result = validate_all(bounded, [c for c in checks if c.column in bounded.columns], catalogues)
+    result = validate_all(bounded, list(checks), catalogues)
     return result._replace(kept=with_processing_stamp(result.kept))
 
 
+# The common schema of the yearly event tables and the names of their totals.
 EVENT_SCHEMA = {"anio": "int", "evento": "string", **{m: "bigint" for m in MONTH_COLUMNS}, "total_anual": "bigint"}
 TOTAL_NAMES = {"total_general": "total_anual", "total": "total_anual"}
 
@@ -120,9 +123,8 @@ def enrich_necropsies(records: DataFrame, municipalities: DataFrame, departments
     towns = municipalities.select(F.col("id").alias("_m"), F.col("nombre").alias("municipio_nombre"), F.col("departamento_id").alias("_d"))
     regions = departments.select(F.col("id").alias("_r"), F.col("nombre").alias("departamento_nombre"))
     reasons = causes.select(F.col("id").alias("_c"), F.col("nombre").alias("causa_muerte_nombre"))
-    placed = join_measured(records, towns, "municipio_id", "_m", "left")
-    named = join_measured(placed, regions, "_d", "_r", "left")
-    joined = join_measured(named, reasons, "causa_muerte_id", "_c", "left", profile=records).drop("_m", "_d", "_r", "_c")
+    placed = records.join(towns, F.col("municipio_id") == F.col("_m"), "left").join(regions, F.col("_d") == F.col("_r"), "left")
+    joined = placed.join(reasons, F.col("causa_muerte_id") == F.col("_c"), "left").drop("_m", "_d", "_r", "_c")
     age = F.col("edad_numerica")
     return joined.withColumn("edad_numerica", first_number(F.col("edad"))).withColumns({
         "grupo_etario": band(age, AGE_GROUPS, missing=AGE_GROUPS[-1][1]),

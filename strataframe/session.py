@@ -74,20 +74,21 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def is_small(df: DataFrame, max_rows: int = 500_000, max_bytes: int = 64 << 20) -> bool:
-    """Whether a table fits a broadcast.
+    """Whether a table fits a broadcast.  Eager: one aggregate counts its rows and bytes.
 
-    Eager: a row count (for a plain scan answered from file footers) and, only when
-    that is within bounds, one more pass for the bytes.  No limit is used: every
+    Arrays, maps and structs count with the length of their JSON text.  No limit is used: every
     task would fetch that many rows before a single task could stop.
     """
-    if df.agg(F.count(F.lit(1))).first()[0] > max_rows:
-        return False
     size = F.lit(0)
     for field in df.schema.fields:
-        kind = field.dataType.typeName()
-        width = F.octet_length(F.col(f"`{field.name}`")) if kind in ("string", "binary") else F.lit(16)
+        kind, column = field.dataType.typeName(), F.col(f"`{field.name}`")
+        if kind in ("string", "binary"):
+            width = F.octet_length(column)
+        else:
+            width = F.octet_length(F.to_json(F.struct(column))) if kind in ("array", "map", "struct") else F.lit(16)
         size = size + F.coalesce(width, F.lit(0))
-    return df.agg(F.coalesce(F.sum(size.cast("long")), F.lit(0))).first()[0] <= max_bytes
+    rows, total = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(size.cast("long")), F.lit(0))).first()
+    return rows <= max_rows and total <= max_bytes
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = 500_000, max_bytes: int = 64 << 20) -> DataFrame:

@@ -34,17 +34,13 @@ def read_merged(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", "true").parquet(path)
 
 
-def overwrite_partitioned(df: DataFrame, path: str, *columns: str, files_per_value: int = 16) -> None:
+def overwrite_partitioned(df: DataFrame, path: str, *columns: str) -> None:
     """Partitioned layout (by source file, by year ...).
 
-    Rows of one value are spread over ``files_per_value`` tasks by a salt from the
-    row itself, so a value with a third of all rows is not one task's work, and a
-    value does not end in one small file per upstream task either.
+    Rows are brought together by value, and the planner splits a value by its bytes: a value
+    with a third of all rows is as many tasks' work as its size asks for.
     """
-    kinds = dict(df.dtypes)
-    salted = [F.col(f"`{c}`") for c in df.columns if not kinds[c].startswith("map")]
-    salt = F.pmod(F.xxhash64(*salted), F.lit(files_per_value))
-    df.repartition(*columns, salt).write.mode("overwrite").partitionBy(*columns).parquet(path)
+    df.hint("rebalance", *columns).write.mode("overwrite").partitionBy(*columns).parquet(path)
 
 
 def describe_table(spark: SparkSession, name: str, comment: str | None = None, properties: dict | None = None) -> None:

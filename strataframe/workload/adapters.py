@@ -13,12 +13,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from strataframe.functions.text import zero_padded
-from strataframe.operators.joins import join_measured
 from strataframe.plans import star as gold
 from strataframe.plans.analytics import Scope
 from strataframe.plans.silver import clean_deaths, events_by_month, unify_event_years
 from strataframe.operators.reshape import months_to_columns
-from strataframe.session import apply_scale_settings, scratch_path
+from strataframe.session import apply_scale_settings, cut_lineage, scratch_path
 from strataframe.sources.sinks import GOLD_TABLES, read_gold, write_gold
 from strataframe.spec import SchemaPatch
 
@@ -66,9 +65,9 @@ def death_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     people = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     parts = parts_with_cause(spark, sf_dir)
-    described = join_measured(lines, parts, "l_partkey", "p_partkey", bound=table(spark, sf_dir, "part").select("p_partkey"))
-    placed = join_measured(orders, people, "o_custkey", "c_custkey")
-    return join_measured(described, placed, "l_orderkey", "o_orderkey", profile=lines, bound=orders).select(
+    described = lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
+    placed = orders.join(people, F.col("o_custkey") == F.col("c_custkey"))
+    return described.join(placed, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.year("o_orderdate").alias("Añoreg"), F.month("o_orderdate").alias("Mesreg"),
         F.col("c_nationkey").alias("Depocu"), sex.alias("Sexo"), age.alias("Edadif"), F.col("caudef").alias("Caudef"),
     )
@@ -83,7 +82,7 @@ def daily_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     residents = people.join(places, F.col("c_nationkey") == F.col("n_nationkey"))
     return (
-        join_measured(orders, residents, "o_custkey", "c_custkey", bound=people)
+        orders.join(residents, F.col("o_custkey") == F.col("c_custkey"))
         .select(F.date_format("o_orderdate", "yyyy-MM-dd").alias("date_reported"), F.col("r_name").alias("country"), value.alias("new_deaths"))
     )
 
@@ -115,14 +114,14 @@ def civil_events(spark: SparkSession, sf_dir: str, year: int | None = None) -> D
     )
 
 
-YEARS = range(1995, 2002)
-
-
 def yearly_event_tables(spark: SparkSession, sf_dir: str) -> dict[int, DataFrame]:
-    """Wide yearly tables that drift as real ones do: months as double, a missing month, other total names."""
-    tables = {}
-    for year in YEARS:
-        df = months_to_columns(civil_events(spark, sf_dir, year)).drop("anio")
+    """Wide yearly tables that drift as real ones do: months as double, a missing month, other total names.
+
+    One scan counts all years; the years are those of the data.
+    """
+    tables, wide = {}, cut_lineage(months_to_columns(civil_events(spark, sf_dir)))
+    for year in sorted(r.anio for r in wide.select("anio").distinct().collect()):
+        df = wide.filter(F.col("anio") == year).drop("anio")
         months = [c for c in df.columns if c != "evento"]
         total = sum((F.coalesce(F.col(c), F.lit(0)) for c in months[1:]), F.coalesce(F.col(months[0]), F.lit(0)))
         name = {1996: "total_general", 2000: "total", 2001: "total"}.get(year, "total_anual")
@@ -139,7 +138,8 @@ def yearly_event_tables(spark: SparkSession, sf_dir: str) -> dict[int, DataFrame
 
 def unified_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     patch = SchemaPatch(rename={"total_general": "total_anual", "total": "total_anual"})
-    return unify_event_years(yearly_event_tables(spark, sf_dir), dict.fromkeys(YEARS, patch))
+    tables = yearly_event_tables(spark, sf_dir)
+    return unify_event_years(tables, dict.fromkeys(tables, patch))
 
 
 def geography(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -36,7 +36,7 @@ _MONTH_PLACE = "cells AS (SELECT strftime(o_orderdate, '%Y-%m') AS month, 'N-' |
 @query(
     "suppress_small",
     with_star(
-        "SELECT month, place, CASE WHEN NOT bool_or(hide) THEN CAST(sum(n) AS BIGINT) END AS n, bool_or(hide) AS suppressed FROM labelled GROUP BY 1, 2",
+        "SELECT month, place, CASE WHEN NOT bool_or(hide) THEN CAST(sum(n) AS BIGINT) END AS n, bool_or(hide) AS suppressed, bool_or(hide) AND count(*) OVER (PARTITION BY month) = 1 AS total_exposed FROM labelled GROUP BY 1, 2",
         _MONTH_PLACE,
         """judged AS (SELECT *, n < 5 AS small, coalesce(sum(CASE WHEN n < 5 THEN n END) OVER (PARTITION BY month), 0) AS pool,
           row_number() OVER (PARTITION BY month, n < 5 ORDER BY n, place) AS r FROM cells)""",

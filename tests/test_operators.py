@@ -23,22 +23,6 @@ def ints(spark, values, name="x"):
     return literal_rows(spark, [(v,) for v in values], f"{name} long")
 
 
-@pytest.mark.parametrize("how", ["inner", "left"])
-def test_hot_keys_are_joined_apart_with_the_same_result(spark, monkeypatch, how):
-    from strataframe.operators import joins
-
-    rng = random.Random(4)
-    # a third of the rows share one key, some have none
-    data = [(1, i) for i in range(1000)] + [(rng.randrange(2, 1500), i) for i in range(2000)] + [(None, i) for i in range(50)]
-    left = literal_rows(spark, data, "k long, n long").repartition(8)
-    right = literal_rows(spark, [(i, f"v{i}") for i in range(0, 1500, 1)][1:1400] + [(1, "twin"), (None, "none")], "id long, v string")
-    expected = rows(left.join(right, left.k == right.id, how))
-    assert joins.hot_keys(left, "k", 0.2) == [1]
-    monkeypatch.setattr(joins, "is_small", lambda *_: False)
-    apart = joins.join_measured(left, right, "k", "id", how, share=0.2)
-    assert apart.columns == ["k", "n", "id", "v"] and rows(apart) == expected
-
-
 def test_validate_codes(spark):
     df, dim = ints(spark, [1, 2, 7, None]), ints(spark, [1, 2, 2], "code")
     kept, rejects = dq.validate_codes(df, "x", dim, critical=True)
@@ -56,19 +40,40 @@ def test_validate_all_is_the_same_in_one_pass(spark):
     assert [tuple(r) for r in result.report.collect()] == [(1, "a", True, 5, 2, 40.0), (2, "b", False, 3, 1, 33.33)]
 
 
-def test_validation_beyond_a_broadcast(spark, monkeypatch):
-    """With catalogues too large to broadcast, hot and missing codes take their own way."""
-    from strataframe.operators import joins
+@pytest.mark.parametrize("catalogues", [1, 2, 4])
+def test_validation_reads_the_rows_once(spark, catalogues):
+    """However many catalogues are too large to broadcast, the records are one scan, and the rows are the same."""
+    df = ints(spark, [1] * 50 + [2, 7, None, None])
+    dims = {f"c{i}": ints(spark, [1, 2, 2], "code") for i in range(catalogues)}
+    checks = [CodeCheck("x", name, critical=True) for name in dims]
+    small = [rows(part) for part in dq.validate_all(df, checks, dims)]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        large = dq.validate_all(df, checks, dims)
+        assert [rows(part) for part in large] == small
+        plan = large.kept._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Join ") == catalogues and plan.count("LocalRelation") == 1 + catalogues
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
-    df, dim = ints(spark, [1] * 50 + [2, 7, None, None]), ints(spark, [1, 2, 2], "code")
-    small = dq.validate_all(df, [CodeCheck("x", "c", critical=True)], {"c": dim})
-    expected = [rows(part) for part in small]
-    monkeypatch.setattr(dq, "is_small", lambda *_: False)
-    monkeypatch.setattr(joins, "is_small", lambda *_: False)
-    large = dq.validate_all(df, [CodeCheck("x", "c", critical=True)], {"c": dim})
-    assert [rows(part) for part in large] == expected
-    kept, rejects = dq.validate_codes(df, "x", dim, critical=True)
-    assert kept.count() == 51 and rejects.count() == 3
+
+def test_a_check_of_a_missing_column_is_an_error(spark):
+    with pytest.raises(ValueError, match="not there"):
+        dq.validate_all(ints(spark, [1]), [CodeCheck("y", "c")], {"c": ints(spark, [1], "code")})
+
+
+def test_small_tables_are_measured_with_their_arrays(spark):
+    from strataframe.session import is_small
+
+    wide = spark.range(2000).select(F.sequence(F.lit(0), F.lit(4000)).alias("a"))
+    assert not is_small(wide, max_bytes=16 << 20) and is_small(spark.range(1000))
+
+
+def test_months_out_of_range_have_no_key(spark):
+    from strataframe.functions.calendar import month_key_from_parts
+
+    df = literal_rows(spark, [(2020, 3), (2020, 120), (2020, 0), (None, 3), (2020, None)], "y int, m int")
+    assert [r[0] for r in df.select(month_key_from_parts(F.col("y"), F.col("m"))).collect()] == ["2020-03", None, None, None, None]
 
 
 def test_outliers(spark):
@@ -117,9 +122,11 @@ def test_dense_keys(spark):
 
 def test_small_cells(spark):
     merged = pv.merge_small_cells(literal_rows(spark, [("g", "a", 3), ("g", "b", 4), ("g", "c", 5), ("g", "d", 20)], "g string, c string, n long"), ["g"], "c")
-    assert rows(merged) == [("g", "Otros", 7, False), ("g", "c", 5, False), ("g", "d", 20, False)]
+    assert rows(merged) == [("g", "Otros", 7, False, False), ("g", "c", 5, False, False), ("g", "d", 20, False, False)]
     hidden = pv.merge_small_cells(literal_rows(spark, [("g", "a", 4), ("g", "d", 20)], "g string, c string, n long"), ["g"], "c")
-    assert rows(hidden) == [("g", "Otros", None, True), ("g", "d", None, True)]
+    assert rows(hidden) == [("g", "Otros", None, True, False), ("g", "d", None, True, False)]
+    alone = pv.merge_small_cells(literal_rows(spark, [("g", "a", 2), ("g", "d", 1)], "g string, c string, n long"), ["g"], "c")
+    assert rows(alone) == [("g", "Otros", None, True, True)]
 
 
 @pytest.mark.parametrize("seed", range(4))

@@ -7,12 +7,11 @@ import pytest
 import __spark_entry__ as entry
 from strataframe.operators.validate import validate_codes
 from strataframe.plans import analytics as an
+from strataframe.workload import QUERIES
 from strataframe.workload import adapters as ad
 
-# file decoding needs Python on its content; everything else must stay in the JVM
-PYTHON_ALLOWED = {"ragged_roundtrip"}
 EAGER = {
-    "stream_ingest", "csv_roundtrip", "ragged_roundtrip", "partitioned_table", "gold_tables", "model_monthly", "model_granular",
+    "harmonise_years", "unpivot_months", "context_from_years", "stream_ingest", "csv_roundtrip", "ragged_roundtrip", "partitioned_table", "gold_tables", "model_monthly", "model_granular",
     "coefficient_ranking", "model_consistency", "suppress_complementary",
 }
 
@@ -21,11 +20,11 @@ def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - EAGER))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - EAGER))
 def test_no_python_rows_and_no_cartesian(spark, sf_dir, name):
     plan = plan_of(entry.queries()[name](spark, sf_dir))
     assert "CartesianProduct" not in plan
-    assert name in PYTHON_ALLOWED or not re.search(r"EvalPython|MapInPandas|FlatMapGroups", plan)
+    assert not re.search(r"EvalPython|MapInPandas|FlatMapGroups", plan)
 
 
 def test_fact_reads_only_its_columns(spark, sf_dir):

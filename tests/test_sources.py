@@ -114,7 +114,7 @@ def test_sinks(spark, tmp_path):
     sinks.overwrite(df, path)
     sinks.append(df.withColumn("extra", F.lit(1)), path)
     assert sinks.read_merged(spark, path).filter("extra is null").count() == 100
-    sinks.overwrite_partitioned(df, path + "p", "anio", files_per_value=2)
+    sinks.overwrite_partitioned(df, path + "p", "anio")
     assert rows(spark.read.parquet(path + "p").select("id", "anio")) == rows(df.select("id", "anio"))
     sinks.export_sorted_csv(df, path + "c", "anio", "id")
     back = spark.read.option("header", True).csv(path + "c")
