@@ -62,10 +62,10 @@ def split_quotas(quotas: list[int], shards: int, seed: int) -> np.ndarray:
     return out
 
 
-def sized(docs: DataFrame, *carry: str) -> DataFrame:
-    """Documents with a row id, their words and a key from their content; staged, so ids stay."""
+def sized(docs: DataFrame, whole: bool = False) -> DataFrame:
+    """Documents with a row id, their words and a key from their content, and all of them as ``doc`` if ``whole``; staged, so ids stay."""
     content = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce("text", F.lit("")))
-    rows = docs.select(F.monotonically_increasing_id().alias("id"), "doc_id", "source", F.size(words_of(F.col("text"))).cast("long").alias("size"), content.alias("content"), *carry)
+    rows = docs.select(F.monotonically_increasing_id().alias("id"), "doc_id", "source", F.size(words_of(F.col("text"))).cast("long").alias("size"), content.alias("content"), *[F.struct(*docs.columns).alias("doc")] * whole)
     return staged(rows, "mixing-docs")
 
 
@@ -129,14 +129,13 @@ def mixed_documents(docs: DataFrame, shards: int = 64, seed: int = 0) -> DataFra
 
     A pass that takes only some blocks keeps these, in order, with the white space before each word.
     """
-    names = docs.columns
-    others = [c for c in names if c not in ("doc_id", "source", "n_chars")]
-    rows = sized(docs, *others)
+    rows = sized(docs, whole=True)
     draws, _ = mix(rows, shards, seed)
     taken = draws.groupBy("id", "pass", "whole").agg(F.sort_array(F.collect_list(F.struct("start", "words"))).alias("own"), F.min(F.struct("shard", "place")).alias("at"))
-    pieces = F.regexp_extract_all("text", F.lit(f"[{SPACE}]*[^{SPACE}]+"), F.lit(0))
-    joined = rows.join(taken, "id").select(*rows.columns, "at", "own", "whole", F.when(~F.col("whole"), pieces).alias("pieces"))
+    pieces = F.regexp_extract_all("doc.text", F.lit(f"[{SPACE}]*[^{SPACE}]+"), F.lit(0))
+    joined = rows.join(taken, "id").select("doc", "at", "own", "whole", F.when(~F.col("whole"), pieces).alias("pieces"))
     some = F.array_join(F.flatten(F.transform("own", lambda b: F.slice("pieces", (b["start"] + 1).cast("int"), b["words"].cast("int")))), "")
-    text = F.when(F.col("whole"), F.col("text")).otherwise(F.ltrim(some))
-    out = joined.select("at", *[text.alias(c) if c == "text" else F.length(text).cast("long").alias(c) if c == "n_chars" else F.col(c) for c in names])
-    return out.repartitionByRange(shards, "at.shard").sortWithinPartitions("at").select(*names)
+    placed = joined.select("doc", "at", F.when(F.col("whole"), F.col("doc.text")).otherwise(F.ltrim(some)).alias("new"))
+    new = {"text": F.col("new"), "n_chars": F.length("new").cast("long")}
+    ordered = placed.repartitionByRange(shards, "at.shard").sortWithinPartitions("at")
+    return ordered.select(*[new.get(c, F.col("doc")[c]).alias(c) for c in docs.columns])

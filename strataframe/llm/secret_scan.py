@@ -187,9 +187,12 @@ def labelled(docs: DataFrame, known, seed: int = 0) -> DataFrame:
     """Findings for training from at most ``SAMPLE_DOCS`` documents, those whose texts hash lowest."""
     usable = docs.filter(F.length("text").between(1, SAMPLE_CHARS))
     low = usable.select("text", F.coalesce("source", F.lit("")).alias("source"), F.xxhash64("text").alias("h"))
-    rows = low.orderBy("h", "source", "text").limit(SAMPLE_DOCS).collect()
+    last = low.select("h").orderBy("h").limit(SAMPLE_DOCS).agg(F.max("h")).first()[0]  # hashes alone first: texts are large
+    rows = low.filter(F.col("h") <= F.lit(last)).orderBy("h", "source", "text").limit(SAMPLE_DOCS).collect()
     transitions, dictionary = known.value
-    found = planted([r.text for r in rows] * 4, [r.source for r in rows] * 4, Random(seed))[:SAMPLE_FINDINGS]
+    times = max(4, -(-4 * SAMPLE_DOCS // max(1, len(rows))))  # few documents are used more often
+    found = planted([r.text for r in rows] * times, [r.source for r in rows] * times, Random(seed))[:SAMPLE_FINDINGS]
+    found = found or planted(["a text of plain words"] * SAMPLE_DOCS, [""] * SAMPLE_DOCS, Random(seed))
     data = [(features(*f[:5], transitions, dictionary), f[5]) for f in found]
     return docs.sparkSession.createDataFrame(data, "features array<double>, label double").coalesce(1)
 
