@@ -280,6 +280,13 @@ _question(
     f"FROM fact_a f JOIN dim_g g ON f.id_geografia = g.id_geografia {_COVID} WHERE g.id_geografia NOT LIKE '%-NA' GROUP BY 1 ORDER BY 3 DESC, 1 LIMIT 10",
     FACT_A, PLACE, CAUSE,
 )
+_question(
+    "q06_top_places_per_month", an.top_covid_places,
+    f"SELECT g.nombre_departamento, count(DISTINCT f.id_tiempo_mes) AS meses_con_datos, {_SUM} AS total_fallecidos_covid, {_PER_MONTH} AS promedio_mensual, "
+    "min(f.id_tiempo_mes) AS primer_registro, max(f.id_tiempo_mes) AS ultimo_registro "
+    f"FROM fact_a f JOIN dim_g g ON f.id_geografia = g.id_geografia {_COVID} WHERE g.id_geografia NOT LIKE '%-NA' GROUP BY 1 ORDER BY 3 DESC, 1 LIMIT 10",
+    FACT_A, PLACE, CAUSE, per_month=True,
+)
 _question(
     "q07_covid_by_sex_band", an.covid_by_sex_band,
     f"""SELECT p.sexo, p.rango_edad, CAST(sum(CASE WHEN c.es_covid THEN f.cantidad_fallecidos ELSE 0 END) AS BIGINT) AS fallecidos_covid,
@@ -321,6 +328,13 @@ _question(
     FROM fact_a f JOIN dim_c c ON f.id_causa = c.id_causa GROUP BY 1, 2 ORDER BY 4 DESC, 1, 2 LIMIT 10""",
     FACT_A, CAUSE,
 )
+_question(
+    "q10_cause_ranking_per_month", an.cause_ranking,
+    f"""SELECT c.categoria_general, c.es_covid, count(DISTINCT f.id_tiempo_mes) AS meses_registrados, {_SUM} AS total_fallecidos,
+    {pct('sum(f.cantidad_fallecidos)', 'sum(sum(f.cantidad_fallecidos)) OVER ()')} AS porcentaje_total, {_PER_MONTH} AS promedio_mensual
+    FROM fact_a f JOIN dim_c c ON f.id_causa = c.id_causa GROUP BY 1, 2 ORDER BY 4 DESC, 1, 2 LIMIT 10""",
+    FACT_A, CAUSE, per_month=True,
+)
 _question(
     "q11_covid_totals_country", an.covid_totals_for_country,
     f"SELECT t.periodo, g.nombre_departamento, p.sexo, p.rango_edad, {_SUM} AS total_fallecidos {_FOUR} GROUP BY 1, 2, 3, 4",
@@ -342,6 +356,11 @@ _question(
     f"SELECT g.nombre_departamento, {_SUM} AS total FROM fact_a f JOIN dim_g g ON f.id_geografia = g.id_geografia {_COVID} GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10",
     FACT_A, PLACE, CAUSE,
 )
+_question(
+    "q15_places_ranked_all", an.covid_places_ranked,
+    f"SELECT g.nombre_departamento, {_SUM} AS total FROM fact_a f JOIN dim_g g ON f.id_geografia = g.id_geografia {_COVID} GROUP BY 1",
+    FACT_A, PLACE, CAUSE, limit=None,
+)
 _question(
     "q16_totals_by_year", an.totals_by_year,
     f"SELECT t.anio, {_SUM} AS total FROM fact f JOIN dim_t t ON f.id_tiempo_mes = t.id_tiempo_mes GROUP BY 1", FACT, TIME,
