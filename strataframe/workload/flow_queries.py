@@ -8,6 +8,7 @@ from strataframe.operators import incremental as inc
 from strataframe.plans import modelling as ml
 from strataframe.session import cut_lineage, scratch_path
 from strataframe.sources import files, sinks
+from strataframe.sources.tables import literal_rows
 from strataframe.streaming.arrival import arriving_files, ingest_available
 from strataframe.workload import adapters as ad
 from strataframe.workload.adapters import table
@@ -246,6 +247,28 @@ def _line_b(spark, sf_dir):
     return ml.simple_fit(_features_b(spark, sf_dir), "renap_nacimientos", "total_defunciones")
 
 
+# one scaled feature has a closed form: z has mean 0 and sample deviation 1, so its squares sum to n - 1
+_PENALISED = """moments AS (SELECT count(*) AS n, avg(total_defunciones) AS mean, sum((renap_nacimientos - m) / s * (total_defunciones - t)) AS zy FROM
+  (SELECT *, avg(renap_nacimientos) OVER () AS m, stddev_samp(renap_nacimientos) OVER () AS s, avg(total_defunciones) OVER () AS t FROM wide WHERE total_defunciones > 0))"""
+
+
+@query(
+    "penalised_line",
+    with_star(
+        f"""SELECT 'ridge' AS model, {rounded('zy / (n - 1 + 1.0)', 3)} AS coefficient, {rounded('mean', 3)} AS intercept FROM moments
+        UNION ALL SELECT 'lasso', {rounded('sign(zy) * greatest(abs(zy) / n - 1.0, 0) / ((n - 1) / CAST(n AS DOUBLE))', 3)}, {rounded('mean', 3)} FROM moments""",
+        _FEATURES_B, _PENALISED,
+    ),
+)
+def penalised_line(spark, sf_dir):
+    """Ridge and lasso of one scaled feature, whose coefficients SQL can state."""
+    rows, out = cut_lineage(_features_b(spark, sf_dir)), []
+    for kind in ("ridge", "lasso"):
+        line = ml.fit(rows, ["renap_nacimientos"], "total_defunciones", kind).regression
+        out.append((kind, round(float(line.coefficients[0]), 3), round(float(line.intercept), 3)))
+    return literal_rows(spark, out, "model string, coefficient double, intercept double")
+
+
 @query(
     "model_metrics",
     with_star(
