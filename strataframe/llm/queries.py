@@ -41,7 +41,17 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"), "doc_id")
 
 
-@query("op5_ngram_jaccard_join")
+_LINKED = """WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+shingles AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')] ELSE list_transform(generate_series(1, len(w) - 3), lambda i: array_to_string(list_slice(w, i, i + 3), ' ')) END) AS s FROM w),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY 1),
+links AS (SELECT a.doc_id AS a, b.doc_id AS b FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id JOIN sizes x ON x.doc_id = a.doc_id JOIN sizes y ON y.doc_id = b.doc_id
+  GROUP BY 1, 2 HAVING 100 * count(*) >= 85 * (any_value(x.n) + any_value(y.n) - count(*))),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT a AS v, a AS c FROM both_ways UNION SELECT e.b, r.c FROM reach r JOIN both_ways e ON e.a = r.v)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, coalesce(c, d.doc_id) AS component_id FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id LEFT JOIN (SELECT v, min(c) AS c FROM reach GROUP BY 1) r ON r.v = d.doc_id"""
+
+
+@query("op5_ngram_jaccard_join", _LINKED)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Set size and component of every document under four-word shingles and a Jaccard similarity of 0.85."""
     return jaccard_components(table(spark, sf_dir, "documents"))
@@ -58,7 +68,16 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("op10_substring_dedup")
+_REPEATS = """WITH w AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+windows AS (SELECT doc_id, r, unnest(generate_series(1, len(w) - 49)) AS i, unnest(list_transform(generate_series(1, len(w) - 49), lambda i: sha256(array_to_string(list_slice(w, i, i + 49), ' ')))) AS k FROM w WHERE len(w) >= 50),
+lowest AS (SELECT k, min(doc_id) AS lo FROM windows GROUP BY k),
+gone AS (SELECT DISTINCT r, unnest(generate_series(i, i + 49)) AS j FROM windows JOIN lowest USING (k) WHERE lo < doc_id),
+words AS (SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS j FROM w),
+kept AS (SELECT words.r, count(gone.j) AS lost, string_agg(word, ' ' ORDER BY words.j) FILTER (gone.j IS NULL) AS t FROM words LEFT JOIN gone ON words.r = gone.r AND words.j = gone.j GROUP BY 1)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(lost, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256 FROM w LEFT JOIN kept USING (r)"""
+
+
+@query("op10_substring_dedup", _REPEATS)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document, words lost to repeats of 50 words or more, and the digest of those left."""
     return substring_dedup(table(spark, sf_dir, "documents")).drop("left_text")
