@@ -35,11 +35,14 @@ from strataframe.session import broadcast_if_small
 
 WIDTH = 4
 PERCENT = 85
-# token frequencies are counted in this lowest part of the hash range, which comes first in the order
-REGION = np.uint64(int(0.2 * 2**64))
+# The global order of tokens: first those of the lowest part of the hash range, then the rest, last the
+# hot ones, which at least so many sets hold; hot are at most so many, the most frequent.  Tokens are
+# counted in the lowest part, and all tokens of sets below a size.  The order is no filter.
+REGION = np.uint64(int(0.3 * 2**64))
+WHOLE_BELOW = 256
+HOT_COUNT, HOT_TOKENS = 16, 500_000
 SMALLEST_LARGE = 40  # sets below this size may be enumerated
-HOT_COUNT = 32  # tokens of at least so many sets go behind the others of the region ...
-HOT_TOKENS = 200_000  # ... but only the most frequent of them: an order, not a filter
+MAP_BITS = 512
 
 
 def overlap(s: int, t: int) -> int:
@@ -65,18 +68,26 @@ def shingle_set(text: bytes, words: WordHashes) -> np.ndarray:
     return np.unique(window_hashes(hashes, min(WIDTH, len(hashes)))) if len(hashes) else hashes
 
 
+def parity(own: np.ndarray) -> np.ndarray:
+    """A bit map in which every shingle flips a bit: two maps differ in no more bits than the sets in shingles."""
+    counts = np.bincount((own >> np.uint64(7)).astype(np.int64) % MAP_BITS, minlength=MAP_BITS)
+    return np.packbits(counts.astype(np.uint8) & 1).view(np.int64)
+
+
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Size, fingerprint and first tokens of each document's set."""
     words = WordHashes()
     for batch in batches:
-        n, prints, heads = [], [], []
+        n, prints, heads, maps = [], [], [], []
         for text in texts_of(batch):
             own = shingle_set(text, words)
             n.append(len(own))
             prints.append(xxhash.xxh3_128_digest(own.tobytes()))
-            first = max(int(np.searchsorted(own, REGION)), prefix(len(own))) if len(own) >= SMALLEST_LARGE else len(own)
+            first = int(np.searchsorted(own, REGION)) if len(own) >= WHOLE_BELOW else len(own)
             heads.append(own[:first].tobytes())
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(prints, pa.binary()), pa.array(heads, pa.binary())], names=["doc_id", "n", "print", "head"])
+            maps.append(parity(own))
+        columns = [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(prints, pa.binary()), pa.array(heads, pa.binary()), pa.array(maps, pa.list_(pa.int64()))]
+        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "print", "head", "map"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -88,19 +99,38 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), values], names=["v", "own"])
 
 
-def _region_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _counted_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        own = np.frombuffer(b"".join(h for h in batch.column("head").to_pylist()), np.uint64)
-        yield pa.RecordBatch.from_arrays([pa.array(own[own < REGION].view(np.int64))], names=["token"])
+        own = np.frombuffer(b"".join(batch.column("head").to_pylist()), np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(own)], names=["token"])
+
+
+def first_tokens(own: np.ndarray, n: int, hot: np.ndarray) -> np.ndarray | None:
+    """The first tokens in the global order of a set of ``n`` of which ``own`` are known; None if these do not suffice."""
+    at = np.minimum(np.searchsorted(hot, own), len(hot) - 1)
+    last = hot[at] == own if len(hot) else np.zeros(len(own), bool)
+    if len(own) < n and (~last).sum() < prefix(n):
+        return None
+    return own[np.argsort(np.where(last, 2, own >= REGION), kind="stable")[: prefix(n)]]
 
 
 def _postings(boundary: int, hot):
+    """Keys of each set: its subsets if it is small, its first tokens if it may link with a large one.
+
+    A set whose known tokens do not suffice gets one row without a key.
+    """
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        late = hot.value
+        late, words = hot.value, WordHashes()
         for batch in batches:
-            keys, counts = [], []
-            for n, head in zip(batch.column("n").to_pylist(), batch.column("head").to_pylist()):
-                own, found = np.frombuffer(head, np.uint64), []
+            if "head" in batch.schema.names:
+                known = [(n, np.frombuffer(head, np.uint64)) for n, head in zip(batch.column("n").to_pylist(), batch.column("head").to_pylist())]
+            else:
+                known = [(len(own), own) for own in (shingle_set(text, words) for text in texts_of(batch))]
+            keys, sizes = [np.zeros(0, np.uint64)], []
+            open_ = []
+            for i, (n, own) in enumerate(known):
+                found = []
                 if n < boundary:
                     each = mixed(own)
                     total = each.sum(dtype=np.uint64)
@@ -108,15 +138,17 @@ def _postings(boundary: int, hot):
                         without = np.array(list(combinations(range(n), n - size)), np.int64).reshape(comb(n, size), n - size)
                         found.append(mixed(total - each[without].sum(axis=1, dtype=np.uint64) + np.uint64(size)))
                 if 100 * n >= PERCENT * boundary:
-                    place = np.searchsorted(late, own)
-                    behind = late[np.minimum(place, len(late) - 1)] == own if len(late) else np.zeros(len(own), bool)
-                    behind = behind.astype(np.int8) + 2 * (own >= REGION)
-                    found.append(own[np.argsort(behind, kind="stable")[: prefix(n)]])
-                keys.append(np.concatenate(found) if found else own[:0])
-                counts.append(len(keys[-1]))
-            at = np.repeat(np.arange(len(counts)), counts)
-            rows = batch.select(["v", "n"]).take(pa.array(at))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64) if keys else [], pa.int64()), rows.column("v"), rows.column("n")], names=["key", "v", "n"])
+                    first = first_tokens(own, n, late)
+                    if first is None:
+                        open_.append(i)
+                    else:
+                        found.append(first)
+                keys += found
+                sizes.append(sum(map(len, found)))
+            at = np.concatenate([np.repeat(np.arange(len(sizes)), sizes), np.array(open_, np.int64)]).astype(np.int64)
+            key = pa.concat_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.nulls(len(open_), pa.int64())])
+            n = pa.array(np.array([n for n, _ in known], np.int64)[at] if len(at) else [], pa.int64())
+            yield pa.RecordBatch.from_arrays([key, batch.column("v").take(pa.array(at)), n], names=["key", "v", "n"])
 
     return run
 
@@ -134,6 +166,15 @@ def _close(a: str, b: str) -> str:
     return f"100 * least({a}, {b}) >= {PERCENT} * greatest({a}, {b})"
 
 
+def plausible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs whose bit maps do not rule a link out."""
+    of = lambda v, x: classes.select(F.col("v").alias(v), F.struct("n", "map").alias(x))
+    both = pairs.join(of("a", "x"), "a").join(of("b", "y"), "b")
+    differ = F.aggregate(F.zip_with("x.map", "y.map", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, c: s + c)
+    total = F.col("x.n") + F.col("y.n")
+    return both.filter(differ <= total - 2 * F.ceil(PERCENT * total / (100 + PERCENT))).select("a", "b")
+
+
 def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs (a, b) of documents whose whole sets link."""
     ids = staged(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "jaccard-ids")
@@ -147,24 +188,32 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles and component_id of every document."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    described = staged(docs.mapInArrow(_describe, "doc_id long, n long, print binary, head binary"), "jaccard-sets")
-    of_class = described.filter("n > 0 and doc_id is not null").groupBy("print").agg(F.min("doc_id").alias("v"), F.first("n").alias("n"), F.first("head").alias("head"))
-    classes = staged(of_class, "jaccard-classes")
-
-    counted = classes.mapInArrow(_region_tokens, "token long").groupBy("token").agg(F.count(F.lit(1)).alias("df"))
-    hot = counted.filter(F.col("df") >= HOT_COUNT).orderBy(F.desc("df"), "token").limit(HOT_TOKENS)
-    late = np.sort(np.array([r[0] for r in hot.select("token").collect()], np.int64).view(np.uint64))
-    sizes = {r[0]: r[1] for r in classes.groupBy(F.least("n", F.lit(4 * SMALLEST_LARGE))).count().collect()}
+    described = staged(docs.mapInArrow(_describe, "doc_id long, n long, print binary, head binary, map array<long>"), "jaccard-sets")
+    ids = staged(described.select("doc_id", "n", "print"), "jaccard-ids")
+    first = staged(ids.filter("n > 0 and doc_id is not null").groupBy("print").agg(F.min("doc_id").alias("v")), "jaccard-first")
+    reps = described.join(broadcast_if_small(first), "print").filter("doc_id = v")
+    classes = staged(reps.select("v", "print", "n", "map").dropDuplicates(["v", "print"]), "jaccard-classes")
+
+    tokens = reps.mapInArrow(_counted_tokens, "token long")
+    hot = staged(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter(F.col("df") >= HOT_COUNT), "jaccard-hot")
+    last = hot.orderBy(F.desc("df"), "token").limit(HOT_TOKENS).select("token").toPandas()["token"]
     # mean length of the list that a token leads to, over one token in 64
-    few = classes.mapInArrow(_region_tokens, "token long").filter("pmod(token, 64) = 0").groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    few = tokens.filter("pmod(token, 64) = 0").groupBy("token").agg(F.count(F.lit(1)).alias("df"))
     length = few.agg(F.try_divide(F.sum(F.col("df") * F.col("df")), F.sum("df"))).first()[0]
+    sizes = {r[0]: r[1] for r in classes.groupBy(F.least("n", F.lit(4 * SMALLEST_LARGE))).count().collect()}
     boundary = choose_boundary(sizes, max(1.0, float(length or 1.0)))
-    postings = classes.mapInArrow(_postings(boundary, spark.sparkContext.broadcast(late)), "key long, v long, n long")
+    emit = _postings(boundary, spark.sparkContext.broadcast(np.sort(last.to_numpy(np.int64).view(np.uint64))))
+    known = staged(reps.select("v", "n", "head").mapInArrow(emit, "key long, v long, n long"), "jaccard-postings")
+    drop_staged(described)
+    open_ = staged(known.filter("key is null").select("v").distinct(), "jaccard-open")  # sets made of hot tokens for the most part
+    whole = docs.select(F.col("doc_id").alias("v"), "text").join(broadcast_if_small(open_), "v", "left_semi")
+    postings = known.filter("key is not null").union(whole.mapInArrow(emit, "key long, v long, n long"))
     lists = postings.groupBy("key").agg(F.min("v").alias("pivot"), F.max("v").alias("_last"), F.min_by("n", "v").alias("pivot_n")).filter("pivot < _last").drop("_last")
-    shared = staged(postings.join(lists, "key").distinct(), "jaccard-lists")
+    shared = staged(postings.join(staged(lists, "jaccard-pivots"), "key").distinct(), "jaccard-lists")
+    drop_staged(known)
 
     near = shared.filter(f"v > pivot and {_close('n', 'pivot_n')}").select(F.col("pivot").alias("a"), F.col("v").alias("b")).distinct()
-    links = staged(verified(docs, staged(near, "jaccard-pairs")), "jaccard-links")
+    links = staged(verified(docs, staged(plausible(near, classes), "jaccard-pairs")), "jaccard-links")
     groups = components(links)
     members = shared.join(groups, "v", "left").select("key", "v", "n", "pivot", F.coalesce("component", "v").alias("g"))
     members = staged(members, "jaccard-members")
@@ -173,12 +222,12 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     rest = mixed_lists.filter("g <> top").select("key", F.col("v").alias("x"), F.col("n").alias("nx"), F.col("g").alias("gx"))
     further = mixed_lists.select("key", "v", "n", "g").join(rest, "key").filter(f"g <> gx and {_close('n', 'nx')}")
     further = further.select(F.least("v", "x").alias("a"), F.greatest("v", "x").alias("b")).distinct()
-    more = staged(verified(docs, staged(further, "jaccard-pairs")), "jaccard-links")
+    more = staged(verified(docs, staged(plausible(further, classes), "jaccard-pairs")), "jaccard-links")
     groups = staged(components(links.union(more)), "jaccard-groups")
 
-    smallest = classes.select("print", "v").join(groups, "v", "left").select("print", F.coalesce("component", "v").alias("c"))
-    result = described.select("doc_id", F.col("n").alias("n_shingles"), "print").join(smallest, "print", "left")
+    smallest = first.join(groups, "v", "left").select("print", F.coalesce("component", "v").alias("c"))
+    result = ids.select("doc_id", F.col("n").alias("n_shingles"), "print").join(smallest, "print", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("c", "doc_id"))
     result = staged(result.select("doc_id", "n_shingles", component.alias("component_id")), "jaccard-result")
-    drop_staged(described, classes, shared, members)
+    drop_staged(ids, first, classes, shared, members)
     return result
