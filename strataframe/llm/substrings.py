@@ -108,13 +108,16 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
 
     # a document with a smaller equal one loses every word; it seeds nothing that the smaller one does not
     seeds = usable.join(first.select("id"), "id", "left_semi").select("id", "doc_id", "print", F.explode("anchors").alias("anchor"))
+    # written first: a join of two plain shuffles can split an anchor or a window that very many documents hold
     shared = seeds.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi").select("anchor")
+    shared = staged(shared, "substrings-shared")
     per_doc = seeds.join(shared, "anchor").groupBy("id").agg(F.first("doc_id").alias("doc_id"), F.first("print").alias("print"), F.collect_list("anchor").alias("anchors"))
     near = docs.join(per_doc, "doc_id").mapInArrow(_same_text, "doc_id long, text string, id long, anchors array<long>")
     near = staged(near, "substrings-near")
 
     windows = near.mapInArrow(_windows, "id long, doc_id long, window long, at long")
     earlier = windows.groupBy("window").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi").select("window", "lo")
+    earlier = staged(earlier, "substrings-windows")
     repeats = windows.join(earlier, "window").filter("lo < doc_id").groupBy("id").agg(F.collect_list("at").alias("starts"))
     cut = near.select("id", "text").join(repeats, "id").mapInArrow(_cut, "id long, lost long, left_text string")
     cut = staged(cut.dropDuplicates(["id"]), "substrings-cut")  # rows may repeat
@@ -130,7 +133,7 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
         F.when(F.col("doc_id").isNull() | left.isNull(), F.col("sha")).otherwise(F.sha2(left, 256)).alias("kept_sha256"), left.alias("left_text"),
     )
     result = staged(result, "substrings-result")
-    drop_staged(described, first, near)
+    drop_staged(described, first, near, shared, earlier)
     return result
 
 
