@@ -19,14 +19,14 @@ returned without a component.  Empty tables give empty results; other columns ar
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, reduce
 from itertools import combinations
 from math import comb
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strataframe.llm.common import WordHashes, drop_staged, mixed, staged, texts_of, window_hashes
@@ -166,13 +166,21 @@ def _close(a: str, b: str) -> str:
     return f"100 * least({a}, {b}) >= {PERCENT} * greatest({a}, {b})"
 
 
+def _differing(a: str, b: str) -> Column:
+    """In how many bits two maps differ."""
+    return reduce(Column.__add__, [F.bit_count(F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))) for i in range(MAP_BITS // 64)])
+
+
+def _spare(n: Column, m: Column) -> Column:
+    """How many shingles linked sets of these sizes may not share."""
+    return n + m - 2 * F.ceil(PERCENT * (n + m) / (100 + PERCENT))
+
+
 def plausible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """The pairs whose bit maps do not rule a link out."""
     of = lambda v, x: classes.select(F.col("v").alias(v), F.struct("n", "map").alias(x))
     both = pairs.join(of("a", "x"), "a").join(of("b", "y"), "b")
-    differ = F.aggregate(F.zip_with("x.map", "y.map", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, c: s + c)
-    total = F.col("x.n") + F.col("y.n")
-    return both.filter(differ <= total - 2 * F.ceil(PERCENT * total / (100 + PERCENT))).select("a", "b")
+    return both.filter(_differing("x.map", "y.map") <= _spare(F.col("x.n"), F.col("y.n"))).select("a", "b")
 
 
 def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -218,16 +226,18 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     members = shared.join(groups, "v", "left").select("key", "v", "n", "pivot", F.coalesce("component", "v").alias("g"))
     members = staged(members, "jaccard-members")
     largest = members.groupBy("key", "g").agg(F.count(F.lit(1)).alias("m")).groupBy("key").agg(F.max_by("g", F.struct("m", "g")).alias("top"), F.count(F.lit(1)).alias("kinds"))
-    mixed_lists = members.join(largest.filter("kinds > 1"), "key").filter("v <> pivot")
-    rest = mixed_lists.filter("g <> top").select("key", F.col("v").alias("x"), F.col("n").alias("nx"), F.col("g").alias("gx"))
-    further = mixed_lists.select("key", "v", "n", "g").join(rest, "key").filter(f"g <> gx and {_close('n', 'nx')}")
+    mixed_lists = members.join(largest.filter("kinds > 1"), "key").filter("v <> pivot").join(classes.select("v", "map"), "v")
+    mixed_lists = staged(mixed_lists.select("key", "v", "n", "g", "map", (F.col("g") != F.col("top")).alias("other")), "jaccard-mixed")
+    rest = mixed_lists.filter("other").select("key", F.col("v").alias("x"), F.col("n").alias("nx"), F.col("g").alias("gx"), F.col("map").alias("mx"))
+    may_link = _differing("map", "mx") <= _spare(F.col("n"), F.col("nx"))
+    further = mixed_lists.join(rest, "key").filter(F.expr(f"g <> gx and {_close('n', 'nx')}") & may_link)
     further = further.select(F.least("v", "x").alias("a"), F.greatest("v", "x").alias("b")).distinct()
-    more = staged(verified(docs, staged(plausible(further, classes), "jaccard-pairs")), "jaccard-links")
+    more = staged(verified(docs, staged(further, "jaccard-pairs")), "jaccard-links")
     groups = staged(components(links.union(more)), "jaccard-groups")
 
     smallest = first.join(groups, "v", "left").select("print", F.coalesce("component", "v").alias("c"))
     result = ids.select("doc_id", F.col("n").alias("n_shingles"), "print").join(smallest, "print", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("c", "doc_id"))
     result = staged(result.select("doc_id", "n_shingles", component.alias("component_id")), "jaccard-result")
-    drop_staged(ids, first, classes, shared, members)
+    drop_staged(ids, first, classes, shared, members, mixed_lists)
     return result
