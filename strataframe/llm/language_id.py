@@ -1,14 +1,15 @@
 """Language identification by interpolated Kneser-Ney character models.
 
 One model per language over the letters of words with a start and an end, up to ``ORDER``
-characters.  N-grams are counted over all documents to learn from; continuation counts follow
-from the distinct n-grams of the next order.  The models stand in sorted arrays of packed n-grams
-with the log probability of each under every language, and of contexts with their back-off
-weights; a language keeps at most ``CAPACITY`` n-grams of the highest order, those with the
-highest counts.  A text's cross-entropy under a language is the mean over the characters of its
-words; the lowest wins.  The score is the posterior at the temperature that fits the documents
-learned from best; ``rejected`` marks texts whose cross-entropy lies far above that of its
-language's documents, given its length.
+characters.  N-grams are counted over all documents to learn from, none is left out; continuation
+counts follow from the distinct n-grams of the next order, discounts from the n-grams that come
+once and twice.  Counts and probabilities are tables with one row per n-gram of any document and a
+value for each language, filled order by order.  A word's log probability is the sum over its
+n-grams; that of a text is the sum over its words, of which the commonest are looked up inside
+tasks and the others are joined.  A text's cross-entropy under a language is the mean over the
+characters of its words; the lowest wins.  The score is the posterior at the temperature that fits
+the documents learned from best; ``rejected`` marks texts whose cross-entropy lies far above that
+of its language's documents, given its length.
 
 Null texts and texts without a letter are ``und`` with score 0; all of a text is read; documents
 without language or doc_id are not learned from; with nothing to learn from every text is
@@ -18,21 +19,24 @@ columns other than doc_id, text and lang are ignored.
 
 from __future__ import annotations
 
+import re
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import groupby
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strataframe.llm.common import staged
+from strataframe.llm.common import drop_staged, staged
 
 ORDER, BITS = 5, 12
-CAPACITY = 100_000
 LETTERS = 1 << BITS  # letters of higher code points share the last quarter
-CHUNK = 4 << 20  # characters looked at together
+WORD = re.compile(r"[^\W\d_]+")  # runs of letters, and of numerals that are no decimal digits
+COMMON, COMMON_CHARS = 50_000, 64  # words looked up inside tasks and their length; all others are joined, with the same result
+UNIT = 1e8  # log probabilities are summed as whole numbers of this fraction, so no order of rows changes a sum
 TEMPERATURES = (0.5, 1.0, 2.0, 4.0, 8.0, 16.0, 32.0, 64.0)
 
 
@@ -60,31 +64,49 @@ def grams(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return packed, np.cumsum(points == 10)[use] - (points == 10)[use]
 
 
-def chunks(texts: list[str]) -> Iterator[tuple[int, int]]:
-    """Ranges of texts that are looked at together."""
-    start, held = 0, 0
-    for i, text in enumerate(texts, 1):
-        held += len(text)
-        if held >= CHUNK or i == len(texts):
-            yield start, i
-            start, held = i, 0
+def letter_words(text: str) -> Iterator[str]:
+    """The runs of letters of a text, in small letters."""
+    for word in WORD.findall(text.lower()):
+        if word.isalpha():
+            yield word
+        else:
+            yield from ("".join(run) for letters, run in groupby(word, str.isalpha) if letters)
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """N-gram counts by language within a chunk of texts."""
+    """Word counts by language within a batch; without a language the words are only to be scored."""
     for batch in batches:
-        langs = np.array(batch.column("lang").to_pylist(), object)
-        texts = np.array(batch.column("text").to_pylist(), object)
-        for lang in pd.unique(langs):
-            own = texts[langs == lang].tolist()
-            for a, b in chunks(own):
-                codes, tokens = pd.factorize(np.array([w for t in own[a:b] for w in t.split()], object))
-                if not len(tokens):
-                    continue
-                found, of = grams(tokens)
+        found: dict[str | None, Counter] = defaultdict(Counter)
+        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text")):
+            found[lang].update(letter_words(text.as_py() or ""))
+        for lang, own in found.items():
+            if own:
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(own), pa.string()), pa.array(list(own), pa.string()), pa.array(own.values(), pa.int64())], names=["lang", "word", "n"])
+
+
+def _language_grams(langs: list[str]):
+    """N-gram counts by language from word counts; words without a language count 0."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = {lang: i for i, lang in enumerate(langs)}
+        for batch in batches:
+            words, own = np.array(batch.column("word").to_pylist(), object), np.array([number.get(x, -1) for x in batch.column("lang").to_pylist()], np.int64)
+            n = np.where(own >= 0, batch.column("n").to_numpy(zero_copy_only=False), 0)
+            for i in np.unique(own):
+                found, of = grams(words[own == i])
                 keys, at = np.unique(found, return_inverse=True)
-                n = np.bincount(at, np.bincount(codes)[of]).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(keys), pa.string()), pa.array(keys), pa.array(n)], names=["lang", "gram", "n"])
+                sums = np.zeros(len(keys), np.int64)
+                np.add.at(sums, at, n[own == i][of])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), i)), pa.array(keys), pa.array(sums)], names=["lang", "gram", "n"])
+
+    return run
+
+
+def _word_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        if batch.num_rows:
+            found, of = grams(np.array(batch.column("word").to_pylist(), object))
+            yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(of)), pa.array(found)], names=["id", "gram"])
 
 
 def find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -96,7 +118,7 @@ def find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class KneserNey:
-    """The model of one language: per order the n-grams with log probabilities, and contexts with back-off weights."""
+    """The model of one language in memory, to check the tables against: per order the n-grams with log probabilities, and contexts with back-off weights."""
 
     def __init__(self, keys: np.ndarray, counts: np.ndarray):
         levels = {ORDER: (keys, counts.astype(float))}
@@ -130,78 +152,105 @@ class KneserNey:
         return out
 
 
-class Models:
-    """All languages side by side: one search gives an n-gram's log probability under each."""
+def probabilities(counts: DataFrame, size: int) -> DataFrame:
+    """gram and the probability of its last character under every language (``p``), from counts ``n0``, ``n1`` ... by language.
 
-    def __init__(self, models: list[KneserNey]):
-        self.size = len(models)
-        self.keys, self.logs, self.contexts, self.weights = {}, {}, {}, {}
-        for k in range(1, ORDER + 1):
-            keys = self.keys[k] = np.unique(np.concatenate([m.keys[k] for m in models]))
-            self.logs[k] = np.stack([m.log(keys, k) for m in models], axis=1).astype(np.float32)
-            contexts = self.contexts[k] = np.unique(np.concatenate([m.contexts[k] for m in models]))
-            weights = np.zeros((len(contexts), self.size), np.float32)
-            for i, m in enumerate(models):
-                at, known = find(m.contexts[k], contexts)
-                weights[known, i] = m.weights[k][at[known]]
-            self.weights[k] = weights
-
-    def log(self, keys: np.ndarray) -> np.ndarray:
-        out, open_ = np.zeros((len(keys), self.size), np.float32), np.arange(len(keys))
-        for k in range(ORDER, 0, -1):
-            own = keys[open_] & ((1 << BITS * k) - 1)
-            at, known = find(self.keys[k], own)
-            out[open_[known]] += self.logs[k][at[known]]
-            open_, own = open_[~known], own[~known]
-            at, known = find(self.contexts[k], own >> BITS)
-            out[open_[known]] += self.weights[k][at[known]]
-        out[open_] -= np.float32(np.log(LETTERS))
-        return out
+    An n-gram's context and its shorter n-gram are each shared by no more rows than there are letters.
+    """
+    ns = [f"n{i}" for i in range(size)]
+    levels = {ORDER: counts}
+    for k in range(ORDER - 1, 0, -1):  # how many characters stand before each shorter n-gram
+        shorter = F.col("gram").bitwiseAND(F.lit((1 << BITS * k) - 1)).alias("gram")
+        levels[k] = staged(levels[k + 1].groupBy(shorter).agg(*[F.sum((F.col(n) > 0).cast("long")).alias(n) for n in ns]), "language-counts")
+    out = None
+    for k in range(1, ORDER + 1):
+        how_many = lambda c: F.coalesce(F.sum(c.cast("long")), F.lit(0))
+        sums = [f(F.col(n)).alias(f"{n}_{j}") for n in ns for j, f in enumerate((lambda n: how_many(n == 1), lambda n: how_many(n == 2), how_many, lambda n: how_many(n > 0)))]
+        known = levels[k].agg(*sums).first()  # one row of four numbers per language
+        below = [F.lit(1.0 / LETTERS)] * size
+        same = Window.partitionBy(F.shiftright("gram", BITS))
+        values = []
+        rows = levels[k]
+        if out is not None:
+            shorter = F.col("gram").bitwiseAND(F.lit((1 << BITS * (k - 1)) - 1))
+            rows = rows.withColumns({x: f(F.col(n)).over(same) for n in ns for x, f in ((f"{n}_total", F.sum), (f"{n}_kinds", lambda c: F.sum((c > 0).cast("long"))))})
+            rows = rows.withColumn("shorter", shorter).join(out.select(F.col("gram").alias("shorter"), "p"), "shorter")
+            below = [F.get("p", F.lit(i)) for i in range(size)]
+        for n, p in zip(ns, below):
+            once, twice = known[f"{n}_0"], known[f"{n}_1"]
+            discount = once / (once + 2 * twice) if once and twice else 0.75
+            total, kinds = (F.lit(known[f"{n}_2"]), F.lit(known[f"{n}_3"])) if out is None else (F.col(f"{n}_total"), F.col(f"{n}_kinds"))
+            seen = (F.greatest(F.col(n) - F.lit(discount), F.lit(0.0)) + F.lit(discount) * kinds * p) / total
+            values.append(F.when(total > 0, seen).otherwise(p))
+        out = rows.select("gram", F.array(*values).alias("p"))
+    out = staged(out, "language-probabilities")
+    drop_staged(*levels.values())
+    return out
 
 
-def _entropies(models):
+def word_scores(docs: DataFrame) -> tuple[list[str], DataFrame | None]:
+    """The languages, sorted, and each word of any document with its count, characters and log probability under every language.
+
+    The languages are learned from the documents that are ``learned`` and have a language.
+    """
+    rows = docs.select("text", F.when(F.col("learned"), F.col("lang")).alias("lang"))
+    counts = staged(rows.mapInArrow(_count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")), "language-words")
+    langs = sorted(r.lang for r in counts.filter("lang is not null").select("lang").distinct().collect())
+    if not langs:
+        return [], None
+    per_language = [F.sum(F.when(F.col("lang") == i, F.col("n")).otherwise(0)).alias(f"n{i}") for i in range(len(langs))]
+    grams_ = staged(counts.mapInArrow(_language_grams(langs), "lang long, gram long, n long").groupBy("gram").agg(*per_language), "language-grams")
+    p = probabilities(grams_, len(langs))
+
+    words = staged(counts.groupBy("word").agg(F.sum("n").alias("n")).withColumn("id", F.monotonically_increasing_id()), "language-vocabulary")
+    whole = [F.sum(F.round(F.log(F.get("p", F.lit(i))) * UNIT).cast("long")).alias(f"s{i}") for i in range(len(langs))]
+    scored = words.mapInArrow(_word_grams, "id long, gram long").join(p, "gram").groupBy("id").agg(F.count(F.lit(1)).alias("chars"), *whole)
+    scores = words.join(scored, "id").select("word", "n", "chars", F.array(*[f"s{i}" for i in range(len(langs))]).alias("logs"))
+    scores = staged(scores, "language-scores")
+    drop_staged(counts, p, words)
+    return langs, scores
+
+
+def _known_words(common, size: int):
+    """Characters and log probabilities of the common words of each document, and its other words with their counts."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = models.value
+        places, lengths, logs = common.value
         for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            means, sizes = [], []
-            for a, b in chunks(texts):
-                words = [t.split() for t in texts[a:b]]
-                codes, tokens = pd.factorize(np.array([w for ws in words for w in ws], object))
-                sums, chars = np.zeros((b - a, own.size)), np.zeros(b - a)
-                if len(tokens):
-                    found, of = grams(tokens)
-                    logs = own.log(found)
-                    docs = np.repeat(np.arange(b - a), [len(ws) for ws in words])
-                    per_token = [np.bincount(of, logs[:, i], len(tokens)) for i in range(own.size)]
-                    chars = np.bincount(docs, np.bincount(of, minlength=len(tokens))[codes], b - a)
-                    sums = np.stack([np.bincount(docs, p[codes], b - a) for p in per_token], axis=1)
-                with np.errstate(invalid="ignore", divide="ignore"):
-                    means += list(-sums / chars[:, None])
-                sizes += chars.astype(np.int64).tolist()
-            rows = [m if n else None for m, n in zip(means, sizes)]
-            kept = batch.select(["doc_id", "lang", "held_out", "learned"])
-            yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(sizes, pa.int64()), pa.array(rows, pa.list_(pa.float64()))], names=[*kept.schema.names, "chars", "entropy"])
+            chars, sums, rest, times = [], [], [], []
+            for text in batch.column("text"):
+                own = Counter(letter_words(text.as_py() or ""))
+                at = np.fromiter((places.get(w, -1) for w in own), np.int64, len(own))
+                n = np.fromiter(own.values(), np.int64, len(own))
+                here = at >= 0
+                chars.append(int(n[here] @ lengths[at[here]]))
+                sums.append((n[here] @ logs[at[here]]).tolist())
+                rest.append([w for w, known in zip(own, here) if not known])
+                times.append(n[~here])
+            kept = batch.select(["id", "doc_id", "lang", "held_out", "learned"])
+            columns = [pa.array(chars, pa.int64()), pa.array(sums, pa.list_(pa.int64())), pa.array(rest, pa.list_(pa.string())), pa.array(times, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*kept.columns, *columns], names=[*kept.schema.names, "chars", "logs", "rest", "times"])
 
     return run
 
 
-def learn(docs: DataFrame) -> tuple[list[str], Models | None]:
-    """The languages, sorted, and their models from documents with a text and a language."""
-    usable = docs.filter("text is not null and lang is not null").select("text", "lang")
-    counts = usable.mapInArrow(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    counts = staged(counts, "language-counts")
-    # the lowest count kept, so that a language keeps no more than the capacity
-    sizes = counts.groupBy("lang", F.least("n", F.lit(100_000)).alias("n")).count().toPandas().sort_values("n", ascending=False)
-    models = {}
-    for lang, own in sizes.groupby("lang"):
-        fits = own[own["count"].cumsum() <= CAPACITY]
-        least = int(fits["n"].min()) if len(fits) else 100_001
-        kept = counts.filter((F.col("lang") == lang) & (F.col("n") >= least)).orderBy("gram").select("gram", "n").toPandas()
-        if len(kept):
-            models[lang] = KneserNey(kept["gram"].to_numpy(np.int64), kept["n"].to_numpy(np.int64))
-    langs = sorted(models)
-    return langs, Models([models[x] for x in langs]) if langs else None
+def entropies(docs: DataFrame, scores: DataFrame, size: int) -> DataFrame:
+    """The documents with their characters and cross-entropy under every language, null without characters."""
+    common = scores.filter(F.length("word") <= COMMON_CHARS).orderBy(F.desc("n"), "word").limit(COMMON).collect()
+    held = ({r.word: i for i, r in enumerate(common)}, np.array([r.chars for r in common], np.int64), np.array([r.logs for r in common], np.int64).reshape(-1, size))
+    kind = f"id long, doc_id {dict(docs.dtypes)['doc_id']}, lang string, held_out boolean, learned boolean, chars long, logs array<long>, rest array<string>, times array<long>"
+    parts = docs.withColumn("id", F.monotonically_increasing_id()).mapInArrow(_known_words(docs.sparkSession.sparkContext.broadcast(held), size), kind)
+    parts = staged(parts, "language-parts")
+    each = parts.select("id", F.explode(F.arrays_zip("rest", "times")).alias("e")).select("id", F.col("e.rest").alias("word"), F.col("e.times").alias("times"))
+    own = [F.sum(F.col("times") * F.get("logs", F.lit(i))).alias(f"r{i}") for i in range(size)]
+    other = each.join(scores.select("word", "chars", "logs"), "word").groupBy("id").agg(F.sum(F.col("times") * F.col("chars")).alias("more"), *own)
+    both = parts.drop("rest", "times").join(other, "id", "left")
+    chars = F.col("chars") + F.coalesce("more", F.lit(0))
+    means = [-(F.get("logs", F.lit(i)) + F.coalesce(f"r{i}", F.lit(0))) / (UNIT * chars) for i in range(size)]
+    out = both.select("doc_id", "lang", "held_out", "learned", chars.alias("chars"), F.when(chars > 0, F.array(*means)).alias("entropy"))
+    out = staged(out, "language-entropies")
+    drop_staged(parts, scores)
+    return out
 
 
 def identify(docs: DataFrame) -> DataFrame:
@@ -211,11 +260,10 @@ def identify(docs: DataFrame) -> DataFrame:
     """
     fold = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5))
     docs = docs.select("doc_id", "text", "lang", F.coalesce(fold == 0, F.lit(False)).alias("held_out"), F.coalesce(fold != 0, F.lit(False)).alias("learned"))
-    langs, models = learn(docs.filter("learned"))
-    if models is None:
+    langs, scores = word_scores(docs)
+    if scores is None:
         return docs.select("doc_id", "held_out", F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(True).alias("rejected"), F.lit(None).cast("double").alias("cross_entropy"))
-    kind = f"doc_id {dict(docs.dtypes)['doc_id']}, lang string, held_out boolean, learned boolean, chars long, entropy array<double>"
-    scored = staged(docs.mapInArrow(_entropies(docs.sparkSession.sparkContext.broadcast(models)), kind), "language-entropies")
+    scored = entropies(docs, scores, len(langs))
 
     names = F.array(*[F.lit(x) for x in langs])
     best = F.array_min("entropy")

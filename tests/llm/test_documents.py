@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 from hashlib import sha256
 
 import duckdb
+import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
@@ -307,3 +308,31 @@ def test_kneser_ney_sums_to_one():
             packed = packed << language_id.BITS | int(language_id.letter_ids()[ord(c)])
         every = np.arange(language_id.LETTERS) | packed << language_id.BITS
         assert np.exp(model.log(every, len(context) + 1)).sum() == pytest.approx(1.0, abs=1e-6)
+
+
+def test_language_counts_every_gram(spark):
+    """More than 100,000 different 5-grams of a language, compared with models in memory that hold all of them."""
+    rng = random.Random(5)
+    rows = []
+    for i in range(240):
+        lang = ("aa", "bb")[i % 2]
+        letters = "abcdefghijklmnopqrstuvwxyz" if lang == "aa" else "klmnopqrstuvwxyz\u4e00\u4e01\u4e02"
+        words = ["".join(rng.choice(letters) for _ in range(rng.randint(3, 9))) for _ in range(300)]
+        rows.append((i, " ".join(words) + " Common, words! x\u00b2y", lang))
+    rows += [(1000, "zzqqj \u0416\u0416", None), (1001, "  12 ", "aa")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in language_id.identify(docs).collect()}
+    models = {}
+    for lang in ("aa", "bb"):
+        texts = [t for i, t, x in rows if x == lang and not got[i].held_out]
+        keys, n = np.unique(language_id.grams(np.array([w for t in texts for w in t.split()], object))[0], return_counts=True)
+        models[lang] = language_id.KneserNey(keys, n)
+    assert len(models["aa"].keys[language_id.ORDER]) > 100_000
+    for i, text, _ in rows:
+        found, _of = language_id.grams(np.array(text.split(), object))
+        if not len(found):
+            assert got[i].lang_pred == "und" and got[i].cross_entropy is None
+            continue
+        want = {lang: -m.log(found, language_id.ORDER).mean() for lang, m in models.items()}
+        assert got[i].lang_pred == min(want, key=want.get)
+        assert got[i].cross_entropy == pytest.approx(min(want.values()), abs=1e-6)
