@@ -16,6 +16,7 @@ from strataframe.llm.quality import quality_rules
 from strataframe.llm.secret_scan import redacted
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+NEAR_WIDTH, NEAR_PERCENT = 5, 80  # near duplicates: words of a shingle, least similarity
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -28,7 +29,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked ones, the one with the smallest doc_id; equal rows count once."""
-    groups = jaccard_components(docs)
+    groups = jaccard_components(docs, NEAR_WIDTH, NEAR_PERCENT)
     gone = groups.filter("doc_id <> component_id").select("doc_id").distinct()
     left = docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
     repeats = groups.groupBy("doc_id").count().filter("count > 1 and doc_id is not null")

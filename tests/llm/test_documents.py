@@ -336,3 +336,29 @@ def test_language_counts_every_gram(spark):
         want = {lang: -m.log(found, language_id.ORDER).mean() for lang, m in models.items()}
         assert got[i].lang_pred == min(want, key=want.get)
         assert got[i].cross_entropy == pytest.approx(min(want.values()), abs=1e-6)
+
+
+def test_jaccard_width_and_percent(spark):
+    rng = random.Random(8)
+    rows = []
+    for size in (2, 5, 9, 14, 25, 40, 90, 300):
+        base = [f"s{size}w{k}" for k in range(size)]
+        for extra in (0, 0.05, 0.18, 0.2, 0.22, 0.25, 0.4):
+            words = base + [f"n{rng.randrange(10**9)}" for _ in range(round(extra * size))]
+            if rng.random() < 0.3:
+                words[rng.randrange(len(words))] = "z"
+            rows.append((len(rows), " ".join(words)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    out = {}
+    for width, percent in ((5, 80), (3, 60)):
+        sets = {i: frozenset(tuple(w[k : k + width]) for k in range(max(1, len(w) - width + 1))) for i, w in ((i, t.split()) for i, t in rows)}
+        up = dict(zip(sets, sets))
+        for a in sets:
+            for b in range(a):
+                n = len(sets[a] & sets[b])
+                if n and 100 * n >= percent * (len(sets[a]) + len(sets[b]) - n):
+                    x, y = up[a], up[b]
+                    up = {i: min(x, y) if g in (x, y) else g for i, g in up.items()}
+        out[width] = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.jaccard_components(frame, width, percent).collect()}
+        assert out[width] == {i: (len(sets[i]), up[i]) for i in sets}
+    assert len({c for _, c in out[5].values()}) < len({r.component_id for r in jaccard.jaccard_components(frame).collect()})

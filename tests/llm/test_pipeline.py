@@ -27,3 +27,11 @@ def test_stages(spark):
     assert {r.doc_id for r in after.collect()} <= {r.doc_id for r in before.collect()} and after.columns == before.columns
     before, after = seen["byte-level BPE"]
     assert before.count() == after.count() and after.filter("n_tokens = 0").count() == 0
+
+
+def test_near_duplicates_from_four_fifths_of_five_words(spark):
+    base = " ".join(f"w{k}" for k in range(204))
+    rows = [(1, base), (2, base + " " + " ".join(f"n{k}" for k in range(46))), (3, base + " " + " ".join(f"m{k}" for k in range(70)))]  # 200 of 246 and of 270
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    left = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+    assert {r.doc_id for r in left.collect()} == {1, 3}
