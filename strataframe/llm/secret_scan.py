@@ -1,13 +1,14 @@
 """Secret scans: candidate strings, and a random forest that removes false positives.
 
 Candidates are runs of letters, digits and a few marks that stand after an assignment to a name
-such as token or password, have the form of a known key, or are long mixes of letters and digits.
+such as token or password (with any run of blanks around the sign), have the form of a known key
+anywhere in the text, or are long mixes of letters and digits.
 Features are the length, character classes, how likely the character transitions are in ordinary
 words (learned from all documents), how much of the candidate common words of the corpus cover,
 the source as path, and the words next to it.  A forest is trained on labelled findings: a table
 given by the caller or, without one, findings made from the corpus, where random keys put in the
-place of ordinary words after an assignment are secrets and the corpus's own words, numbers and
-identifiers found elsewhere are not.
+place of ordinary words after an assignment and keys of a known form put anywhere are secrets and
+the corpus's own words, numbers and identifiers found elsewhere are not.
 
 Texts are scanned whole, every candidate is judged.  Null and blank texts have none; rows without
 doc_id are scanned alike; repeated rows give repeated findings; no candidates give an empty table.
@@ -34,12 +35,16 @@ from strataframe.llm.common import staged, texts_of
 NAMES = re.compile(rb"(?i)token|secret|passw|pwd|credential|auth|(api|access|private|encryption|signing)[_-]?key|^key$")
 SAMPLES = re.compile(rb"(?i)example|sample|dummy|test|your|placeholder|changeme|xxx|fake|none|null|todo")
 SAMPLE_PATHS = re.compile(r"(?i)test|example|fixture|sample|mock|doc")
-KNOWN = re.compile(rb"AKIA[0-9A-Z]{16}$|gh[pousr]_[A-Za-z0-9]{36}$|xox[abprs]-[0-9A-Za-z-]{10,}$|sk_(live|test)_[0-9A-Za-z]{16,}$|eyJ[A-Za-z0-9_-]{10,}")
+KNOWN = re.compile(
+    rb"AKIA[0-9A-Z]{16}(?![0-9A-Za-z])|gh[pousr]_[A-Za-z0-9]{36}(?![0-9A-Za-z])|xox[abprs]-[0-9A-Za-z-]{10,}|sk_(?:live|test)_[0-9A-Za-z]{16,}"
+    rb"|eyJ[A-Za-z0-9_-]{10,}(?:\.[A-Za-z0-9_-]+){0,2}"
+)
 
 OPERATOR = re.compile(rb"[:=]")
-NAME_BEFORE = re.compile(rb"([A-Za-z0-9_-]{2,40})[\"']?\s{0,3}:?$")
-VALUE_AFTER = re.compile(rb">?\s{0,3}[\"']?([^\s\"'<>`,;|]{6,})")
-LONG = re.compile(rb"(?<![A-Za-z0-9+/_=.@-])[A-Za-z0-9+/_-]{16,}+={0,2}(?![A-Za-z0-9@])")
+NAME_BEFORE = re.compile(rb"([A-Za-z0-9_-]{2,40})[\"']?\s{0,3}$")
+VALUE_AFTER = re.compile(rb">?(?:[ \t]*|\s{0,3})[\"']?([^\s\"'<>`,;|]{6,})")
+ASSIGNED = re.compile(rb"[:=]>?(?:[ \t]*|\s{0,3})[\"']?$")
+LONG = re.compile(rb"(?<![A-Za-z0-9+/_.@-])[A-Za-z0-9+/_-]{16,}+={0,2}(?![A-Za-z0-9@])")
 KEY_BLOCK = re.compile(rb"-----BEGIN [A-Z ]*PRIVATE KEY-----.*?-----END [A-Z ]*PRIVATE KEY-----", re.S)
 WORD = re.compile(rb"[a-z]{3,12}$")
 HEX = re.compile(rb"[0-9a-fA-F]+$")
@@ -53,17 +58,38 @@ SAMPLE_DOCS, SAMPLE_CHARS, SAMPLE_FINDINGS = 1000, 20_000, 12_000
 DICTIONARY_WORDS = 5_000
 
 
+def name_end(text: bytes, at: int) -> int:
+    """Where the name before a sign ends: before any run of blanks, and the colon of ``:=``."""
+    at -= text[at - 1 : at] == b":"
+    while at and text[at - 1] in b" \t":
+        at -= 1
+    return at
+
+
 def spans(text: bytes) -> list[tuple[int, int, bytes]]:
     """Start, end and the name assigned to (empty if none) of every candidate, in order, not overlapping."""
     found = [(m.start(), m.end(), b"private key") for m in KEY_BLOCK.finditer(text)]
     for m in OPERATOR.finditer(text):
-        name = NAME_BEFORE.search(text, max(0, m.start() - 48), m.start())
+        name = NAME_BEFORE.search(text, max(0, (end := name_end(text, m.start())) - 48), end)
         if name and NAMES.search(name[1]) and (value := VALUE_AFTER.match(text, m.end())):
             found.append((*value.span(1), name[1]))
+    known = [m.span() for m in KNOWN.finditer(text)]
+    found += [(*k, b"") for k in known]
+    at = 0
     for m in LONG.finditer(text):
-        own = m[0]
-        if any(c in b"0123456789" for c in own) and not own.isdigit() or not own.islower() and not own.isupper() and len(own) >= 24:
-            found.append((*m.span(), b""))
+        start = m.start()
+        while at < len(known) and known[at][1] <= start:
+            at += 1
+        cuts = []  # known keys are candidates of their own, what stands beside them may be another
+        for k in range(at, len(known)):
+            if known[k][0] >= m.end():
+                break
+            cuts.append(known[k])
+        for first, last in [*cuts, (m.end(), m.end())]:
+            own = text[start:first]
+            if len(own) >= 16 and (any(c in b"0123456789" for c in own) and not own.isdigit() or not own.islower() and not own.isupper() and len(own) >= 24):
+                found.append((start, first, b""))
+            start = max(start, last)
     out: list[tuple[int, int, bytes]] = []
     for start, end, name in sorted(found, key=lambda s: (s[0], not s[2], -s[1])):
         if not out or start >= out[-1][1]:
@@ -91,8 +117,8 @@ def features(text: bytes, start: int, end: int, name: bytes, source: str, transi
         math.log(n), float((kinds == 1).mean()), float((kinds == 2).mean()), float((kinds == 4).mean()), float((kinds == 0).mean()),
         float(bool(HEX.match(own))), len(counts) / min(n, 64), float(-(counts / n * np.log2(counts / n)).sum()),
         float(transitions[codes[:-1], codes[1:]].mean()) if n > 1 else 0.0, float((kinds[1:] != kinds[:-1]).mean()) if n > 1 else 0.0,
-        coverage(own[:400], dictionary), float(bool(KNOWN.match(own) or name == b"private key")), float(bool(SAMPLES.search(own))),
-        float(bool(NAMES.search(name))), float(bool(re.search(rb"[:=]\s{0,3}[\"']?$", before))), float(before[-1:] in (b'"', b"'") and bool(before)),
+        coverage(own[:400], dictionary), float(bool(KNOWN.search(own) or name == b"private key")), float(bool(SAMPLES.search(own))),
+        float(bool(NAMES.search(name))), float(bool(ASSIGNED.search(before))), float(before[-1:] in (b'"', b"'") and bool(before)),
         float(bool(SAMPLES.search(before)) or bool(SAMPLES.search(after))), float(bool(SAMPLE_PATHS.search(source))),
     ]
 
@@ -145,33 +171,36 @@ def find(docs: DataFrame, *carry: str, known) -> DataFrame:
 def planted(texts: list[str], sources: list[str], rng: Random) -> list[tuple[bytes, int, int, bytes, str, float]]:
     """Labelled findings: secrets and look-alikes put between the words of real texts, and what stands there anyway."""
     names = ["token", "secret", "password", "api_key", "API_KEY", "auth_token", "TOKEN", "client_secret", "access_key", "pwd"]
-    forms = [' = "{}"', "={}", ": {}", " = '{}'", ': "{}"']
+    forms = [' = "{}"', "={}", ": {}", " = '{}'", ': "{}"', '        = "{}"', ":            {}", "\t\t=\t{}"]
+    places = ["{}", '"{}"', "GITHUB_PAT={}", "STRIPE={}", "https://host/?k={}", "id: {}", "({})", "https://host/v1/{}/x"]  # of known keys
     draw = lambda chars, n: "".join(rng.choice(chars) for _ in range(n))
     low, hexa, wide = "abcdefghijklmnopqrstuvwxyz", "0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
     out = []
     for text, source in zip(texts, sources):
         words = text.split(" ")
         some = [w for w in words if w.isalpha()] or ["word"]
-        key = rng.choice([draw(hexa, rng.choice([24, 32, 40, 40, 64])), draw(wide, rng.randint(16, 48)), draw(wide + "+/", 40), "AKIA" + draw(wide[:26] + wide[-10:], 16), "ghp_" + draw(wide, 36)])
+        key = rng.choice([draw(hexa, rng.choice([24, 32, 40, 40, 64])), draw(wide, rng.randint(16, 48)), draw(wide + "!$%", rng.randint(8, 16)), draw(wide + "+/", 40), "AKIA" + draw(wide[:26] + wide[-10:], 16), "ghp_" + draw(wide, 36)])
         key = key.upper() if rng.random() < 0.15 else key
+        form = rng.choice(["AKIA" + draw(wide[:26] + wide[-10:], 16), "ghp_" + draw(wide, 36), "sk_live_" + draw(wide, rng.randint(16, 32)), "xoxb-" + draw("0123456789", 11) + "-" + draw(wide, 24), "eyJ" + draw(wide, 30) + "." + draw(wide, 40)])
         value, named = [
-            (key, rng.choice(names)), (key, rng.choice(names)),
+            *[(key, rng.choice(names))] * 5,
             (rng.choice(["changeme", "your_token_here", "xxxxxxxxxxxx", "placeholder", "example-secret", "none-set", "${API_KEY}"]), rng.choice(names)),
             ("".join(rng.sample(some, min(3, len(some)))), rng.choice(names)),
             ("_".join(rng.choice(some).lower() for _ in range(3)) + draw("0123456789", 2), rng.choice(names + ["", ""])),
             (rng.choice(some) * 2 + draw("0123456789", 3), ""), (draw(hexa, rng.choice([32, 40, 64])), rng.choice(["commit", "sha256", "digest", "revision", ""])),
             (f"{draw(hexa, 8)}-{draw(hexa, 4)}-{draw(hexa, 4)}-{draw(hexa, 4)}-{draw(hexa, 12)}", rng.choice(["", "id", "request"])),
             (draw("0123456789", rng.randint(16, 24)) + draw(low, 1), ""), ("/".join(rng.choice(some) for _ in range(4)) + "/v2", ""),
-        ][rng.randrange(10)]
-        secret = value == key and bool(named)
-        shown = (named + rng.choice(forms).format(value)) if named else value
+            (form, ""), (form, rng.choice(names)),
+        ][rng.randrange(15)]
+        secret = value == form or value == key and bool(named)
+        shown = (named + rng.choice(forms).format(value)) if named else rng.choice(places).format(value) if value == form else value
         place = rng.randint(0, len(words))
         start = len(" ".join(words[:place]).encode()) + (place > 0) + len(shown[: shown.rindex(value)].encode())
         whole = " ".join([*words[:place], shown, *words[place:]]).encode()
         for a, b, name in spans(whole):
             if a < start + len(value) and b > start:
                 out.append((whole, a, b, name, source, float(secret)))
-            elif not NAMES.search(name):
+            elif not NAMES.search(name) and not KNOWN.search(whole[a:b]):
                 out.append((whole, a, b, name, source, 0.0))
     return out
 

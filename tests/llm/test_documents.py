@@ -362,3 +362,23 @@ def test_jaccard_width_and_percent(spark):
         out[width] = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.jaccard_components(frame, width, percent).collect()}
         assert out[width] == {i: (len(sets[i]), up[i]) for i in sets}
     assert len({c for _, c in out[5].values()}) < len({r.component_id for r in jaccard.jaccard_components(frame).collect()})
+
+
+GITHUB, AWS, STRIPE = "ghp_" + "aB3dE5gH7j" * 3 + "kL9mN1", "AKIA" + "Q7XK2ZP9LM4RT8VW", "sk_" + "live_" + "4eC39HqLyjWDarjtT1zdp7dc"
+
+
+@pytest.mark.parametrize("text, secret", [
+    ('db_password            = "S3cretPass!"', "S3cretPass!"), ("password:          S3cretPass!", "S3cretPass!"), ("api_key\t\t\t\t:=\t\t\t\tS3cretPass!", "S3cretPass!"),
+    (f"GITHUB_PAT={GITHUB}", GITHUB), (f"STRIPE={STRIPE}", STRIPE), (f"https://host/path?k={AWS}&x=1", AWS), (f"https://host/{GITHUB}/x", GITHUB),
+    (f"see user@{AWS}.", AWS), (f"key {AWS}/wJalrXUtnFEMI9K7MDENGabPxRfiCY", AWS), (f"key {AWS}/wJalrXUtnFEMI9K7MDENGabPxRfiCY", "/wJalrXUtnFEMI9K7MDENGabPxRfiCY"),
+])
+def test_secret_candidates_anywhere(text, secret):
+    whole = text.encode()
+    assert secret.encode() in [whole[a:b] for a, b, _ in secret_scan.spans(whole)]
+
+
+def test_bare_and_aligned_secrets_are_found(spark, documents):
+    texts = [f"GITHUB_PAT={GITHUB}", f"we saw {AWS} there", f"https://host/path?k={AWS}&x=1", f"STRIPE={STRIPE}", f'api_key            = "{GITHUB}"']
+    docs = documents.select("doc_id", "text", "source").union(spark.createDataFrame([(10**6 + i, t, "a") for i, t in enumerate(texts)], "doc_id long, text string, source string"))
+    found = secret_scan.scan(docs, "doc_id").filter("doc_id >= 1000000 and is_secret")
+    assert {r.doc_id - 10**6 for r in found.collect()} == set(range(len(texts)))
