@@ -55,7 +55,8 @@ FEATURES = [
 ]
 # bounds of the labelled sample that the forest is trained on; documents beyond the length serve no training
 SAMPLE_DOCS, SAMPLE_CHARS, SAMPLE_FINDINGS = 1000, 20_000, 12_000
-DICTIONARY_WORDS = 5_000
+# a common word stands in so many documents at least, and in this share of those of a source, on average over the sources
+COMMON_DOCS, COMMON_SHARE, SHARE_UNIT = 3, 0.0005, 10**9
 
 
 def name_end(text: bytes, at: int) -> int:
@@ -117,33 +118,43 @@ def features(text: bytes, start: int, end: int, name: bytes, source: str, transi
         math.log(n), float((kinds == 1).mean()), float((kinds == 2).mean()), float((kinds == 4).mean()), float((kinds == 0).mean()),
         float(bool(HEX.match(own))), len(counts) / min(n, 64), float(-(counts / n * np.log2(counts / n)).sum()),
         float(transitions[codes[:-1], codes[1:]].mean()) if n > 1 else 0.0, float((kinds[1:] != kinds[:-1]).mean()) if n > 1 else 0.0,
-        coverage(own[:400], dictionary), float(bool(KNOWN.search(own) or name == b"private key")), float(bool(SAMPLES.search(own))),
+        coverage(own, dictionary), float(bool(KNOWN.search(own) or name == b"private key")), float(bool(SAMPLES.search(own))),
         float(bool(NAMES.search(name))), float(bool(ASSIGNED.search(before))), float(before[-1:] in (b'"', b"'") and bool(before)),
         float(bool(SAMPLES.search(before)) or bool(SAMPLES.search(after))), float(bool(SAMPLE_PATHS.search(source))),
     ]
 
 
 def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of adjacent bytes, and of words that come three times or more in a batch."""
+    """Counts of adjacent bytes, and by source of documents (key "") and of those that hold each word."""
     for batch in batches:
         pairs, words = np.zeros(65536, np.int64), Counter()
-        for text in texts_of(batch):
+        for text, source in zip(texts_of(batch), batch.column("source").to_pylist()):
             codes = np.frombuffer(text, np.uint8).astype(np.int64)
             pairs += np.bincount(codes[:-1] * 256 + codes[1:], minlength=65536) if len(codes) > 1 else 0
-            words.update(text.lower().split())
+            words[source, ""] += 1
+            words.update((source, w.decode()) for w in set(text.lower().split()) if WORD.match(w))
         at = np.nonzero(pairs)[0]
-        known = [(w.decode(), c) for w, c in words.items() if c >= 3 and WORD.match(w)]
-        keys = [f"{k}" for k in at] + [w for w, _ in known]
-        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array([*pairs[at].tolist(), *(c for _, c in known)], pa.int64())], names=["key", "n"])
+        sources = [None] * len(at) + [source for source, _ in words]
+        keys = [f"{k}" for k in at] + [w for _, w in words]
+        yield pa.RecordBatch.from_arrays([pa.array(sources, pa.string()), pa.array(keys, pa.string()), pa.array([*pairs[at].tolist(), *words.values()], pa.int64())], names=["source", "key", "n"])
 
 
 def statistics(docs: DataFrame) -> tuple[np.ndarray, frozenset[bytes]]:
-    """Log probabilities of byte transitions and the commonest words, over all documents; both of bounded size."""
-    counts = staged(docs.select("text").mapInArrow(_statistics, "key string, n long").groupBy("key").agg(F.sum("n").alias("n")), "secret-statistics")
+    """Log probabilities of byte transitions and the common words, over all documents; both of bounded size.
+
+    A word is common by the share of documents that hold it, the mean over the sources, so that no source
+    rules; as many words as documents hold different ones on average, over ``COMMON_SHARE``, is the most there can be.
+    """
+    rows = docs.select("text", F.coalesce("source", F.lit("")).alias("source"))
+    counts = staged(rows.mapInArrow(_statistics, "source string, key string, n long").groupBy("source", "key").agg(F.sum("n").alias("n")), "secret-statistics")
     table = np.full((256, 256), 0.5)
-    for key, n in counts.filter("key rlike '^[0-9]'").collect():
+    for key, n in counts.filter("source is null").select("key", "n").collect():
         table[int(key) // 256, int(key) % 256] += n
-    words = counts.filter("key rlike '^[a-z]'").orderBy(F.desc("n"), "key").limit(DICTIONARY_WORDS).collect()
+    sizes = counts.filter("source is not null and key = ''").select("source", F.col("n").alias("docs"))
+    words = counts.filter("source is not null and key <> ''").join(sizes, "source").groupBy("key")
+    share = F.expr(f"sum(n * {SHARE_UNIT} div docs)")  # whole numbers: no order of rows changes a sum
+    words = words.agg(F.sum("n").alias("n"), share.alias("share"))
+    words = words.filter((F.col("n") >= COMMON_DOCS) & (F.col("share") >= int(COMMON_SHARE * SHARE_UNIT) * sizes.count())).select("key").collect()
     return np.log(table / table.sum(axis=1, keepdims=True)), frozenset(r.key.encode() for r in words)
 
 

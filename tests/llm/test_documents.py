@@ -382,3 +382,13 @@ def test_bare_and_aligned_secrets_are_found(spark, documents):
     docs = documents.select("doc_id", "text", "source").union(spark.createDataFrame([(10**6 + i, t, "a") for i, t in enumerate(texts)], "doc_id long, text string, source string"))
     found = secret_scan.scan(docs, "doc_id").filter("doc_id >= 1000000 and is_secret")
     assert {r.doc_id - 10**6 for r in found.collect()} == set(range(len(texts)))
+
+
+def test_secret_dictionary_of_all_documents(spark):
+    rows = [(f"common{chr(97 + i % 26)} rarely" if i < 3 else f"common{chr(97 + i % 26)} filler", ("a", "b", None)[i % 3]) for i in range(60)]
+    docs = spark.createDataFrame(rows, "text string, source string")
+    (pairs, words), (pairs_of_small, of_small) = (secret_scan.statistics(docs.repartition(n)) for n in (1, 40))
+    assert words == of_small and (pairs == pairs_of_small).all() and b"rarely" in words and b"filler" in words and b"commona" in words
+    own = b"9" * 450 + b"filler" * 20
+    got = secret_scan.features(own, 0, len(own), b"", "", pairs, words)
+    assert got[secret_scan.FEATURES.index("dictionary")] == pytest.approx(120 / 570)
