@@ -1,7 +1,8 @@
 """HTML extraction by tree scoring.
 
 A page is parsed to a tree; scripts, menus, headers, footers, sidebars, notices, adverts, forms
-and reader comments are pruned by tag, role and names.  Each paragraph left gives points for its
+and reader comments are pruned by tag, role and names; inside an article a name needs support, a high
+share of links or a class that is the name as a whole, and prunes no heading.  Each paragraph left gives points for its
 length and commas to its parent, half of them to the next ancestor, a third to the one above and
 so on; a container's points are discounted by its share of linked text.  The best container,
 taken up to the article or main element around it, is kept with those siblings that score well
@@ -57,14 +58,15 @@ NAMES = frozenset(
 COMMENTS = frozenset("comment comments commentlist disqus discussion respond reply replies".split())
 GOOD = frozenset("article content main body post entry story text page hentry blog".split())
 BEST = frozenset(["article", "main"])
+TITLES = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 
 
 class Node:
-    __slots__ = ("tag", "names", "role", "hidden", "parent", "children", "points", "size", "linked", "gone")
+    __slots__ = ("tag", "names", "whole", "role", "hidden", "parent", "children", "points", "size", "linked", "gone")
 
     def __init__(self, tag: str, attributes: str, parent: Node | None):
         self.tag, self.parent, self.children = tag, parent, []
-        self.names, self.role, self.hidden = frozenset(), "", False
+        self.names, self.whole, self.role, self.hidden = frozenset(), frozenset(), "", False
         self.points, self.size, self.linked, self.gone = 0.0, 0, 0, False
         if attributes and not attributes.isspace():
             names = ""
@@ -72,6 +74,8 @@ class Node:
                 key, value = key.lower(), "".join(values)
                 if key in ("class", "id"):
                     names += " " + CAMEL.sub(" ", value)
+                    if key == "class":
+                        self.whole |= frozenset(value.lower().split())
                 elif key == "role":
                     self.role = value.strip().lower()
                 elif key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and HIDDEN.search(value.lower()):
@@ -181,12 +185,32 @@ def measure(nodes: list[Node]) -> None:
             node.linked = node.size
 
 
+def aside(node: Node) -> bool:
+    """Whether a named element inside the article is none of it: mostly links, or a class that is a name as a whole.
+
+    Headers, what holds the title, and sections that only their id names belong to the article.
+    """
+    below, stack = node.tag == "header", list(node.children)
+    while stack and not below:
+        child = stack.pop()
+        if isinstance(child, Node):
+            below = child.tag == "h1"
+            stack += child.children
+    if below or node.tag == "section" and not NAMES.intersection(x for w in node.whole for x in NAME.findall(w)):
+        return False
+    return node.linked > 0.5 * node.size or bool(node.whole & NAMES)
+
+
 def prune(root: Node, nodes: list[Node]) -> None:
     """Mark what is not the article."""
+    inside = set()  # articles and main elements that are no comment, and what is in them
     holds = set()  # elements around an article or main element that is no comment
     for node in nodes:
         if (node.tag in BEST or node.role in BEST) and not any(n.names & COMMENTS for n in node.upward()):
             holds.update(node.upward())
+            inside.add(node)
+        elif node.parent in inside:
+            inside.add(node)
     for node in nodes[1:]:  # by what an element is
         if node.parent.gone or node.hidden or node.tag in PRUNED or node.role in ROLES:
             node.gone = True
@@ -200,6 +224,9 @@ def prune(root: Node, nodes: list[Node]) -> None:
         if node.parent.gone:
             node.gone = True
         elif not node.gone and node.names & NAMES and node.tag != "body" and node not in holds:
+            if node in inside:  # a part of a name says little there
+                node.gone = node.tag not in TITLES and aside(node)
+                continue
             most = 0.4 if node.names & GOOD else 0.6
             node.gone = node.size < most * whole or node.linked > 0.5 * node.size
 

@@ -87,3 +87,12 @@ def test_neighbours_edges(spark):
     got = neighbours.nearest(frame, frame.filter("vec_id % 50 = 0")).orderBy("query_id", "rank").collect()
     assert [(r.query_id, r.rank, r.vec_id) for r in got] == [(0, 1, 2), (0, 2, 3), (0, 3, 50), (0, 4, 4), (50, 1, 0), (50, 2, 2), (50, 3, 3), (50, 4, 4)]
     assert neighbours.nearest(frame.limit(0), frame.limit(0)).count() == 0
+
+
+def test_names_inside_the_article():
+    page = """<body><nav>n</nav><article><header class="entry-header"><h1><a href="t">Title</a></h1></header><p>One, two, three, four and some words more.</p>
+<section id="related-work"><h2>Related work</h2><p><a href="o">Others did this, too.</a></p></section><h2 id="search-algorithms">Search</h2><p>We search, then find.</p>
+<h2 id="copyright-law">Law</h2><div id="notice-periods"><p>Periods are long.</p></div><div class="related"><p>You may like</p></div>
+<div class="share-box"><a href="x">Share</a> <a href="y">Send</a></div></article></body>"""
+    want = ["Title", "One, two, three, four and some words more.", "Related work", "Others did this, too.", "Search", "We search, then find.", "Law", "Periods are long."]
+    assert html_text.extract(page).split("\n") == want
