@@ -19,6 +19,7 @@ from strataframe.llm.neighbours import nearest
 from strataframe.llm.quality import quality_rules
 from strataframe.llm.secret_scan import scan
 from strataframe.llm.substrings import substring_dedup
+from strataframe.llm.va_file import top_products
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -118,3 +119,17 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five nearest vectors by cosine of every vector whose id is divisible by 50."""
     vectors = table(spark, sf_dir, "embeddings")
     return nearest(vectors, vectors.filter("vec_id % 50 = 0"))
+
+
+_INTEGERS = """SELECT DISTINCT vec_id, {columns}list_transform(embedding, lambda x: floor({scale} * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"""
+
+_TOP_PRODUCTS = f"""WITH e AS ({_INTEGERS.format(columns="", scale=64)}),
+pairs AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(max(list_inner_product(q.v, c.v)) AS BIGINT) AS score FROM e q JOIN e c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 20 = 0 GROUP BY 1, 2)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM pairs QUALIFY rank <= 20"""
+
+
+@query("op12_exact_top_k", _TOP_PRODUCTS)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Twenty highest integer inner products of every vector whose id is divisible by 20."""
+    return top_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
