@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 
 from strataframe.llm.bpe import encode_documents
 from strataframe.llm.common import table
+from strataframe.llm.hard_negatives import hard_negatives
 from strataframe.llm.html_text import extract_pages
 from strataframe.llm.jaccard import jaccard_components
 from strataframe.llm.language_id import identify
 from strataframe.llm.licenses import license_scan
 from strataframe.llm.mixing import mixed_sizes
 from strataframe.llm.neighbours import nearest
+from strataframe.llm.prefix_trie import prefix_trie
 from strataframe.llm.quality import quality_rules
 from strataframe.llm.secret_scan import scan
 from strataframe.llm.substrings import substring_dedup
@@ -121,6 +123,28 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(vectors, vectors.filter("vec_id % 50 = 0"))
 
 
+_TRIE = """WITH t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS i, {'r': coalesce(role, ''), 't': coalesce(text, '')} AS x FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT conv_id, list(x ORDER BY i) AS xs FROM t GROUP BY 1),
+h AS (SELECT conv_id, xs, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+  lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda a, i: xor(a >> 1, 3988292384 * (a & 1)))), 4294967295) % 9 AS h FROM o),
+s AS (SELECT a.conv_id, list_concat(coalesce(list_slice(b.xs, 1, h), []), coalesce(list_slice(a.xs, h + 1, len(a.xs)), [])) AS s FROM h a LEFT JOIN o b ON b.conv_id = a.conv_id - a.conv_id % 5),
+p AS (SELECT conv_id, s, unnest(generate_series(0, len(s))) AS depth FROM s),
+m AS (SELECT conv_id, depth, list_slice(s, 1, depth) AS k, depth = len(s) AS ends FROM p),
+n AS (SELECT k, depth, min(conv_id) AS conv_id, count(*) AS n_convs, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends) AS e, CASE WHEN depth = 0 THEN 0 ELSE octet_length(encode(k[depth].t)) END AS b FROM m GROUP BY k, depth),
+c AS (SELECT list_slice(k, 1, depth - 1) AS k, depth - 1 AS depth, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY ALL),
+v AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN c USING (k, depth)),
+u AS (SELECT k, n_children, (n_convs - 1) * b AS saved, unnest(generate_series(0, depth)) AS up FROM v),
+w AS (SELECT list_slice(k, 1, up) AS k, up AS depth, CAST(sum(saved) AS BIGINT) AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves FROM u GROUP BY ALL)
+SELECT v.conv_id, v.depth, q.conv_id AS parent_conv_id, v.n_convs, v.n_children, n_leaves, saved_tokens, sha256(coalesce(v.e, '')) AS ends_sha256
+FROM v JOIN w USING (k, depth) LEFT JOIN v q ON q.depth = v.depth - 1 AND q.k = list_slice(v.k, 1, v.depth - 1)"""
+
+
+@query("op11_prefix_trie", _TRIE)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the trie of rebuilt conversations."""
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 _INTEGERS = """SELECT DISTINCT vec_id, {columns}list_transform(embedding, lambda x: floor({scale} * CAST(x AS DOUBLE))) AS v FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"""
 
@@ -133,3 +157,17 @@ SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DE
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Twenty highest integer inner products of every vector whose id is divisible by 20."""
     return top_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+_NEGATIVES = f"""WITH e AS ({_INTEGERS.format(columns="CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, ", scale=256)} AND label IS NOT NULL),
+pairs AS (SELECT a.vec_id AS anchor_id, a.label AS own, b.vec_id, b.label, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score FROM e a JOIN e b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) WHERE a.vec_id % 100 = 0),
+positives AS (SELECT * FROM pairs WHERE label = own QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+windows AS (SELECT p.anchor_id, p.vec_id AS positive_id, p.score AS positive_score, n.vec_id AS negative_id, n.score AS negative_score FROM positives p JOIN pairs n USING (anchor_id) WHERE n.label <> n.own AND 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score)
+SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY negative_score DESC, negative_id) AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM windows QUALIFY rank <= 5"""
+
+
+@query("op13_hard_negatives", _NEGATIVES)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five hardest negatives under each of five positives of every vector whose id is divisible by 100."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label)

@@ -12,6 +12,8 @@ COLUMNS = {
     "op6": ["query_id", "rank", "vec_id", "score"], "op7": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"], "op8": ["doc_id", "is_secret"],
     "op9": ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"],
     "op10": ["doc_id", "n_words", "n_removed", "kept_sha256"],
+    "op11": ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"],
+    "op12": ["query_id", "rank", "vec_id", "score"], "op13": ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"],
 }
 
 
