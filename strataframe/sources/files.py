@@ -7,14 +7,16 @@ from __future__ import annotations
 
 import csv
 import io
+from collections.abc import Iterator
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataframe.functions.naming import drop_matching, rename_all
 from strataframe.functions.text import base_name, without_extension, year_in_name
-from strataframe.operators.reshape import stack_tables
 from strataframe.spec import SourceSpec
 
 COPYRIGHT_COLUMN = "^<!___copyright_"
@@ -85,64 +87,205 @@ class Ragged(NamedTuple):
     rejects: DataFrame
 
 
-def text_records(spark: SparkSession, path: str, skip: int = 0) -> DataFrame:
-    """(file, line, record): the CSV records of text files, those with quoted line ends whole.
+# A line that begins outside quotes: closed fields, then perhaps one that stays open.  A quote counts only where a field
+# begins; elsewhere it is text.  All repeats are possessive, so the patterns take linear time.
+_QUOTED = '"[^"]*+(?:""[^"]*+)*+'
+_FIELDS = f'(?:(?:{_QUOTED}"[^,]*+|[^",][^,]*+|),)*+'
+_OPENS = f"^{_FIELDS}{_QUOTED}$"
+_STAYS = f'^[^"]*+(?:""[^"]*+)*+(?:$|"[^,]*+,{_FIELDS}{_QUOTED}$)'
+
+_BLOCK = ["file", "block", "part"]
+_SUMMARY = (
+    "file string, block long, part int, first_row long, n long, plain boolean, "
+    "ends_out boolean, ends_in boolean, open_out long, open_in long, header_at long, header string"
+)
+MOST_BLOCKS = 500_000  # splits whose states are broadcast; beyond, lines are dealt out by block
+
+
+def _run(inside: bool, opens: np.ndarray, stays: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each line begins and ends inside quotes; only lines that can change the state are stepped through."""
+    at, after, state = np.flatnonzero(opens | ~stays), [], inside
+    for opening, staying in zip(opens[at].tolist(), stays[at].tolist()):
+        state = staying if state else opening
+        after.append(state)
+    ends = np.array([inside, *after], bool)[np.searchsorted(at, np.arange(len(opens)), side="right")]
+    return np.concatenate([[inside], ends])[: len(ends)], ends
+
+
+class _Block:
+    """One block's summary: where both states that its first line can begin in lead to."""
+
+    def __init__(self, key: list, first_row: int):
+        self.key, self.first_row, self.n, self.plain = key, first_row, 0, True
+        self.ends, self.open = [False, True], [-1, -1]
+        self.header_at, self.header, self.pending = None, None, None
+
+    def add(self, opens: np.ndarray, stays: np.ndarray, head: list) -> None:
+        for i in (0, 1):
+            begins, ends = _run(self.ends[i], opens, stays)
+            if ends[-1] and not begins.all():
+                self.open[i] = self.n + int(np.flatnonzero(~begins)[-1])
+            if i == 0:
+                self.plain &= not (begins.any() or ends[-1])
+                self._seek_header(begins, ends, head)
+            self.ends[i] = bool(ends[-1])
+        self.n += len(opens)
+
+    def _seek_header(self, begins: np.ndarray, ends: np.ndarray, head: list) -> None:
+        for place, text in enumerate(head):
+            if self.header is not None:
+                return
+            if text is None:  # a line before the CSV, or not of a file's first block
+                continue
+            if not begins[place]:
+                self.header_at, self.pending = self.n + place, []
+            self.pending.append(text)
+            if not ends[place] and self.pending != [""]:
+                self.header = "\n".join(self.pending)
+
+    def row(self) -> tuple:
+        return (*self.key, self.first_row, self.n, self.plain, *self.ends, *self.open, self.header_at if self.header is not None else None, self.header)
+
+
+def _summaries(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    block = None
+    for frame in frames:
+        done, keys = [], frame[_BLOCK].to_numpy()
+        cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), len(frame)]
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            if a == b:
+                continue
+            key, part = keys[a].tolist(), frame.iloc[a:b]
+            if block is None or block.key != key:
+                if block is not None:
+                    done.append(block.row())
+                block = _Block(key, int(part["row"].iloc[0]))
+            block.add(part["opens"].to_numpy(), part["stays"].to_numpy(), part["head"].tolist() if block.header is None else [])
+        yield pd.DataFrame(done, columns=[c.split()[0] for c in _SUMMARY.split(", ")])
+    if block is not None:
+        yield pd.DataFrame([block.row()], columns=[c.split()[0] for c in _SUMMARY.split(", ")])
+
+
+def _records_of(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(file, line, start, whole, value) of lines whose block's first state is known; whole records stand in one line."""
+    key, inside, start = None, False, 0
+    for frame in frames:
+        for own, part in frame.groupby(["file", "block"], sort=False):
+            if own != key:
+                key, inside, start = own, bool(part["inside"].iloc[0]), int(part["open_line"].iloc[0])
+            begins, ends = _run(inside, part["opens"].to_numpy(), part["stays"].to_numpy())
+            line = part["line"].to_numpy()
+            starts = np.maximum.accumulate(np.where(begins, start, line))
+            inside, start = bool(ends[-1]), int(starts[-1])
+            text = line >= part["unclosed"].to_numpy()  # an opening quote that nothing closes is text
+            yield pd.DataFrame({"file": part["file"], "line": line, "start": np.where(text, line, starts), "whole": text | ~(begins | ends), "value": part["value"]})
+
+
+class Records(NamedTuple):
+    """CSV records of files (file, line, record), and the header of each file with its line."""
 
-    Files are split by line whatever their size.  A line's number and whether it begins inside
-    quotes follow from counts per block of the file, so no task needs a file whole.  ``line`` is
-    the number of a record's first line, from 1; the first ``skip`` lines are no records.  Bytes
-    that do not decode vanish; empty lines between records are left out.
+    rows: DataFrame
+    headers: list[tuple[str, int, str]]
+
+
+def csv_records(spark: SparkSession, path, skip: int = 0) -> Records:
+    """The CSV records of text files, those with quoted line ends whole, and each file's first record.
+
+    Files are split by line whatever their size.  One scan gives every block's line count and where
+    the states outside and inside quotes lead from its first line to its last; composed over the
+    blocks of a file, these give each block its first line's number and state.  The scan of the
+    records then parses in place; only lines of records that span several are shuffled.  One row per
+    split comes to the driver, which has planned those splits.
+
+    A quote counts only where a field begins, elsewhere it is text, and so is an opening quote that
+    nothing closes.  ``line`` is the number of a record's first line, from 1; the first ``skip``
+    lines are no records.  Bytes that do not decode vanish; empty lines between records are left out.
     """
     text = F.col("value")
     decoded = F.when(F.is_valid_utf8(text), text).otherwise(F.translate(F.make_valid_utf8(text), "\ufffd", ""))
     raw = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.spark_partition_id().alias("part"),
         F.monotonically_increasing_id().alias("row"), F.regexp_replace(decoded, "^\ufeff|\r$", "").alias("value"),
-    )
-    in_block = Window.partitionBy("file", "block").orderBy("row")
-    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = raw.groupBy("file", "block").agg(F.count(F.lit(1)).alias("n"))
-    sizes = sizes.select("file", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
-    numbered = raw.join(sizes, ["file", "block"]).withColumn("line", F.col("first") + F.row_number().over(in_block)).filter(F.col("line") > skip)
-    quoted = numbered.withColumn("quotes", F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit(""))))
-    parity = quoted.groupBy("file", "block").agg((F.sum("quotes") % 2).alias("odd"))
-    parity = parity.select("file", "block", F.coalesce(F.sum("odd").over(before), F.lit(0)).alias("odd"))
-    inside = (F.col("odd") + F.coalesce(F.sum("quotes").over(in_block.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))) % 2
-    marked = quoted.join(parity, ["file", "block"]).withColumn("starts", inside == 0)
-
-    starts = F.when(F.col("starts"), F.col("line"))
-    last = marked.groupBy("file", "block").agg(F.max(starts).alias("last"))
-    last = last.select("file", "block", F.max("last").over(before).alias("open"))
-    upto = in_block.rowsBetween(Window.unboundedPreceding, 0)
-    owned = marked.join(last, ["file", "block"]).withColumn("record", F.coalesce(F.max(starts).over(upto), "open"))
-    whole = F.col("starts") & (F.col("quotes") % 2 == 0)
-    alone = owned.filter(whole & (F.col("value") != "")).select("file", "line", F.col("value").alias("record"))
-    pieces = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("line", "value"))), lambda p: p["value"]), "\n")
-    spread = owned.filter(~whole).groupBy("file", F.col("record").alias("line")).agg(pieces.alias("record"))
-    return alone.unionByName(spread)
-
-
-def headers(records: DataFrame) -> list[tuple[str, list[str]]]:
-    """The distinct headers: the text of each file's first record and its names.  One row per layout comes to the driver."""
-    first = records.groupBy("file").agg(F.min_by("record", "line").alias("header"))
-    found = [r.header for r in first.select("header").distinct().orderBy("header").collect()]
-    return [(text, next(csv.reader(io.StringIO(text, newline="")))) for text in found]
-
-
-def _parsed(records: DataFrame, names: list[str]) -> DataFrame:
-    """Columns ``c0``.. as text, the number of fields and where each record lies."""
-    columns = [f"c{i}" for i in range(len(names))]
-    schema = ", ".join(f"{c} string" for c in [*columns, "extra"])
+    )
+    opens, stays = F.col("value").rlike(_OPENS), F.col("value").rlike(_STAYS)
+
+    def scanned(lines: DataFrame, line) -> pd.DataFrame:
+        csv_line = line > skip
+        head = F.when(csv_line & (F.col("block") == 0), F.col("value"))
+        slim = lines.select(*_BLOCK, "row", (csv_line & opens).alias("opens"), (~csv_line | stays).alias("stays"), head.alias("head"))
+        return slim.mapInPandas(_summaries, _SUMMARY).toPandas().sort_values(["file", "block"]).reset_index(drop=True)
+
+    if skip:  # which lines are preamble is known once the lines are counted
+        counts = raw.groupBy(*_BLOCK).agg(F.min("row").alias("first_row"), F.count(F.lit(1)).alias("n")).toPandas().sort_values(["file", "block"])
+        counts["first_line"] = counts.groupby("file")["n"].cumsum() - counts["n"]
+        blocks = scanned(*_numbered(raw, counts[[*_BLOCK, "first_row", "first_line"]]))
+    else:
+        blocks = scanned(raw, F.lit(1))
+    if not len(blocks):
+        return Records(raw.select("file", F.lit(0).cast("long").alias("line"), F.col("value").alias("record")).filter("false"), [])
+
+    states, headers = [], []
+    for file, own in blocks.groupby("file", sort=True):
+        first, inside, open_line, mine = 0, False, 0, []
+        for b in own.itertuples():
+            mine.append([file, b.block, b.part, b.first_row, first, b.plain, inside, open_line])
+            if b.header is not None and b.block == 0:
+                headers.append((file, first + int(b.header_at) + 1, b.header))
+            ends, opened = (b.ends_in, b.open_in) if inside else (b.ends_out, b.open_out)
+            if ends and opened >= 0:
+                open_line = first + int(opened) + 1
+            first, inside = first + b.n, bool(ends)
+        states += [[*m, open_line if inside else np.iinfo(np.int64).max] for m in mine]
+    known = pd.DataFrame(states, columns=[*_BLOCK, "first_row", "first_line", "plain", "inside", "open_line", "unclosed"])
+    numbered, line = _numbered(raw, known)
+    numbered = numbered.withColumn("line", line).filter(F.col("line") > skip)
+    simple = F.col("plain") & ~F.col("inside")
+    rows = numbered.filter(simple & (F.col("value") != "")).select("file", "line", F.col("value").alias("record"))
+    if not (known["plain"] & ~known["inside"]).all():
+        walked = numbered.filter(~simple).select("file", "block", "row", "line", "value", opens.alias("opens"), stays.alias("stays"), "inside", "open_line", "unclosed")
+        if len(known) > MOST_BLOCKS:
+            walked = walked.repartition("file", "block").sortWithinPartitions("file", "block", "row")
+        walked = walked.mapInPandas(_records_of, "file string, line long, start long, whole boolean, value string")
+        pieces = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("line", "value"))), lambda p: p["value"]), "\n")
+        spread = walked.filter("not whole").groupBy("file", F.col("start").alias("line")).agg(pieces.alias("record"))
+        rows = rows.unionByName(walked.filter("whole and value <> ''").select("file", "line", F.col("value").alias("record"))).unionByName(spread)
+    missing = set(known["file"]) - {f for f, _, _ in headers}
+    if missing:  # the first record does not end in the first block
+        first = rows.filter(F.col("file").isin(*missing)).groupBy("file").agg(F.min("line").alias("line"), F.min_by("record", "line").alias("header"))
+        headers += [(r.file, r.line, r.header) for r in first.collect()]
+    return Records(rows, sorted(headers))
+
+
+def _numbered(raw: DataFrame, blocks: pd.DataFrame):
+    """The lines with what is known of their blocks, and the number of a line.  A block of another split is an error."""
+    known = raw.sparkSession.createDataFrame(blocks)
+    joined = raw.join(F.broadcast(known) if len(blocks) <= MOST_BLOCKS else known, _BLOCK, "left")
+    unknown = F.raise_error(F.lit("files were split anew between two scans")).cast("long")
+    return joined, F.coalesce("first_line", unknown) + F.col("row") - F.col("first_row") + 1
+
+
+def text_records(spark: SparkSession, path, skip: int = 0) -> DataFrame:
+    """The rows of :func:`csv_records`."""
+    return csv_records(spark, path, skip).rows
+
+
+def _parsed(records: Records) -> tuple[DataFrame, list[list[str]]]:
+    """Records below their file's header, with the fields as one array of text, their number and the layout's number; the layouts' names.
+
+    All layouts are parsed in one scan.  One row per file is joined to the records.
+    """
+    texts = sorted({header for _, _, header in records.headers})
+    layouts = [next(csv.reader(io.StringIO(text, newline=""))) for text in texts]
+    width = max(map(len, layouts), default=0)
+    schema = ", ".join(f"c{i} string" for i in range(width + 1))
     options = {"mode": "PERMISSIVE", "escape": '"', "maxCharsPerColumn": "-1", "lineSep": "\u0000"}
-    bare = F.regexp_replace("record", '"(?:[^"]|"")*"', "")
-    parsed = records.select("file", "line", "record", F.size(F.split(bare, ",")).alias("fields"), F.from_csv("record", schema, options).alias("r"))
-    return parsed.select("file", "line", "record", "fields", *[F.nullif(F.col(f"r.{c}"), F.lit("")).alias(c) for c in columns])
-
-
-def _data(records: DataFrame) -> DataFrame:
-    """The records below the header of each file."""
-    first = records.groupBy("file").agg(F.min("line").alias("_first"))
-    return records.join(first, "file").filter(F.col("line") > F.col("_first")).drop("_first")
+    of_file = [(file, line, texts.index(header)) for file, line, header in records.headers]
+    files = records.rows.sparkSession.createDataFrame(of_file, "file string, _header long, layout int")
+    data = records.rows.join(F.broadcast(files) if len(of_file) <= MOST_BLOCKS else files, "file").filter(F.col("line") > F.col("_header")).drop("_header")
+    bare = F.regexp_replace("record", f'(^|,){_QUOTED}"', "$1")
+    parsed = data.withColumns({"fields": F.size(F.split(bare, ",", -1)), "r": F.from_csv("record", schema, options)})
+    values = F.array(*[F.nullif(F.col(f"r.c{i}"), F.lit("")) for i in range(width)])
+    return parsed.withColumn("values", values).drop("r"), layouts
 
 
 def read_ragged(spark: SparkSession, path: str, skip: int = 0, overlong: str = "reject", style: str = "separator") -> Ragged:
@@ -155,16 +298,14 @@ def read_ragged(spark: SparkSession, path: str, skip: int = 0, overlong: str = "
     """
     if overlong not in ("reject", "truncate"):
         raise ValueError(f"unsupported treatment {overlong!r}")
-    records = text_records(spark, path, skip)
-    layouts = headers(records)
+    parsed, layouts = _parsed(csv_records(spark, path, skip))
     if not layouts:
         raise ValueError(f"{path}: no header after {skip} lines")
-    if len({tuple(names) for _, names in layouts}) > 1:
+    if any(names != layouts[0] for names in layouts):
         raise ValueError("files of one read must share their header")
-    names = layouts[0][1]
-    parsed = _parsed(_data(records), names)
+    names = layouts[0]
     fits = F.col("fields") <= len(names) + 1 if overlong == "reject" else F.lit(True)
-    rows = parsed.filter(fits).select([f"c{i}" for i in range(len(names))]).toDF(*names)
+    rows = parsed.filter(fits).select([F.get("values", F.lit(i)) for i in range(len(names))]).toDF(*names)
     rejects = parsed.filter(~fits).select("file", "line", "record", F.lit("overlong").alias("reason"))
     return Ragged(drop_matching(rename_all(rows, style), pattern=COPYRIGHT_COLUMN), rejects)
 
@@ -174,20 +315,22 @@ def read_ragged_csv(spark: SparkSession, path: str, skip: int = 0, overlong: str
     return read_ragged(spark, path, skip, overlong, style).rows
 
 
-def read_by_name(spark: SparkSession, path: str) -> DataFrame:
+def read_by_name(spark: SparkSession, path) -> DataFrame:
     """Files whose headers differ, united by column name: columns a file lacks are NULL there.
 
-    One read per distinct header, not per file.  All columns are text, beside ``source_file``.
+    All layouts come from one scan: a column's place is looked up by the record's layout.  All
+    columns are text, beside ``source_file``.
     """
-    records = text_records(spark, path)
-    first = records.groupBy("file").agg(F.min_by("record", "line").alias("header"))
-    held, parts = records.join(first, "file"), []
-    for text, names in headers(records):
-        own = _parsed(_data(held.filter(F.col("header") == text).drop("header")), names)
-        parts.append(own.select(*[F.col(f"c{i}").alias(n) for i, n in enumerate(names)], base_name(F.col("file")).alias("source_file")))
-    if not parts:
+    parsed, layouts = _parsed(csv_records(spark, path))
+    if not layouts:
         raise FileNotFoundError(path)
-    return stack_tables(parts, allow_missing=True)
+    columns = []
+    for name in dict.fromkeys(n for names in layouts for n in names):
+        if any(names.count(name) > 1 for names in layouts):
+            raise ValueError(f"column {name!r} stands twice in a header")
+        places = F.array(*[F.lit(names.index(name) if name in names else None).cast("int") for names in layouts])
+        columns.append(F.get("values", F.get(places, F.col("layout"))).alias(name))
+    return parsed.select(*columns, base_name(F.col("file")).alias("source_file"))
 
 
 def load(spark: SparkSession, spec: SourceSpec) -> DataFrame:

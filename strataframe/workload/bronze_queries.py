@@ -67,6 +67,28 @@ def ragged_rejects(spark, sf_dir):
     return _ragged(spark, sf_dir).rejects.groupBy("reason").agg(F.count(F.lit(1)).alias("n"), F.sum(key).alias("checksum"))
 
 
+@query(
+    "ragged_stray_quote",
+    """SELECT c_mktsegment, count(*) AS n, CAST(sum(c_custkey) AS BIGINT) AS checksum, count(CASE WHEN c_custkey % 5 = 0 THEN 1 END) AS stray,
+    count(CASE WHEN c_custkey % 5 = 1 THEN 1 END) AS two_lines, count(CASE WHEN c_custkey % 5 IN (0, 1) THEN 1 END) AS quotes FROM customer GROUP BY 1""",
+)
+def ragged_stray_quote(spark, sf_dir):
+    """Customers as lines in which a quote stands inside a field, a quoted name spans lines, or the last quote of a file is never closed."""
+    k, folder = F.col("c_custkey"), scratch_path(spark, "customers-stray")
+    name = F.when(k % 5 == 0, F.concat(F.substring("c_name", 1, 3), F.lit('" pipe'))).when(k % 5 == 1, F.concat(F.lit('"'), "c_name", F.lit(',\n""x"" y"'))).otherwise(F.col("c_name"))
+    data = table(spark, sf_dir, "customer").select((k % 7).alias("part"), k.alias("place"), F.concat_ws(",", k.cast("string"), name, "c_mktsegment", F.lit("5 m")).alias("line"))
+    ends = spark.range(7).select(F.col("id").alias("part"), F.explode(F.array(
+        F.struct(F.lit(-1).cast("long").alias("place"), F.lit("c_custkey,c_name,c_mktsegment,size").alias("line")),
+        F.struct(F.lit(2**62).alias("place"), F.lit('-1,none,,"5 m').alias("line")),
+    ))).select("part", "col.*")
+    data.union(ends).repartition(7, "part").sortWithinPartitions("part", "place").select("part", "line").write.partitionBy("part").text(folder)
+    back = files.read_ragged_csv(spark, folder).filter("c_custkey <> '-1'")
+    return back.groupBy("c_mktsegment").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("c_custkey").try_cast("long")).alias("checksum"), F.count_if(F.col("c_name") == 'Cus" pipe').alias("stray"),
+        F.count_if(F.col("c_name").endswith(',\n"x" y')).alias("two_lines"), F.count_if(F.col("c_name").contains('"')).alias("quotes"),
+    )
+
+
 @query("schema_merge", "SELECT count(*) AS n, count(CASE WHEN o_orderkey % 2 = 1 THEN 1 END) AS with_status, CAST(sum(o_custkey) AS BIGINT) AS customers FROM orders")
 def schema_merge(spark, sf_dir):
     """Two appends with different columns, read with the union of both."""

@@ -147,3 +147,59 @@ def test_stream_is_incremental(spark, tmp_path):
     seen = []
     upsert_available(arriving_files(spark, source, "id long"), str(tmp_path / "mark2"), lambda batch, n: seen.append(batch.count()))
     assert sum(seen) == 15
+
+
+def split_records(text: str) -> list[str]:
+    """Records by the four states of a quote automaton, one character at a time; an open quote at the end is text."""
+    out, start, state, i = [], 0, "begin", 0
+    while i <= len(text):
+        c = text[i] if i < len(text) else None
+        if state == "quoted":
+            if c is None:  # nothing closes it: the lines from here on stand alone
+                return [r for r in out + text[start:].split("\n") if r]
+            if c == '"':
+                state = "after"
+        elif state == "after" and c == '"':
+            state = "quoted"
+        elif c is None or c == "\n":
+            out.append(text[start:i])
+            start, state = i + 1, "begin"
+        elif c == ",":
+            state = "begin"
+        elif state == "begin" and c == '"':
+            state = "quoted"
+        else:
+            state = "inside"
+        i += 1
+    return [r for r in out if r]
+
+
+def test_quotes_count_at_a_field_start_only(spark, tmp_path):
+    (tmp_path / "probe.csv").write_text('a,b\n1,5" pipe\n2,x\n3,y\n4,z\n')
+    found = files.read_ragged(spark, str(tmp_path / "probe.csv"))
+    assert rows(found.rows) == [("1", '5" pipe'), ("2", "x"), ("3", "y"), ("4", "z")] and found.rejects.isEmpty()
+    (tmp_path / "open.csv").write_text('a,b\n1,"x\ny"\n2,"5\n3,y\n4,""\n')
+    assert rows(files.read_ragged_csv(spark, str(tmp_path / "open.csv")).select("a")) == [("1",), ("2",), ("3",), ("4",)]
+    (tmp_path / "two.csv").write_text('a,b,c\n1,5" a,7" b\n2,"5"" a,""b",c\n')
+    assert rows(files.read_ragged_csv(spark, str(tmp_path / "two.csv"))) == [("1", '5" a', '7" b'), ("2", '5" a,"b', "c")]
+
+
+def test_records_of_any_text_split_anywhere(spark, tmp_path):
+    import random
+
+    draw, texts = random.Random(5), {}
+    for i in range(24):
+        texts[f"t{i:02}.csv"] = "".join(draw.choices('ab,"\n', [4, 2, 3, 3, 3], k=draw.randint(0, 60)))
+        (tmp_path / f"t{i:02}.csv").write_text(texts[f"t{i:02}.csv"])
+    want = sorted((name, r) for name, text in texts.items() for r in split_records(text))
+    for split in ("1g", "7"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        try:
+            found = files.csv_records(spark, str(tmp_path))
+            assert sorted((r.file.rsplit("/", 1)[1], r.record) for r in found.rows.collect()) == want
+            firsts = {name: split_records(text)[0] for name, text in texts.items() if split_records(text)}
+            assert {f.rsplit("/", 1)[1]: header for f, _, header in found.headers} == firsts
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
