@@ -37,12 +37,13 @@ POLICIES = {
 
 def policy_catalogue(spark: SparkSession, policies: dict[str, PrivacyPolicy] = POLICIES) -> DataFrame:
     """One row per table and treated column: sensitivity and action."""
-    rows = [
-        (p.table, p.sensitivity, column, action)
-        for p in policies.values()
-        for action, columns in (("drop", p.drop), ("month", p.months), ("age group", p.age_groups))
-        for column in columns
-    ]
+    rows = []
+    for p in policies.values():
+        actions = [("drop", p.drop), ("month", p.months), ("age group", p.age_groups), ("national for minors", p.minors[1:2])]
+        actions += [(f"{r.name}: {r.parent} below {r.minimum}", (r.detail,)) for r in p.rollups]
+        actions += [(f"{p.places[1]} below {p.places[2]} inhabitants", p.places[:1])] if p.places else []
+        actions += [(f"others below {p.others[1]}", p.others[:1])] if p.others else []
+        rows += [(p.table, p.sensitivity, column, action) for action, columns in actions for column in columns]
     return literal_rows(spark, rows, "table_name string, sensitivity string, column_name string, action string")
 
 

@@ -61,15 +61,51 @@ class RowRule:
     predicate: str
 
 
+@dataclass(frozen=True)
+class Rollup:
+    """``detail`` takes its parent's label where its scope counts fewer than ``minimum`` records.
+
+    ``scope`` holds columns or SQL expressions of them; None means all other published columns, so
+    that single cells are judged.
+    """
+
+    name: str
+    detail: str
+    parent: str
+    minimum: int
+    scope: tuple | None = None
+
+
 @dataclass(frozen=True)
 class PrivacyPolicy:
-    """What to do with each sensitive column of one table."""
+    """What a release does with each sensitive column of one table, and with the cells it publishes.
+
+    ``minors`` names age, place and the national label; ``places`` place, its parent and the least
+    number of inhabitants; ``others`` the category whose small cells are pooled and the least count.
+    ``publish`` lists the columns of a published cell.
+    """
 
     table: str
     sensitivity: str = "low"
     drop: tuple = ()
     months: tuple = ()
     age_groups: tuple = ()
+    publish: tuple = ()
+    minors: tuple = ()
+    rollups: tuple = ()
+    places: tuple = ()
+    others: tuple = ()
+    statistics: tuple = ()
+
+    def __post_init__(self):
+        if set(self.publish) & set(self.drop):
+            raise ValueError(f"{self.table}: a dropped column is published")
+        for name, width in (("minors", 3), ("places", 3), ("others", 2)):
+            if len(getattr(self, name)) not in (0, width):
+                raise ValueError(f"{self.table}: {name} takes {width} values")
+        details = [r.detail for r in self.rollups] + [x for x in (*self.minors[1:2], *self.places[:1], *self.others[:1])]
+        if unknown := [d for d in details if d not in self.publish]:
+            raise ValueError(f"{self.table}: rules about unpublished columns {unknown}")
 
 
 @dataclass(frozen=True)

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from strataframe.operators import privacy as pv
-from strataframe.spec import PrivacyPolicy
+from strataframe.operators.release import hidden_bounds, release, withheld_differences
+from strataframe.spec import PrivacyPolicy, Rollup
 from strataframe.workload.adapters import table
 from strataframe.workload.oracle import pct, rounded, with_star
 from strataframe.workload.registry import query
@@ -47,30 +48,51 @@ def suppress_small(spark, sf_dir):
     return pv.merge_small_cells(pv.cells(_placed(spark, sf_dir), "month", "place"), ["month"], "place")
 
 
-def _passes(count: int) -> str:
-    steps, last = [], "s0"
-    for i in range(count):
-        for line, other in (("month", "people"), ("people", "month")):
-            name = f"s{len(steps) + 1}"
-            steps.append(
-                f"{name} AS (SELECT month, people, n, hidden OR (h = 1 AND r = 1) AS hidden FROM (SELECT *, count(*) FILTER (hidden) OVER (PARTITION BY {line}) AS h, "
-                f"row_number() OVER (PARTITION BY {line}, hidden ORDER BY n, {other}) AS r FROM {last}))"
-            )
-            last = name
-    return (
-        "WITH s0 AS (SELECT *, n < 5 AS hidden FROM (SELECT strftime(o_orderdate, '%Y-%m') AS month, 'P-' || (o_custkey % 40) AS people, count(*) AS n FROM orders WHERE o_custkey % 40 > 20 AND o_orderkey % 3 > 0 OR o_custkey % 40 < 21 GROUP BY 1, 2)), "
-        + ", ".join(steps)
-        + f" SELECT month, people, CASE WHEN NOT hidden THEN n END AS n, hidden AS suppressed, hidden AND (count(*) OVER (PARTITION BY month) = 1 OR count(*) OVER (PARTITION BY people) = 1) AS total_exposed FROM {last}"
+def _two_way(spark, sf_dir):
+    """Every order in a table of months by 97 groups of customers, whose cells are small by nature."""
+    rows = table(spark, sf_dir, "orders").select(
+        F.date_format("o_orderdate", "yyyy").alias("month"), F.concat(F.lit("P-"), (F.col("o_custkey") % 97).cast("string")).alias("people")
     )
+    return pv.cells(rows, "month", "people")
+
+
+_TWO_WAY = "t AS (SELECT strftime(o_orderdate, '%Y') AS month, 'P-' || (o_custkey % 97) AS people, count(*) AS n FROM orders GROUP BY 1, 2)"
+HIDE_BELOW = 30
 
 
-@query("suppress_complementary", _passes(8))
+@query(
+    "suppress_complementary",
+    f"""WITH {_TWO_WAY} SELECT month, CAST(sum(n) AS BIGINT) AS n, count(*) AS cells, count(*) FILTER (n < {HIDE_BELOW}) AS small, 0 AS small_shown, 0 AS wrong, 0 AS lone_lines FROM t GROUP BY 1""",
+)
 def suppress_complementary(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders").filter("o_custkey % 40 > 20 AND o_orderkey % 3 > 0 OR o_custkey % 40 < 21")
-    rows = orders.select(
-        F.date_format("o_orderdate", "yyyy-MM").alias("month"), F.concat(F.lit("P-"), (F.col("o_custkey") % 40).cast("string")).alias("people")
-    )
-    return pv.complementary_suppression(pv.cells(rows, "month", "people"), "month", "people")
+    """Per year: all records are accounted for, small cells are hidden, shown cells are true, no line hides a single cell."""
+    own = _two_way(spark, sf_dir)
+    held = pv.complementary_suppression(own, "month", "people", minimum=HIDE_BELOW).withColumnRenamed("n", "shown")
+    whole = own.join(held, ["month", "people"], "full_outer")
+    lone = whole.groupBy("people").agg(F.count_if("suppressed").alias("_h"), F.count(F.lit(1)).alias("_c")).filter("_h = 1 and _c > 1")
+    marked = whole.join(lone.select("people", F.lit(True).alias("_lone")), "people", "left")
+    by_month = marked.groupBy("month").agg(
+        F.sum("n").alias("n"), F.count(F.lit(1)).alias("cells"), F.count_if(F.col("n") < HIDE_BELOW).alias("small"),
+        F.count_if((F.col("n") < HIDE_BELOW) & ~F.col("suppressed")).cast("int").alias("small_shown"),
+        F.count_if(~F.col("shown").eqNullSafe(F.when(~F.col("suppressed"), F.col("n")))).cast("int").alias("wrong"),
+        (F.count_if("_lone") + F.when((F.count_if("suppressed") == 1) & (F.count(F.lit(1)) > 1), 1).otherwise(0)).cast("int").alias("lone_lines"),
+    )
+    return by_month
+
+
+@query(
+    "suppression_certificate",
+    f"""WITH {_TWO_WAY} SELECT count(*) FILTER (n < {HIDE_BELOW}) AS small, count(*) FILTER (n < {HIDE_BELOW}) AS small_hidden, 0 AS outside, 0 AS derivable FROM t""",
+)
+def suppression_certificate(spark, sf_dir):
+    """What margins give away about the hidden cells: every interval holds the true count and none is a single value."""
+    own = _two_way(spark, sf_dir)
+    held = pv.complementary_suppression(own, "month", "people", minimum=HIDE_BELOW).select("month", "people", "suppressed")
+    bounds = hidden_bounds(own.join(held, ["month", "people"]), "month", "people")
+    return bounds.agg(
+        F.lit(own.filter(F.col("n") < HIDE_BELOW).count()).alias("small"), F.count_if(F.col("n") < HIDE_BELOW).alias("small_hidden"),
+        F.count_if((F.col("n") < F.col("low")) | (F.col("n") > F.col("high"))).cast("int").alias("outside"), F.count_if("derivable").cast("int").alias("derivable"),
+    )
 
 
 @query(
@@ -98,6 +120,69 @@ _NATIONS = "FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_
 _PEOPLE = "(SELECT c_nationkey AS pk, count(*) AS people FROM customer GROUP BY 1)"
 
 
+RELEASE = PrivacyPolicy(
+    "orders", "high", drop=("o_orderkey",), months=("fecha",), age_groups=("edad",), publish=("fecha", "municipio", "causa", "edad"),
+    minors=("edad", "municipio", "NA"), places=("municipio", "departamento", 10_000), others=("causa", 5),
+    rollups=(Rollup("rare cause", "causa", "capitulo", 10, ("substring(fecha, 1, 4)", "departamento")), Rollup("small group", "municipio", "departamento", 10)),
+)
+
+
+def _records(spark, sf_dir):
+    k = F.col("o_orderkey")
+    code = F.when(k % 97 == 0, 1).when(k % 5 == 0, 2).otherwise(3 + k % 2)
+    return _by_nation(spark, sf_dir).select(
+        "o_orderkey", F.col("o_orderdate").alias("fecha"), F.when(k % 31 != 0, 15 + k % 10).alias("edad"), F.col("n_name").alias("municipio"), F.col("r_name").alias("departamento"),
+        F.concat(F.lit("code "), code.cast("string")).alias("causa"), F.concat(F.lit("chapter "), F.floor(code / 3).cast("string")).alias("capitulo"),
+    )
+
+
+def _inhabitants(spark, sf_dir):
+    """Customers of each nation, scaled so that the average nation has 10,000 inhabitants."""
+    customers = table(spark, sf_dir, "customer")
+    places = table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("municipio"))
+    counts = customers.groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("_n")).join(places, F.col("c_nationkey") == F.col("n_nationkey"))
+    return counts.select("municipio", (F.col("_n") * 25 * 10_000 / customers.select(F.count(F.lit(1))).scalar()).alias("poblacion"))
+
+
+def _release_sql() -> str:
+    keys = "fecha, municipio, causa, edad"
+    return f"""WITH r AS (SELECT strftime(o_orderdate, '%Y-%m') AS fecha, CASE WHEN o_orderkey % 31 <> 0 AND 15 + o_orderkey % 10 >= 18 THEN n_name ELSE 'NA' END AS municipio,
+      CASE WHEN o_orderkey % 31 <> 0 AND 15 + o_orderkey % 10 >= 18 THEN r_name ELSE 'NA' END AS departamento, CASE WHEN o_orderkey % 31 <> 0 THEN CASE WHEN o_orderkey % 10 < 5 THEN '15-19' ELSE '20-24' END END AS edad,
+      CASE WHEN o_orderkey % 97 = 0 THEN 1 WHEN o_orderkey % 5 = 0 THEN 2 ELSE 3 + o_orderkey % 2 END AS code, o_orderkey % 31 = 0 OR o_orderkey % 10 < 3 AS minor {_NATIONS}),
+    c1 AS (SELECT *, count(*) OVER (PARTITION BY substr(fecha, 1, 4), departamento, code) < 10 AS rare FROM r),
+    big AS (SELECT n_name AS name FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1 HAVING count(*) * 25 >= (SELECT count(*) FROM customer)),
+    c2 AS (SELECT *, CASE WHEN rare THEN 'chapter ' || (code // 3) ELSE 'code ' || code END AS causa, NOT minor AND municipio NOT IN (SELECT name FROM big) AS tiny FROM c1),
+    c3 AS (SELECT * REPLACE (CASE WHEN tiny THEN departamento ELSE municipio END AS municipio) FROM c2),
+    c4 AS (SELECT *, municipio <> departamento AND count(*) OVER (PARTITION BY {keys}) < 10 AS few FROM c3),
+    c5 AS (SELECT * REPLACE (CASE WHEN few THEN departamento ELSE municipio END AS municipio) FROM c4),
+    w AS (SELECT {keys}, count(*) AS n, bool_or(rare) AS rare, bool_or(tiny) AS tiny, bool_or(few) AS few, bool_or(minor) AS minor FROM c5 GROUP BY ALL),
+    j AS (SELECT *, n < 5 AS small, coalesce(sum(n) FILTER (n < 5) OVER (PARTITION BY fecha, municipio, edad), 0) AS pool, row_number() OVER (PARTITION BY fecha, municipio, edad, n < 5 ORDER BY n, causa) AS place FROM w),
+    p AS (SELECT fecha, municipio, edad, CASE WHEN small THEN 'Otros' ELSE causa END AS causa, CAST(sum(n) AS BIGINT) AS n, bool_or(pool > 0 AND pool < 5 AND (small OR place = 1)) AS suppressed,
+      bool_or(rare) AS rare, bool_or(tiny) AS tiny, bool_or(few) AS few, bool_or(minor) AS minor, bool_or(small) AS small FROM j GROUP BY ALL)
+    SELECT {keys}, CASE WHEN NOT suppressed THEN n END AS n, suppressed, suppressed AND count(*) OVER (PARTITION BY fecha, municipio, edad) = 1 AS total_exposed,
+      concat_ws(',', CASE WHEN minor THEN 'minors' END, CASE WHEN small OR suppressed THEN 'others' END, CASE WHEN tiny THEN 'places' END, CASE WHEN rare THEN 'rare cause' END, CASE WHEN few THEN 'small group' END) AS rules FROM p"""
+
+
+@query("privacy_release", _release_sql())
+def privacy_release(spark, sf_dir):
+    """Orders as records of people: the whole policy compiled and applied, with the rules that touched each cell."""
+    return release(_records(spark, sf_dir), RELEASE, _inhabitants(spark, sf_dir))
+
+
+@query(
+    "release_difference",
+    """WITH c AS (SELECT strftime(o_orderdate, '%Y-%m') AS month, 'N-' || (o_custkey % 25) AS place, nullif(count(*) FILTER (o_orderkey % 41 > 1 AND (o_custkey % 25 > 1 OR o_orderkey % 2 = 0)), 0) AS a, count(*) AS b FROM orders GROUP BY 1, 2),
+    s AS (SELECT month, place, CASE WHEN a >= 5 THEN a END AS earlier_n, CASE WHEN b >= 5 THEN b END AS n, a < 5 OR b < 5 AS secret, b - coalesce(a, 0) AS gap FROM c)
+    SELECT month, place, earlier_n, n, CASE WHEN NOT coalesce(secret, false) THEN gap END AS difference, CASE WHEN NOT coalesce(secret, false) AND gap > 0 AND gap < 5 THEN earlier_n ELSE n END AS published,
+    CASE WHEN coalesce(secret, false) THEN 'suppressed' WHEN gap = 0 THEN 'same' WHEN gap < 5 THEN 'withheld' ELSE 'released' END AS status FROM s""",
+)
+def release_difference(spark, sf_dir):
+    """A release of most orders and one of all: cells that the difference of both would open keep their earlier value."""
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.date_format("o_orderdate", "yyyy-MM").alias("month"), F.concat(F.lit("N-"), (F.col("o_custkey") % 25).cast("string")).alias("place"))
+    shown = lambda df: pv.cells(df, "month", "place").withColumn("n", F.when(F.col("n") >= pv.MIN_CELL, F.col("n")))
+    return withheld_differences(shown(rows.filter("o_orderkey % 41 > 1 and (o_custkey % 25 > 1 or o_orderkey % 2 = 0)")), shown(rows), ["month", "place"])
+
+
 @query(
     "small_place_rollup",
     f"""SELECT priority, CASE WHEN people * 25 * 10000 >= total * 10000 THEN n_name ELSE r_name END AS place, count(*) AS n FROM
