@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
@@ -22,25 +23,65 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_SCOPES: ContextVar[tuple[dict, ...]] = ContextVar("strataframe_scratch", default=())
+
+
+class scratch:  # noqa: N801
+    """What is staged inside lives no longer than this block, whether it ends well or not; ``keep`` hands a table on.
+
+    Only for operators whose result reads nothing else that was staged inside.
+    """
+
+    def __enter__(self) -> scratch:
+        self.own: dict[str, SparkSession] = {}
+        self.token = _SCOPES.set((*_SCOPES.get(), self.own))
+        return self
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        path = getattr(df, "_scratch_path", None)
+        spark, outer = self.own.pop(path, None), _SCOPES.get()[:-1]
+        if spark is not None and outer:
+            outer[-1][path] = spark
+        return df
+
+    def __exit__(self, *_) -> None:
+        _SCOPES.reset(self.token)
+        for path, spark in self.own.items():
+            _remove(spark, path)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """The rows written to the shared folder and read again: later passes neither repeat the work nor its choices."""
     spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
+    if scopes := _SCOPES.get():
+        scopes[-1][path] = spark
     before = spark.conf.get(SHUFFLE_CLEANUP, "false")
     spark.conf.set(SHUFFLE_CLEANUP, "true")  # the shuffles below it serve nothing else
     try:
         df.write.parquet(path)
     finally:
         spark.conf.set(SHUFFLE_CLEANUP, before)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    held = df.sparkSession.read.schema(df.schema).parquet(path)
+    held._scratch_path = path
+    return held
 
 
 def drop_staged(*tables: DataFrame) -> None:
     """Remove staged tables that nothing reads any more, so the shared folder holds only what is needed."""
     for df in tables:
-        spark = df.sparkSession
-        for file in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-            path = spark._jvm.org.apache.hadoop.fs.Path(file)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        for scope in _SCOPES.get():
+            scope.pop(df._scratch_path, None)
+        _remove(df.sparkSession, df._scratch_path)
+
+
+def content_key(*columns: str) -> Column:
+    """A 128-bit fingerprint of a row's values, which tells null from empty; what depends on these alone is joined by it."""
+    return F.md5(F.concat_ws("\x00", *[F.coalesce(F.concat(F.lit("="), F.length(c).cast("string"), F.lit(":"), F.col(c)), F.lit("-")) for c in columns]))
 
 
 def words_of(text: Column) -> Column:

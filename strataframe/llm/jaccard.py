@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strataframe.llm.common import WordHashes, drop_staged, mixed, staged, texts_of, window_hashes
+from strataframe.llm.common import WordHashes, drop_staged, mixed, scratch, staged, texts_of, window_hashes
 from strataframe.llm.components import components
 from strataframe.session import broadcast_if_small
 
@@ -202,6 +202,11 @@ def verified(docs: DataFrame, pairs: DataFrame, width: int = WIDTH, percent: int
 
 def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles and component_id of every document; shingles of ``width`` words link from ``percent``."""
+    with scratch() as held:
+        return held.keep(_jaccard_components(docs, width, percent))
+
+
+def _jaccard_components(docs: DataFrame, width: int, percent: int) -> DataFrame:
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     described = staged(docs.mapInArrow(_describe(width), "doc_id long, n long, print binary, head binary, map array<long>"), "jaccard-sets")
@@ -246,6 +251,4 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
     smallest = first.join(groups, "v", "left").select("print", F.coalesce("component", "v").alias("c"))
     result = ids.select("doc_id", F.col("n").alias("n_shingles"), "print").join(smallest, "print", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("c", "doc_id"))
-    result = staged(result.select("doc_id", "n_shingles", component.alias("component_id")), "jaccard-result")
-    drop_staged(ids, first, classes, shared, members, mixed_lists)
-    return result
+    return staged(result.select("doc_id", "n_shingles", component.alias("component_id")), "jaccard-result")

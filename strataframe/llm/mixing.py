@@ -137,5 +137,5 @@ def mixed_documents(docs: DataFrame, shards: int = 64, seed: int = 0) -> DataFra
     some = F.array_join(F.flatten(F.transform("own", lambda b: F.slice("pieces", (b["start"] + 1).cast("int"), b["words"].cast("int")))), "")
     placed = joined.select("doc", "at", F.when(F.col("whole"), F.col("doc.text")).otherwise(F.ltrim(some)).alias("new"))
     new = {"text": F.col("new"), "n_chars": F.length("new").cast("long")}
-    ordered = placed.repartitionByRange(shards, "at.shard").sortWithinPartitions("at")
+    ordered = placed.repartitionById(shards, "at.shard").sortWithinPartitions("at")
     return ordered.select(*[new.get(c, F.col("doc")[c]).alias(c) for c in docs.columns])

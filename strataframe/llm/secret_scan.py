@@ -29,7 +29,8 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataframe.llm.common import staged, texts_of
+from strataframe.llm.common import content_key, scratch, staged, texts_of
+from strataframe.session import broadcast_if_small
 
 # fixed values: names that secrets are assigned to, words that mark samples, paths of samples, forms of known keys
 NAMES = re.compile(rb"(?i)token|secret|passw|pwd|credential|auth|(api|access|private|encryption|signing)[_-]?key|^key$")
@@ -252,16 +253,19 @@ MARK = "[SECRET]"
 
 def redacted(docs: DataFrame) -> DataFrame:
     """The documents with every secret replaced by a mark; n_chars follows the text."""
-    rows = staged(docs.withColumn("_id", F.monotonically_increasing_id()), "secret-docs")
-    secrets = scan(rows, "_id").filter("is_secret").groupBy("_id").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("_cuts"))
+    key = content_key("source", "text")  # a verdict depends on these alone, so copies share theirs
+    with scratch() as held:
+        found = scan(docs.select(key.alias("key"), "text", "source"), "key").filter("is_secret")
+        secrets = held.keep(staged(found.groupBy("key").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("cuts")), "secret-cuts"))
     # one piece before each secret and one after the last
     cut = F.aggregate(
-        "_cuts", F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at")),
+        "cuts", F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at")),
         lambda s, c: F.struct(
             F.concat(s["out"], F.substring("text", (s["at"] + 1).cast("int"), (c["start"] - s["at"]).cast("int")), F.lit(MARK)).alias("out"), c["end"].alias("at")
         ),
     )
-    marked = rows.join(secrets, "_id", "left").withColumn("_state", F.when(F.col("_cuts").isNotNull(), cut))
-    text = F.coalesce(F.concat("_state.out", F.substring("text", (F.col("_state.at") + 1).cast("int"), F.lit(2147483647))), F.col("text"))
-    new = {"text": text, "n_chars": F.when(F.col("_cuts").isNull(), F.col("n_chars")).otherwise(F.length(text).cast("long"))}
-    return marked.select(*[new[c].alias(c) if c in new else F.col(c) for c in docs.columns])
+    marked = docs.select(key.alias("key"), F.struct(*docs.columns).alias("doc"), "text").join(broadcast_if_small(secrets), "key", "left")
+    marked = marked.withColumn("state", F.when(F.col("cuts").isNotNull(), cut))
+    text = F.coalesce(F.concat("state.out", F.substring("text", (F.col("state.at") + 1).cast("int"), F.lit(2147483647))), F.col("text"))
+    new = {"text": text, "n_chars": F.when(F.col("cuts").isNull(), F.col("doc.n_chars")).otherwise(F.length(text).cast("long"))}
+    return marked.select(*[new.get(c, F.col("doc")[c]).alias(c) for c in docs.columns])
