@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from strataframe.functions.calendar import seasonal
 from strataframe.functions.numeric import percent, stable_unit
 from strataframe.operators.aggregate import pivot_sum
+from strataframe.plans.linear import Line
 from strataframe.plans.star import FACT_KEYS, MEASURE, Star
 from strataframe.sources.tables import literal_rows
 
@@ -139,9 +140,12 @@ def metrics(predictions: DataFrame, target: str, prediction: str = "prediction",
     )
 
 
-def coefficients(fitted: Fitted, spark, top: int | None = 10) -> DataFrame:
+def coefficients(fitted: Fitted | Line, spark, top: int | None = 10) -> DataFrame:
     """Coefficients by magnitude with their sign (one value per feature)."""
-    rows = list(zip(fitted.features, [float(c) for c in fitted.regression.coefficients.toArray()]))
+    if isinstance(fitted, Line):
+        rows = list(zip(fitted.moments.features, map(float, fitted.coefficients)))
+    else:
+        rows = list(zip(fitted.features, [float(c) for c in fitted.regression.coefficients.toArray()]))
     table = literal_rows(spark, rows, "feature string, coefficient double")
     signed = table.withColumn("effect", F.when(F.col("coefficient") > 0, "up").when(F.col("coefficient") < 0, "down").otherwise("none"))
     ranked = signed.orderBy(F.desc(F.abs("coefficient")), "feature")

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from strataframe.operators import incremental as inc
+from strataframe.operators.reshape import stack_tables
 from strataframe.plans import modelling as ml
+from strataframe.plans.linear import fitted
 from strataframe.session import cut_lineage, scratch_path
 from strataframe.sources import files, sinks
 from strataframe.sources.tables import literal_rows
@@ -202,34 +205,100 @@ def train_test_split(spark, sf_dir):
 MONTHLY = (*ad.EVENT_COLUMNS.values(), "mes_sin", "mes_cos", "anio_desde_inicio")
 
 
-def _model_rows(spark, features, key, numeric, target, categorical=()):
-    from strataframe.operators.reshape import stack_tables
+def _draw(*keys: str) -> str:
+    text = " || '|' || ".join([f"CAST({k} AS VARCHAR)" for k in keys] + ["'42'"])
+    return f"(CAST('0x' || substr(md5({text}), 1, 12) AS BIGINT) + 0.5::DOUBLE) / 281474976710656.0::DOUBLE < 0.8"
 
+
+def _solved(rows: str, key, numeric, target: str, categorical=(), sweeps: int = 3_000) -> str:
+    """CTEs that fit both models in SQL: products of scaled features, elimination for ridge, coordinate descent for lasso."""
+    season = {"mes_sin": "sin(mes * (2.0 * pi() / 12.0))", "mes_cos": "cos(mes * (2.0 * pi() / 12.0))"}
+    own = "[" + ", ".join(f"CAST({season.get(c, c)} AS DOUBLE)" for c in numeric) + "]"
+    hot = [f"list_transform((SELECT list_sort(list(DISTINCT {c})) FROM drawn WHERE train), lambda l: CASE WHEN {c} = l THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END)" for c in categorical]
+    x = f"list_concat({own}, {', '.join(hot)})" if hot else own
+    return f"""drawn AS (SELECT *, {_draw(*key)} AS train, row_number() OVER () AS rn FROM {rows}),
+    xs AS (SELECT rn, train, CAST({target} AS DOUBLE) AS y, {x} AS x FROM drawn),
+    long AS (SELECT rn, train, y, unnest(generate_series(1, len(x))) AS i, unnest(x) AS v FROM xs),
+    st AS (SELECT i, avg(v) AS m, stddev_samp(v) AS s FROM long WHERE train GROUP BY 1),
+    ym AS (SELECT avg(y) AS y0, count(*) AS n FROM xs WHERE train),
+    z AS (SELECT rn, train, y, i, CASE WHEN s > 1e-12 THEN (v - m) / s ELSE 0.0::DOUBLE END AS z FROM long JOIN st USING (i)),
+    gram AS (SELECT a.i, b.i AS j, sum(a.z * b.z) AS g FROM z a JOIN z b USING (rn) WHERE a.train GROUP BY 1, 2),
+    crossed AS (SELECT i, sum(z * (y - y0)) AS c FROM z, ym WHERE train GROUP BY 1),
+    lines AS (SELECT i, list(g ORDER BY j) AS g FROM gram GROUP BY 1),
+    held AS (SELECT list(g ORDER BY i) AS g, (SELECT list(c ORDER BY i) FROM crossed) AS c, count(*) AS d, (SELECT n FROM ym) AS n FROM lines),
+    gauss AS (SELECT 1 AS k, d, list_transform(g, lambda r, i: list_append(list_transform(r, lambda v, j: v + CASE WHEN i = j THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END), c[i])) AS a FROM held
+      UNION ALL SELECT k + 1, d, list_transform(a, lambda r, i: CASE WHEN i = k THEN list_transform(r, lambda v: v / r[k]) ELSE list_transform(r, lambda v, j: v - r[k] * a[k][j] / a[k][k]) END) FROM gauss WHERE k <= d),
+    descent AS (SELECT 0 AS k, g, c, d, n, list_transform(c, lambda v: 0.0::DOUBLE) AS b FROM held
+      UNION ALL SELECT k + 1, g, c, d, n, list_transform(b, lambda v, i: CASE WHEN i <> k % d + 1 THEN v WHEN g[i][i] < 1e-9 THEN 0.0::DOUBLE ELSE
+        sign(c[i] - list_inner_product(g[i], b) + g[i][i] * v) * greatest(abs(c[i] - list_inner_product(g[i], b) + g[i][i] * v) - n, 0) / g[i][i] END) FROM descent WHERE k < d * {sweeps}),
+    beta AS (SELECT 'ridge' AS model, list_transform(a, lambda r: r[d + 1]) AS b FROM gauss WHERE k = d + 1 UNION ALL SELECT 'lasso', b FROM descent WHERE k = d * {sweeps}),
+    scored AS (SELECT model, rn, any_value(y) AS y, any_value(y0) + sum(z * b[i]) AS p FROM z, ym, beta WHERE NOT train GROUP BY 1, 2)"""
+
+
+_METRICS = f"SELECT model, count(*) AS n, {rounded('1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*))', 4)} AS r2, {rounded('sqrt(avg((y - p) * (y - p)))', 4)} AS rmse, {rounded('avg(abs(y - p))', 4)} AS mae FROM scored GROUP BY 1"
+_KEYS_A = list(ad.gold.FACT_KEYS)
+_MODEL_B = _solved("(SELECT * FROM wide WHERE total_defunciones > 0)", ["id_tiempo_mes"], MONTHLY, "total_defunciones")
+_MODEL_A = _solved("feats", _KEYS_A, ml.GRANULAR_NUMERIC, "cantidad_fallecidos", ml.DESCRIPTORS, sweeps=300)
+
+
+def _recursive(sql: str) -> str:
+    return sql.replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+def _fit_both(features, key, numeric, target, categorical=()):
     train, test = ml.split(cut_lineage(features), key)
-    scored = []
-    for kind in ("ridge", "lasso"):
-        fitted = ml.fit(train, numeric, target, kind, categorical=categorical)
-        scored.append(ml.metrics(fitted.predict(test), target).withColumn("model", F.lit(kind)))
-    return stack_tables(scored)
+    return fitted(train, numeric, target, categorical), test
+
 
+def _model_rows(features, key, numeric, target, categorical=()):
+    lines, test = _fit_both(features, key, numeric, target, categorical)
+    return stack_tables([ml.metrics(line.predict(test), target).withColumn("model", F.lit(kind)) for kind, line in lines.items()])
 
-@query("model_monthly")
+
+@query("model_monthly", _recursive(with_star(_METRICS, _FEATURES_B, _MODEL_B)))
 def model_monthly(spark, sf_dir):
     """Ridge and lasso on monthly totals: test-set metrics."""
-    return _model_rows(spark, _features_b(spark, sf_dir), "id_tiempo_mes", MONTHLY, "total_defunciones")
+    return _model_rows(_features_b(spark, sf_dir), "id_tiempo_mes", MONTHLY, "total_defunciones")
 
 
-@query("model_granular")
+@query("model_granular", _recursive(with_star(_METRICS, _FEATURES_A, _MODEL_A)))
 def model_granular(spark, sf_dir):
     """Ridge and lasso on fact cells with one-hot descriptors: test-set metrics."""
-    return _model_rows(spark, _features_a(spark, sf_dir), list(ad.gold.FACT_KEYS), ml.GRANULAR_NUMERIC, "cantidad_fallecidos", ml.DESCRIPTORS)
+    return _model_rows(_features_a(spark, sf_dir), _KEYS_A, ml.GRANULAR_NUMERIC, "cantidad_fallecidos", ml.DESCRIPTORS)
+
+
+_NAMES_B = "[" + ", ".join(f"'{c}'" for c in MONTHLY) + "]"
 
 
-@query("coefficient_ranking")
+@query(
+    "coefficient_ranking",
+    _recursive(with_star(
+        f"""SELECT feature, {rounded('c', 3)} AS coefficient, CASE WHEN c > 0 THEN 'up' WHEN c < 0 THEN 'down' ELSE 'none' END AS effect
+        FROM (SELECT unnest({_NAMES_B}) AS feature, unnest(b) AS c FROM beta WHERE model = 'lasso') ORDER BY abs(c) DESC, feature LIMIT 10""",
+        _FEATURES_B, _MODEL_B,
+    )),
+)
 def coefficient_ranking(spark, sf_dir):
+    """The lasso's features by the size of their coefficients."""
+    lines, _ = _fit_both(_features_b(spark, sf_dir), "id_tiempo_mes", MONTHLY, "total_defunciones")
+    return ml.coefficients(lines["lasso"], spark).withColumn("coefficient", F.round("coefficient", 3))
+
+
+@query(
+    "lasso_certificate",
+    _recursive(with_star(f"SELECT unnest({_NAMES_B}) AS feature, unnest(list_transform(b, lambda v: v <> 0)) AS active, true AS holds FROM beta WHERE model = 'lasso'", _FEATURES_B, _MODEL_B)),
+)
+def lasso_certificate(spark, sf_dir):
+    """Per feature whether the lasso's optimality condition holds, from the residuals of the rows themselves."""
     train, _ = ml.split(cut_lineage(_features_b(spark, sf_dir)), "id_tiempo_mes")
-    ranked = ml.coefficients(ml.fit(train, MONTHLY, "total_defunciones", "lasso"), spark)
-    return ranked.withColumn("coefficient", F.round("coefficient", 6))
+    line = fitted(train, MONTHLY, "total_defunciones")["lasso"]
+    m, scored = line.moments, line.predict(train)
+    rest = F.col("total_defunciones") - F.col("prediction")
+    slopes = scored.agg(*[F.avg((F.col(c) - F.lit(float(m.mean[i]))) / F.lit(float(m.scale[i]) or 1.0) * rest).alias(c) for i, c in enumerate(MONTHLY)])
+    each = slopes.unpivot([], list(MONTHLY), "feature", "slope")
+    sign = F.element_at(F.create_map(*[F.lit(x) for i, c in enumerate(MONTHLY) for x in (c, float(np.sign(line.coefficients[i])))]), F.col("feature"))
+    holds = F.when(sign != 0, F.abs(F.col("slope") - sign) < 1e-6).otherwise(F.abs("slope") < 1 + 1e-6)
+    return each.select("feature", (sign != 0).alias("active"), holds.alias("holds"))
 
 
 _LINE_A = """line_a AS (SELECT id_tiempo_mes, cantidad_fallecidos AS y, i + s * total_defunciones_renap AS p FROM feats,
