@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strataframe.functions.numeric import percent
@@ -58,82 +58,73 @@ def approx_quantiles(df: DataFrame, column: str, probabilities, accuracy: int =
     )
 
 
-def exact_quantiles(df: DataFrame, column: str, probabilities, by=(), accuracy: int = 10_000, slices: int = 1024) -> DataFrame:
-    """Exact interpolated quantiles without shuffling the data or gathering a group.
+# bits of a double below those that the first and second count look at
+_TOP, _MIDDLE = 40, 20
 
-    First pass (eager): a sketch per group brackets every wanted rank between two
-    values.  Second pass: bracket ends cut the value axis into zones.  Rows of a
-    zone outside all brackets are only counted; rows inside one collapse to (value,
-    count) within one of ``slices`` sub-ranges.  Both happen map-side.  Slice totals
-    are accumulated in order, and only the slices that hold a wanted rank are
-    ranked value by value.
-    Matches ``percentile`` / ``quantile_cont``.  Result: ``by`` + q0, q1, ...
-    """
-    keys = list(by)
-    value = F.col(column).cast("double")
-    base = df.filter(F.col(column).isNotNull()).select(*keys, value.alias("_v"))
-    brackets = _brackets(base, keys, probabilities, accuracy)
-    bracketed = join_same(base, brackets, keys) if keys else base.withColumn("_b", brackets.select("_b").scalar())
-    v, zone, place = F.col("_v"), F.lit(0), None
-    for i in range(len(probabilities)):
-        low, high = F.col("_b")[i]["low"], F.col("_b")[i]["high"]
-        zone = zone + (v >= low).cast("int") + (v > high).cast("int")
-        spot = F.when(low < high, F.least(F.floor((v - low) / (high - low) * slices), F.lit(slices - 1))).otherwise(0)
-        inside = v.between(low, high)
-        place = F.when(inside, spot) if place is None else place.when(inside, spot)
-    pieces = (
-        bracketed.select(*keys, "_v", zone.alias("_zone"), place.alias("_place"))
-        .groupBy(
-            *keys, (F.col("_zone") * slices + F.coalesce("_place", F.lit(0))).alias("_s"),
-            F.when(F.col("_place").isNotNull(), v).alias("_v"),
-        )
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    totals = pieces.groupBy(*keys, "_s").agg(F.sum("_n").alias("_total"))
-    # one row per slice and group
-    earlier = Window.partitionBy(*keys).orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
-    placed = totals.withColumn("_before", F.coalesce(F.sum("_total").over(earlier), F.lit(0)))
-    ranks = brackets.select(*keys, F.posexplode("_b").alias("_i", "_r")).select(*keys, "_i", "_r.first", "_r.second", "_r.frac")
-    holds = (F.col("first") <= F.col("_before") + F.col("_total")) & (F.col("second") > F.col("_before"))
-    wanted = join_same(placed, ranks, keys).filter(holds)
-    near = join_same(pieces, wanted, [*keys, "_s"])
-    rank = Window.partitionBy(*keys, "_i", "_s").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = near.withColumn("_last", F.col("_before") + F.sum("_n").over(rank)).withColumn("_first", F.col("_last") - F.col("_n") + 1)
-    per_quantile = ranked.groupBy(*keys, "_i").agg(
-        F.max(F.when(F.col("first").between(F.col("_first"), F.col("_last")), v)).alias("_lo"),
-        F.max(F.when(F.col("second").between(F.col("_first"), F.col("_last")), v)).alias("_hi"),
-        F.max("frac").alias("_f"),
-    ).withColumn("_q", F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_f"))
-    return per_quantile.groupBy(*keys).agg(
-        *[F.max(F.when(F.col("_i") == i, F.col("_q"))).alias(f"q{i}") for i in range(len(probabilities))]
-    )
 
+def ordered_bits(value: Column) -> Column:
+    """A double as a whole number in the same order: sign, exponent and mantissa; equal values only are equal.
 
-def _brackets(base: DataFrame, keys, probabilities, accuracy: int) -> DataFrame:
-    """Per group and probability: the wanted ranks and two values that enclose them.
-
-    The sketch is off by at most n / accuracy ranks, so a margin of twice that on
-    either side is safe once it spans several rows; smaller groups are bracketed
-    by their extremes.
+    Both zeros are 0, NaN comes last.  The exponent from the logarithm may be one off beside a power of
+    two, which a comparison with that power mends; all other steps are exact.
     """
-    margin = 2.0 / accuracy
-    cuts = [c for p in probabilities for c in (max(0.0, p - margin), min(1.0, p + margin))]
-    sketch = base.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"),
-        F.percentile_approx("_v", cuts, accuracy).alias("_c"),
-    )
-    few = F.col("_n") <= 10 * accuracy
-    entries = []
-    for i, p in enumerate(probabilities):
-        position = F.lit(float(p)) * (F.col("_n") - 1)
-        low = F.col("_min") if p - margin <= 0 else F.when(few, F.col("_min")).otherwise(F.col("_c")[2 * i])
-        high = F.col("_max") if p + margin >= 1 else F.when(few, F.col("_max")).otherwise(F.col("_c")[2 * i + 1])
-        entries.append(F.struct(
-            low.alias("low"), high.alias("high"), (F.floor(position) + 1).alias("first"), (F.ceil(position) + 1).alias("second"),
-            (position - F.floor(position)).alias("frac"),
-        ))
-    stored = cut_lineage(sketch.select(*keys, F.array(*entries).alias("_b")))
-    return broadcast_if_small(stored) if keys else stored
+    size = F.abs(value)
+    rough = F.greatest(F.least(F.floor(F.log2(size)), F.lit(1023)), F.lit(-1022)).cast("int")
+    power = lambda e: F.pow(F.lit(2.0), e)
+    exact = F.when(size < power(rough), rough - 1).when((rough < 1023) & (size / power(rough) >= 2), rough + 1).otherwise(rough)
+    exponent = F.greatest(exact, F.lit(-1022))
+    fraction = size / power(exponent)  # below 1 for the smallest numbers only
+    unit = F.lit(1 << 52)
+    bits = F.when(fraction >= 1, (exponent + 1023) * unit + ((fraction - 1) * F.lit(float(1 << 52))).cast("long")).otherwise((fraction * F.lit(float(1 << 52))).cast("long"))
+    whole = F.when(size == float("inf"), F.lit(2047) * unit).otherwise(bits)
+    return F.when(F.isnan(value), F.lit((1 << 63) - 1)).when(value == 0, F.lit(0)).when(value > 0, whole).otherwise(-whole).cast("long")
+
+
+def exact_quantiles(df: DataFrame, column: str, probabilities, by=()) -> DataFrame:
+    """Exact interpolated quantiles by radix selection, without sorting or shuffling the values.
+
+    A first scan counts the rows of each leading part of the values' ordered bits (sign, exponent and
+    twelve bits of the mantissa); the counts say in which parts the wanted ranks lie.  A second scan
+    counts the values of these parts only.  What is found is ranked by the middle bits and then by
+    the last ones, so no window sees more than 2^20 counts beyond the first part's; both scans reduce
+    map-side, and a long tail or a mass of equal values costs no more than others.
+    Matches ``percentile`` / ``quantile_cont``.  Eager.  Result: ``by`` + q0, q1, ...
+    """
+    keys = list(by) or ["_all"]
+    value = F.col(column).cast("double")
+    whole = df if by else df.withColumn("_all", F.lit(0))
+    base = whole.filter(F.col(column).isNotNull()).select(*keys, value.alias("_v"))
+    base = base.select(*keys, "_v", ordered_bits(F.col("_v")).alias("_k"))
+    top = F.shiftright("_k", _TOP).alias("_top")
+    counts = cut_lineage(base.groupBy(*keys, top).agg(F.count(F.lit(1)).alias("_n")))
+
+    position = F.col("_p") * (F.col("_total") - 1)
+    asked = F.array(*[F.struct(F.lit(i).alias("_i"), F.lit(float(p)).alias("_p")) for i, p in enumerate(probabilities)])
+    ranks = counts.groupBy(*keys).agg(F.sum("_n").alias("_total")).select(*keys, "_total", F.explode(asked).alias("_a")).select(*keys, "_total", "_a._i", "_a._p")
+    ends = F.array(F.struct(F.lit(0).alias("_end"), (F.floor(position) + 1).alias("_rank")), F.struct(F.lit(1).alias("_end"), (F.ceil(position) + 1).alias("_rank")))
+    wanted = ranks.select(*keys, "_i", (position - F.floor(position)).alias("_f"), F.explode(ends).alias("_e")).select(*keys, "_i", "_f", "_e._end", "_e._rank")
+
+    parts = cut_lineage(_holding(counts, wanted, keys, "_top"))
+    small = broadcast_if_small(parts.select(*keys, "_top").distinct())  # two parts per group and probability at most
+    inside = join_same(base.withColumn("_top", F.shiftright("_k", _TOP)), small, [*keys, "_top"])
+    middle = F.shiftright("_k", _MIDDLE).alias("_middle")
+    values = cut_lineage(inside.groupBy(*keys, "_top", middle, "_k").agg(F.count(F.lit(1)).alias("_n"), F.max("_v").alias("_v")))
+    per_middle = values.groupBy(*keys, "_top", "_middle").agg(F.sum("_n").alias("_n"))
+    found = _holding(per_middle, parts, [*keys, "_top"], "_middle")
+    found = _holding(values.select(*keys, "_top", "_middle", F.struct("_k", "_v").alias("_kv"), "_n"), found, [*keys, "_top", "_middle"], "_kv")
+    pairs = found.groupBy(*keys, "_i").agg(*[F.max(F.when(F.col("_end") == e, F.col("_kv._v"))).alias(f"_v{e}") for e in (0, 1)], F.max("_f").alias("_f"))
+    between = F.when(F.col("_v0") == F.col("_v1"), F.col("_v0")).otherwise(F.col("_v0") + (F.col("_v1") - F.col("_v0")) * F.col("_f"))
+    return pairs.groupBy(*by).agg(*[F.max(F.when(F.col("_i") == i, between)).alias(f"q{i}") for i in range(len(probabilities))])
+
+
+def _holding(counts: DataFrame, wanted: DataFrame, keys, part: str) -> DataFrame:
+    """For each wanted rank the part of its group that holds it, and the rank inside that part."""
+    order = Window.partitionBy(*keys).orderBy(part).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    upto = counts.select(*keys, part, "_n", F.sum("_n").over(order).alias("_upto"))
+    both = join_same(upto, wanted, keys)
+    before = F.col("_upto") - F.col("_n")
+    held = both.filter((F.col("_rank") > before) & (F.col("_rank") <= F.col("_upto")))
+    return held.select(*keys, part, "_i", "_f", "_end", (F.col("_rank") - before).alias("_rank"))
 
 
 def join_same(left: DataFrame, right: DataFrame, keys) -> DataFrame:

@@ -30,9 +30,32 @@ def dense_keys(df: DataFrame, columns, key: str, checkpoint: bool = True) -> Dat
     return placed.join(F.broadcast(offsets), "_part").select(*columns, (F.col("_before") + F.col("_row") + 1).alias(key))
 
 
-def hash_keys(df: DataFrame, columns, key: str) -> DataFrame:
-    """Members with a stateless 64-bit key: no order, no shuffle beyond the distinct."""
-    return df.select(*columns).distinct().withColumn(key, F.xxhash64(*columns))
+def hash_keys(df: DataFrame, columns, key: str, bits: int = 64, rounds: int = 32) -> DataFrame:
+    """Members with a hash of ``bits`` bits as key, no two with the same.
+
+    Where members share a key the smallest keeps it, and only the others are hashed anew, until all
+    differ.  A key depends on the set of members only, not on order or partitioning.  Eager: two
+    aggregates of the members, and more only for those that collide.
+    """
+    marks = [F.col(c).isNull() for c in columns]  # a hash skips nulls, so (null, x) would be (x, null)
+    draw = lambda salt: F.pmod(F.xxhash64(*columns, *marks, F.lit(salt)), F.lit(1 << bits)).cast("long") if bits < 63 else F.xxhash64(*columns, *marks, F.lit(salt))
+    settled, open_ = None, cut_lineage(df.select(*columns).distinct().withColumn(key, draw(0)))
+    for salt in range(1, rounds + 1):
+        # a key that an earlier round gave away stays with its member
+        ranked = open_.withColumn("_old", F.lit(1))
+        if settled is not None:
+            ranked = ranked.unionByName(settled.withColumn("_old", F.lit(0)).join(open_.select(key).distinct(), key, "left_semi").select(*columns, key, "_old"))
+        first = F.min(F.struct("_old", F.struct(*marks, *columns).alias("_m"))).alias("_first")
+        clashes = cut_lineage(ranked.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), first).filter("_n > 1"))
+        if clashes.isEmpty():
+            return open_ if settled is None else settled.unionByName(open_)
+        joined = open_.join(clashes, key, "left")
+        stays = F.col("_n").isNull() | ((F.col("_first._old") == 1) & (F.struct(*marks, *columns) == F.col("_first._m")))
+        judged = cut_lineage(joined.select(*columns, key, stays.alias("_stays")))
+        kept = judged.filter("_stays").select(*columns, key)
+        settled = kept if settled is None else settled.unionByName(kept)
+        open_ = cut_lineage(judged.filter(~F.col("_stays")).select(*columns).withColumn(key, draw(salt)))
+    raise ValueError(f"{bits} bits do not tell the members apart")
 
 
 def lookup_key(df: DataFrame, members: DataFrame, on: dict[str, str], key: str, default: int = UNKNOWN_KEY) -> DataFrame:

@@ -8,6 +8,7 @@ from strataframe.operators import validate as dq
 from strataframe.plans import bronze, silver
 from strataframe.session import scratch_path
 from strataframe.sources import files, sinks
+from strataframe.sources.ledger import Ledger
 from strataframe.sources.tables import column_catalogue
 from strataframe.spec import RowRule
 from strataframe.workload.adapters import table
@@ -98,16 +99,19 @@ def schema_merge(spark, sf_dir):
     return sinks.read_merged(spark, path).agg(F.count(F.lit(1)).alias("n"), F.count("o_orderstatus").alias("with_status"), F.sum("o_custkey").alias("customers"))
 
 
-@query("append_after_mark", "SELECT o_orderstatus, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS checksum FROM orders GROUP BY 1")
+@query(
+    "append_after_mark",
+    """WITH m AS (SELECT max(o_orderkey) AS mark FROM orders WHERE o_orderkey % 5 < 3 AND o_orderkey < (SELECT avg(o_orderkey) FROM orders))
+    SELECT CASE WHEN o_orderkey <= mark THEN 1 ELSE 2 END AS batch, o_orderstatus, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS checksum FROM orders, m WHERE o_orderkey > mark OR o_orderkey % 5 < 3 GROUP BY 1, 2""",
+)
 def append_after_mark(spark, sf_dir):
-    """A first load, the rows after its highest id appended, and a run that finds nothing more."""
-    orders, path = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus"), scratch_path(spark, "orders-appended")
-    sinks.append(orders.filter("o_orderkey % 1000 < 600"), path)
-    mark = "o_orderkey % 1000 >= 600"
-    for _ in range(2):
-        stored = spark.read.schema(orders.schema).parquet(path)
-        sinks.append(orders.filter(mark).join(stored.filter(mark).select("o_orderkey"), "o_orderkey", "left_anti"), path)
-    return spark.read.schema(orders.schema).parquet(path).groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("checksum"))
+    """A first load, the rows past its committed mark, and a run that finds nothing more."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    loads = Ledger(spark, scratch_path(spark, "orders-loads"), orders.schema, "o_orderkey").create()
+    early = orders.filter("o_orderkey % 5 < 3").filter(F.col("o_orderkey") < orders.select(F.avg("o_orderkey")).scalar())
+    for name, source in (("first", early), ("second", orders), ("second", orders), ("third", orders)):
+        loads.append_new(name, source)
+    return loads.read().groupBy(F.col("batch").cast("int").alias("batch"), "o_orderstatus").agg(F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("checksum"))
 
 
 @query(

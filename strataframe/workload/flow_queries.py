@@ -11,6 +11,7 @@ from strataframe.plans import modelling as ml
 from strataframe.plans.linear import fitted
 from strataframe.session import cut_lineage, scratch_path
 from strataframe.sources import files, sinks
+from strataframe.sources.ledger import Ledger, UpsertLog, upsert_stream
 from strataframe.sources.tables import literal_rows
 from strataframe.streaming.arrival import arriving_files, ingest_available
 from strataframe.workload import adapters as ad
@@ -103,6 +104,25 @@ def stream_ingest(spark, sf_dir):
     return spark.read.schema(schema).parquet(target).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("user_id").alias("users"))
 
 
+@query(
+    "stream_upsert",
+    """SELECT event_type, count(*) AS users, CAST(sum(event_id) AS BIGINT) AS checksum FROM (SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1) GROUP BY 1""",
+)
+def stream_upsert(spark, sf_dir):
+    """The newest event of every user, by micro-batches of arriving files; replayed batches and a compaction change nothing."""
+    events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
+    landing, root = scratch_path(spark, "events-landing"), scratch_path(spark, "events-upserts")
+    events.repartition(4, "event_id").write.parquet(landing)
+    log = UpsertLog(Ledger(spark, f"{root}/log", events.schema).create(), "user_id", "ts")
+    arriving = arriving_files(spark, landing, events.schema, max_files=1)
+    upsert_stream(arriving, log, f"{root}/checkpoint")
+    batches = [e.name for e in log.ledger.live()]
+    log.upsert(batches[0], events.withColumn("event_type", F.lit("replayed")))
+    upsert_stream(arriving_files(spark, landing, events.schema, max_files=1), log, f"{root}/checkpoint")
+    log.compact("folded")
+    return log.current().groupBy("event_type").agg(F.count(F.lit(1)).alias("users"), F.sum("event_id").alias("checksum"))
+
+
 @query("csv_roundtrip", "SELECT o_orderstatus, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS checksum FROM orders GROUP BY 1")
 def csv_roundtrip(spark, sf_dir):
     """Sorted header CSV, read back with a schema and its source file."""

@@ -16,6 +16,7 @@ from strataframe.operators.project import new_batch_id, with_audit, without_tech
 from strataframe.operators.reshape import first_by, merge_equivalent, overlap_counts, stack_tables
 from strataframe.plans import silver
 from strataframe.plans.star import necropsy_fact
+from strataframe.session import cut_lineage
 from strataframe.sources.sinks import row_counts
 from strataframe.spec import CodeCheck, RowRule
 from strataframe.workload.adapters import parts_with_cause, table
@@ -493,10 +494,17 @@ def surrogate_keys(spark, sf_dir):
     return dense_keys(table(spark, sf_dir, "customer"), ["c_nationkey", "c_mktsegment"], "member_key")
 
 
-@query("surrogate_hash_keys", "SELECT count(*) AS members, count(*) AS distinct_keys FROM (SELECT DISTINCT o_custkey, o_orderpriority FROM orders)")
+@query(
+    "surrogate_hash_keys",
+    """WITH m AS (SELECT DISTINCT o_custkey, o_orderpriority FROM orders) SELECT o_orderpriority, count(*) AS members, count(*) AS distinct_keys, CAST(sum(o_custkey) AS BIGINT) AS checksum,
+    (SELECT count(*) FROM m) AS all_keys FROM m GROUP BY 1""",
+)
 def surrogate_hash_keys(spark, sf_dir):
-    keyed = hash_keys(table(spark, sf_dir, "orders"), ["o_custkey", "o_orderpriority"], "member_key")
-    return keyed.agg(F.count(F.lit(1)).alias("members"), F.countDistinct("member_key").alias("distinct_keys"))
+    """Keys of 20 bits, so that many members collide at first; every member has a key of its own in the end."""
+    keyed = cut_lineage(hash_keys(table(spark, sf_dir, "orders"), ["o_custkey", "o_orderpriority"], "member_key", bits=20))
+    every = keyed.select(F.countDistinct("member_key")).scalar()
+    own = keyed.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("members"), F.countDistinct("member_key").alias("distinct_keys"), F.sum("o_custkey").alias("checksum"))
+    return own.withColumn("all_keys", every)
 
 
 @query(
