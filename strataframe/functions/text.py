@@ -10,15 +10,6 @@ def clean_upper(col: Column) -> Column:
     return F.upper(F.trim(col))
 
 
-def contains_any(col: Column, fragments) -> Column:
-    """True when any fragment occurs; ignores case.  NULL in, NULL out."""
-    folded = F.lower(col)
-    hit = F.lit(False)
-    for fragment in fragments:
-        hit = hit | folded.contains(fragment.lower())
-    return hit
-
-
 def slug(col: Column, keep_accents: bool = False) -> Column:
     """Words joined by underscores; other characters vanish ("Cólera" -> "clera" in ASCII form)."""
     letters = "a-zA-Z0-9áéíóúÁÉÍÓÚñÑ" if keep_accents else "a-zA-Z0-9"

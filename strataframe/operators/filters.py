@@ -28,10 +28,6 @@ def since_date(column: str, first_day: str) -> Column:
     return F.col(column) >= F.lit(first_day)
 
 
-def in_range(column: str, low, high) -> Column:
-    return F.col(column).between(low, high)
-
-
 def where_present(df: DataFrame, column: str, predicate: Column) -> DataFrame:
     """Apply the predicate only when the table has the column."""
     return df.filter(predicate) if column in df.columns else df

@@ -8,8 +8,6 @@ from operator import or_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataframe.operators.reshape import first_by
-
 
 def high_water_mark(target: DataFrame, column: str, default=0):
     """The greatest value loaded so far (eager: one value), or ``default`` for an empty table."""
@@ -37,10 +35,6 @@ def upsert(target: DataFrame, source: DataFrame, key, newest_by=None) -> DataFra
     return target.join(source.select(*keys), keys, "left_anti").unionByName(source)
 
 
-def _differs(left: DataFrame, right: DataFrame, columns):
-    return reduce(or_, [~left[c].eqNullSafe(right[c]) for c in columns])
-
-
 def snapshot_diff(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     """Change feed between two snapshots: insert, update and delete rows (values after the change,
     for deletes before it).  Compares the values themselves, not a hash of them."""
@@ -99,8 +93,3 @@ def apply_history(history: DataFrame, snapshot: DataFrame, key: str, as_of: str)
     versions = F.filter(F.array(F.when(known, old_row), F.when(starts, new_row)), lambda v: v.isNotNull())
     rows = joined.select(F.explode(versions).alias("_v")).select("_v.*")
     return closed.select(*rows.columns).unionByName(rows)
-
-
-def latest_version(history: DataFrame, key: str) -> DataFrame:
-    """The current row of every member, by descending start when several are open."""
-    return first_by(history.filter("is_current"), key, ["valid_from"])

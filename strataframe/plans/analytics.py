@@ -298,7 +298,3 @@ def source_scale(star: Star, scope: Scope = DEFAULT) -> DataFrame:
         "fuente", "registros", percent(F.col("registros"), F.sum("registros").over(everything)).alias("porcentaje_registros"),
         F.round("_mean", 2).alias("promedio_fallecidos"), F.round(F.try_divide(F.col("_mean"), base), 2).alias("razon_escala"),
     )
-
-
-def with_share_of_total(df: DataFrame, measure: str) -> DataFrame:
-    return share_of_total(df, measure, "porcentaje_total")

@@ -6,7 +6,6 @@ from typing import NamedTuple
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -191,8 +190,3 @@ def simple_fit(df: DataFrame, x: str, y: str) -> DataFrame:
     """Closed-form line of one feature: adds ``prediction`` (coefficients by scalar subquery)."""
     line = df.select(F.struct(F.regr_slope(F.col(y), F.col(x)).alias("b"), F.regr_intercept(F.col(y), F.col(x)).alias("a"))).scalar()
     return df.withColumn("prediction", line["a"] + line["b"] * F.col(x))
-
-
-def feature_array(predictions: DataFrame) -> DataFrame:
-    """The scaled feature vector as a plain array column."""
-    return predictions.withColumn("features", vector_to_array("features"))

@@ -115,21 +115,31 @@ def cause_dimension(catalogue: DataFrame, id_column: str = "id", name_column: st
     return classify_catalogue(named, "nombre_causa").select(*columns).unionByName(extra)
 
 
+# Codes of the age unit for days and months.
+UNITS_BELOW_A_YEAR = (1, 2)
+
+
 def fact_from_records(records: DataFrame, source: str = "INE", prefix: str = "GT-", year: str = "anoreg", month: str = "mesreg",
                       place: str = "depocu", sex: str = "sexo", age: str = "edadif", cause: str = "caudef",
-                      sex_labels=SEX_LABELS, cuts=AGE_BANDS, rules=CAUSE_RULES) -> DataFrame:
+                      sex_labels=SEX_LABELS, cuts=AGE_BANDS, rules=CAUSE_RULES, age_unit: str | None = None) -> DataFrame:
     """Individual records counted by month, place, profile and cause.
 
+    ``age_unit`` names a column that says in what ages are counted: days and months
+    (``UNITS_BELOW_A_YEAR``) are age 0, so an infant of 20 days is no adult.  Without it ages are years.
+
     Keys are derived and only the six source columns read; counting starts before
     the one shuffle, so a dominant cell costs no more than a rare one.
     """
     label = sex_label(F.col(sex)) if sex_labels is SEX_LABELS else relabel(F.col(sex), sex_labels, default="Ambos")
     usable = records.filter(all_present(year, month, place))
+    years = F.col(age)
+    if age_unit is not None:
+        years = F.when(F.col(age_unit).isin(*UNITS_BELOW_A_YEAR) & F.col(age).isNotNull(), F.lit(0)).otherwise(F.col(age))
     cells = (
         classify_cause(usable, cause, "id_causa", rules)
         .groupBy(
             cal.month_key_from_parts(F.col(year), F.col(month)).alias("id_tiempo_mes"), F.col(place).alias("_place"),
-            label.alias("_sex"), band(F.col(age), cuts).alias("_band"), "id_causa",
+            label.alias("_sex"), band(years, cuts).alias("_band"), "id_causa",
         )
         .agg(F.count(F.lit(1)).alias(MEASURE))
     )

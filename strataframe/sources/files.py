@@ -8,15 +8,18 @@ from __future__ import annotations
 import csv
 import io
 from collections.abc import Iterator
+from fnmatch import fnmatch
 from typing import NamedTuple
+from urllib.parse import unquote, urlsplit
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataframe.functions.naming import drop_matching, rename_all
 from strataframe.functions.text import base_name, without_extension, year_in_name
+from strataframe.operators.reshape import stack_tables
 from strataframe.spec import SourceSpec
 
 COPYRIGHT_COLUMN = "^<!___copyright_"
@@ -75,9 +78,14 @@ def one_dataset_per_file(spark: SparkSession, folder: str, glob: str, schema: st
     }
 
 
+def _plain_name(path: Column) -> Column:
+    """The file's own name from a path as scans report it, with odd characters as %xx."""
+    return F.url_decode(F.replace(base_name(path), F.lit("+"), F.lit("%2B")))
+
+
 def with_source_file(df: DataFrame) -> DataFrame:
     """Add the file name each row came from, for file-based scans."""
-    return df.withColumn("source_file", F.col("_metadata.file_name"))
+    return df.withColumn("source_file", _plain_name(F.col("_metadata.file_path")))
 
 
 class Ragged(NamedTuple):
@@ -324,17 +332,68 @@ def read_by_name(spark: SparkSession, path) -> DataFrame:
     parsed, layouts = _parsed(csv_records(spark, path))
     if not layouts:
         raise FileNotFoundError(path)
+    return parsed.select(*_by_name(layouts), _plain_name(F.col("file")).alias("source_file"))
+
+
+def _by_name(layouts: list[list[str]]) -> list[Column]:
+    """Every column of any layout, from the place it has in the record's own."""
     columns = []
     for name in dict.fromkeys(n for names in layouts for n in names):
         if any(names.count(name) > 1 for names in layouts):
             raise ValueError(f"column {name!r} stands twice in a header")
         places = F.array(*[F.lit(names.index(name) if name in names else None).cast("int") for names in layouts])
         columns.append(F.get("values", F.get(places, F.col("layout"))).alias(name))
-    return parsed.select(*columns, base_name(F.col("file")).alias("source_file"))
+    return columns
+
+
+def read_sources(spark: SparkSession, specs: list[SourceSpec]) -> DataFrame:
+    """Many CSV sources as one table: ``source_name``, ``source_file`` and the united columns, as text.
+
+    Specs are told apart by the lines they skip only; all files of one number are found, split and
+    parsed in the same two scans, whatever their layouts.  Jobs do not grow with sources or files.
+    A location may name a file, a folder or a glob; a file belongs to the spec whose location names it.
+    """
+    if len({spec.name for spec in specs}) != len(specs):
+        raise ValueError("source names must be unique")
+    if other := [spec.name for spec in specs if spec.format not in ("csv", "ragged_csv")]:
+        raise ValueError(f"no CSV sources: {other}")
+    parts = []
+    for skip in sorted({spec.skip_rows for spec in specs}):
+        own = [spec for spec in specs if spec.skip_rows == skip]
+        records = csv_records(spark, [spec.location for spec in own], skip)
+        names = {file: _spec_of(file, own) for file, _, _ in records.headers}
+        of_file = spark.createDataFrame([(file, name) for file, name in names.items()], "file string, source_name string")
+        parsed, layouts = _parsed(records)
+        named = parsed.join(F.broadcast(of_file) if len(names) <= MOST_BLOCKS else of_file, "file")
+        parts.append(named.select("source_name", _plain_name(F.col("file")).alias("source_file"), *_by_name(layouts)))
+    return stack_tables(parts, allow_missing=True)
+
+
+def _spec_of(file: str, specs: list[SourceSpec]) -> str:
+    """The source whose location names the file; the longest such location counts."""
+    path = unquote(urlsplit(file).path)
+    found = []
+    for spec in specs:
+        where = urlsplit(spec.location).path.rstrip("/")
+        if fnmatch(path, where) or fnmatch(path.rsplit("/", 1)[0], where):
+            found.append((len(where), spec.name))
+    if not found:
+        raise LookupError(f"no source names {file}")
+    return max(found)[1]
+
+
+def load_with_rejects(spark: SparkSession, spec: SourceSpec) -> tuple[DataFrame, DataFrame | None]:
+    """One source and the records that do not fit it, as text; None where the format has none."""
+    if spec.format == "csv" and spec.skip_rows == 0:
+        return load(spark, spec), csv_rejects(spark, spec.location, spec.schema).withColumnRenamed(BAD_RECORD, "record") if spec.schema else None
+    if spec.format in ("csv", "ragged_csv"):
+        found = read_ragged(spark, spec.location, spec.skip_rows)
+        return found.rows, found.rejects.select("record")
+    return load(spark, spec), None
 
 
 def load(spark: SparkSession, spec: SourceSpec) -> DataFrame:
-    """One source as its spec describes it."""
+    """One source as its spec describes it; see :func:`load_with_rejects` for what does not fit."""
     if spec.format == "csv" and spec.skip_rows == 0:
         return read_csv(spark, spec.location, spec.schema, drop_malformed=spec.schema is not None)
     if spec.format in ("csv", "ragged_csv"):

@@ -83,8 +83,15 @@ def list_databases(spark: SparkSession) -> DataFrame:
     return literal_rows(spark, [(d.name,) for d in spark.catalog.listDatabases()], "name string")
 
 
-def list_catalogs(spark: SparkSession) -> DataFrame:
-    return literal_rows(spark, [(c.name,) for c in spark.catalog.listCatalogs()], "name string")
+def describe_tables(spark: SparkSession, database: str) -> DataFrame:
+    """Tables of a database with comment, properties and columns, as the catalogue has them; reads no rows."""
+    rows = []
+    for t in spark.catalog.listTables(database):
+        name = f"{database}.{t.name}"
+        own = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+        columns = ",".join(c.name for c in spark.catalog.listColumns(name))
+        rows.append((t.name, t.description, ",".join(f"{k}={v}" for k, v in sorted(own.items()) if not k.startswith("transient")), columns))
+    return literal_rows(spark, rows, "name string, comment string, properties string, columns string")
 
 
 def column_catalogue(tables: dict[str, DataFrame]) -> DataFrame:
@@ -109,7 +116,3 @@ def month_rows(spark: SparkSession, first_year: int, last_year: int) -> DataFram
     """Every year of the range with each of its twelve months: (anio, mes)."""
     twelve = F.sequence(F.lit(1).cast("long"), F.lit(12).cast("long"))
     return spark.range(first_year, last_year + 1).select(F.col("id").alias("anio"), F.explode(twelve).alias("mes"))
-
-
-def sample_rows(df: DataFrame, n: int = 10) -> DataFrame:
-    return df.limit(n)

@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from strataframe.functions.naming import drop_matching, rename_all
 from strataframe.operators import validate as dq
+from strataframe.operators.filters import where_present
+from strataframe.operators.project import repair_header
 from strataframe.plans import bronze, silver
-from strataframe.session import scratch_path
+from strataframe.session import cut_lineage, scratch_path
 from strataframe.sources import files, sinks
 from strataframe.sources.ledger import Ledger
-from strataframe.sources.tables import column_catalogue
-from strataframe.spec import RowRule
+from strataframe.sources.tables import column_catalogue, describe_tables, list_tables, metadata_records, read_table
+from strataframe.spec import RowRule, SourceSpec, TableSpec
 from strataframe.workload.adapters import table
 from strataframe.workload.oracle import pct
 from strataframe.workload.registry import query
@@ -90,6 +93,92 @@ def ragged_stray_quote(spark, sf_dir):
     )
 
 
+@query(
+    "source_list",
+    """SELECT 'source_' || (c_custkey % 24 // 4) AS source_name, count(*) AS n, count(DISTINCT c_custkey % 24) AS files, CAST(sum(c_custkey) AS BIGINT) AS checksum,
+    count(CASE WHEN c_custkey % 3 <> 1 THEN c_name END) AS names, count(CASE WHEN c_custkey % 3 = 2 THEN 1 END) AS segments FROM customer WHERE c_custkey % 3 = 1 OR c_custkey % 7 > 0 GROUP BY 1""",
+)
+def source_list(spark, sf_dir):
+    """24 files of three layouts, half of them below a title, as six sources read together."""
+    k, root = F.col("c_custkey"), scratch_path(spark, "customers-list")
+    people = table(spark, sf_dir, "customer").withColumns({"file": k % 24, "source": F.floor(k % 24 / 4), "layout": k % 3})
+    name = F.concat(F.lit('"'), F.col("c_name"), F.lit(', x"'))
+    line = F.when(F.col("layout") == 0, F.concat_ws(",", k.cast("string"), name)).when(F.col("layout") == 1, k.cast("string")).otherwise(F.concat_ws(",", "c_mktsegment", k.cast("string"), name))
+    heads = F.when(F.col("layout") == 0, "c_custkey,c_name").when(F.col("layout") == 1, "c_custkey").otherwise("c_mktsegment,c_custkey,c_name")
+    files_ = people.select("file", "source", "layout").distinct()
+    titles = files_.filter("source >= 3").select("source", "file", F.lit(-2).cast("long").alias("at"), F.lit('A "title').alias("line"))
+    headers = files_.select("source", "file", F.lit(-1).cast("long").alias("at"), heads.alias("line"))
+    rows = people.select("source", "file", k.alias("at"), line.alias("line")).union(headers).union(titles)
+    rows.repartition(24, "source", "file").sortWithinPartitions("source", "file", "at").select("source", "file", "line").write.partitionBy("source", "file").text(root)
+    specs = [SourceSpec(f"source_{i}", f"{root}/source={i}/file=*", "ragged_csv", skip_rows=int(i >= 3)) for i in range(6)]
+    united = files.read_sources(spark, specs).withColumn("c_custkey", F.col("c_custkey").try_cast("long"))
+    kept = where_present(united, "c_name", F.col("c_name").isNull() | (F.col("c_custkey") % 7 > 0))
+    return kept.groupBy("source_name").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct(F.col("c_custkey") % 24).alias("files"), F.sum("c_custkey").alias("checksum"),
+        F.count("c_name").alias("names"), F.count("c_mktsegment").alias("segments"),
+    )
+
+
+@query(
+    "lost_header",
+    "SELECT c_mktsegment, count(*) AS n, CAST(sum(c_custkey) AS BIGINT) AS checksum, min(c_name) AS first_name FROM customer GROUP BY 1",
+)
+def lost_header(spark, sf_dir):
+    """Customers whose first row was taken for the header: it comes back as a row, and names and types are set."""
+    people = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    first = people.orderBy("c_custkey").first()
+    taken = people.filter(F.col("c_custkey") > first.c_custkey).toDF(*map(str, first))
+    whole = repair_header(taken, ["c_custkey", "c_name", "c_mktsegment"], {"c_custkey": "bigint"})
+    return whole.groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n"), F.sum("c_custkey").alias("checksum"), F.min("c_name").alias("first_name"))
+
+
+@query("column_hygiene", "SELECT o_orderstatus AS order_status__a_b_, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS checksum, 'n_orders,order_key,order_status__a_b_' AS names FROM orders GROUP BY 1")
+def column_hygiene(spark, sf_dir):
+    """Names with punctuation made plain, columns dropped by name and by pattern."""
+    raw = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("Order-Key"), F.col("o_orderstatus").alias("Order.Status (a/b)"), F.lit(1).alias("N Orders"),
+        F.col("o_orderdate").alias("^<!___Copyright_9"), F.col("o_custkey").alias("unused"),
+    )
+    plain = rename_all(drop_matching(raw, "unused", pattern=r"copyright"), "punctuation")
+    return plain.groupBy("order_status__a_b_").agg(F.sum("n_orders").alias("n"), F.sum("order_key").alias("checksum"), F.lit(",".join(sorted(plain.columns))).alias("names"))
+
+
+@query(
+    "metadata_catalogue",
+    """SELECT t.name, t.owner, t.available, n FROM (VALUES ('orders', 'sales', true), ('customer', 'sales', true), ('lineitem', 'stock', false)) t(name, owner, available)
+    JOIN (SELECT 'orders' AS name, count(*) AS n FROM orders UNION ALL SELECT 'customer', count(*) FROM customer UNION ALL SELECT 'lineitem', count(*) FROM lineitem) USING (name)""",
+)
+def metadata_catalogue(spark, sf_dir):
+    """Catalogue records of three tables beside the rows they hold."""
+    specs = [TableSpec("orders", "parquet", "sales", "2020-01-01", "daily"), TableSpec("customer", "parquet", "sales", "2020-01-01", "daily"), TableSpec("lineitem", "parquet", "stock", "2020-01-01", "daily", False)]
+    counts = sinks.row_counts({s.name: table(spark, sf_dir, s.name) for s in specs})
+    return metadata_records(spark, specs).join(counts, F.col("name") == F.col("table_name")).select("name", "owner", "available", F.col("row_count").alias("n"))
+
+
+@query(
+    "catalogue_roundtrip",
+    """SELECT 'orders_by_status' AS name, 'orders, ''by'' status' AS comment, 'o_orderstatus,n,checksum' AS columns, o_orderstatus, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS checksum, true AS owner_known, 0 AS left_behind FROM orders GROUP BY o_orderstatus""",
+)
+def catalogue_roundtrip(spark, sf_dir):
+    """A catalogue table replaced with another schema, described, read back and dropped with its database."""
+    orders, folder = table(spark, sf_dir, "orders"), scratch_path(spark, "catalogue")
+    database = "db_" + folder.rsplit("-", 1)[1]
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{folder}'")
+    try:
+        name = f"{database}.orders_by_status"
+        sinks.overwrite_table(orders.select("o_orderkey", "o_custkey"), name, "first")
+        by_status = orders.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("checksum"))
+        sinks.overwrite_table(by_status, name, "orders, 'by' status", {"owner_team": "sales"})
+        known = describe_tables(spark, database).first()
+        seen = {"name": known.name, "comment": known.comment, "columns": known.columns, "owner_known": "owner_team=sales" in known.properties}
+        rows = cut_lineage(read_table(spark, name).withColumns({c: F.lit(v) for c, v in seen.items()}))
+        sinks.drop_table(spark, name)
+        left = list_tables(spark, database).filter("not temporary").count()
+    finally:
+        spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
+    return rows.withColumn("left_behind", F.lit(left).cast("int"))
+
+
 @query("schema_merge", "SELECT count(*) AS n, count(CASE WHEN o_orderkey % 2 = 1 THEN 1 END) AS with_status, CAST(sum(o_custkey) AS BIGINT) AS customers FROM orders")
 def schema_merge(spark, sf_dir):
     """Two appends with different columns, read with the union of both."""

@@ -8,9 +8,11 @@ from strataframe.operators.reshape import months_to_columns, months_to_rows, unp
 from strataframe.operators.aggregate import pivot_sum, share_of_total
 from strataframe.operators.validate import completeness, orphan_rows, part_whole, source_gap
 from strataframe.functions.calendar import MONTH_COLUMNS
+from strataframe.functions.naming import rename_all
 from strataframe.plans import analytics as an
 from strataframe.plans import star as gold
 from strataframe.workload import adapters as ad
+from strataframe.workload.adapters import table
 from strataframe.workload.oracle import (
     CAUSE, CAUSE_CASE, CONTEXT, EVENTS, FACT, FACT_A, FACT_S, PLACE, PROFILE, RECORDS, TIME, pct, rounded, with_star,
 )
@@ -52,6 +54,36 @@ def fact_detail(spark, sf_dir):
     return ad.detail_fact(spark, sf_dir)
 
 
+@query(
+    "fact_age_unit",
+    with_star(
+        """SELECT id_tiempo_mes, id_perfil, count(*) AS cantidad_fallecidos FROM (SELECT anoreg || '-' || lpad(CAST(mesreg AS VARCHAR), 2, '0') AS id_tiempo_mes,
+        CASE sexo WHEN 1 THEN 'H' WHEN 2 THEN 'M' ELSE 'A' END || '-' || CASE WHEN edadif IS NULL THEN 'Todas' WHEN (mesreg + edadif // 2) % 4 IN (1, 2) OR edadif < 15 THEN '0-14' WHEN edadif < 65 THEN '15-64' ELSE '65+' END AS id_perfil
+        FROM records) GROUP BY 1, 2""",
+        RECORDS,
+    ),
+)
+def fact_age_unit(spark, sf_dir):
+    """Records whose ages are days or months for some: these are children, whatever the number."""
+    records = rename_all(ad.death_records(spark, sf_dir))
+    age = F.when(F.col("edadif") != 999, F.col("edadif"))
+    coded = records.withColumns({"edadif": age, "perdif": (F.col("mesreg") + F.floor(F.col("edadif") / 2)) % 4})
+    fact = gold.fact_from_records(coded, "A", "N-", age_unit="perdif")
+    return fact.groupBy("id_tiempo_mes", "id_perfil").agg(F.sum("cantidad_fallecidos").alias("cantidad_fallecidos"))
+
+
+@query(
+    "dim_month_fixed",
+    """WITH m AS (SELECT CAST(y AS VARCHAR) || '-' || lpad(CAST(k AS VARCHAR), 2, '0') AS id_tiempo_mes, y AS anio, k AS mes FROM range(1994, 2004) a(y), range(1, 13) b(k))
+    SELECT id_tiempo_mes, CAST(anio AS INTEGER) AS anio, CAST(mes AS INTEGER) AS mes, count(o_orderkey) AS n FROM m LEFT JOIN orders ON strftime(o_orderdate, '%Y-%m') = id_tiempo_mes GROUP BY ALL""",
+)
+def dim_month_fixed(spark, sf_dir):
+    """Every month of a fixed range, with the orders that it has; months without any are there too."""
+    months = gold.month_dimension(spark, 1994, 2003).select("id_tiempo_mes", F.col("anio").cast("int").alias("anio"), F.col("mes").cast("int").alias("mes"))
+    orders = table(spark, sf_dir, "orders").groupBy(F.date_format("o_orderdate", "yyyy-MM").alias("id_tiempo_mes")).agg(F.count(F.lit(1)).alias("n"))
+    return months.join(orders, "id_tiempo_mes", "left").withColumn("n", F.coalesce("n", F.lit(0).cast("long")))
+
+
 @query("fact_monthly_series", with_star("SELECT * FROM fact_s", FACT_S))
 def fact_monthly_series(spark, sf_dir):
     return ad.series_fact(spark, sf_dir)

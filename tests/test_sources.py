@@ -203,3 +203,37 @@ def test_records_of_any_text_split_anywhere(spark, tmp_path):
         finally:
             spark.conf.unset("spark.sql.files.maxPartitionBytes")
             spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_many_sources_take_the_same_jobs(spark, tmp_path):
+    def jobs(n):
+        root = tmp_path / f"n{n}"
+        for i in range(n):
+            (root / f"s{i % 2}").mkdir(parents=True, exist_ok=True)
+            text = f"a,b\n{i},x\n" if i % 3 else f"b,c\ny,{i}\n"
+            (root / f"s{i % 2}" / f"f+ {i}%.csv").write_text(text if i % 2 == 0 else "Title\n" + text)
+        specs = [SourceSpec("even", str(root / "s0")), SourceSpec("odd", str(root / "s1" / "f+ *.csv"), "ragged_csv", skip_rows=1)]
+        group = f"many-{n}"
+        spark.sparkContext.setJobGroup(group, group)
+        try:
+            found = rows(files.read_sources(spark, specs).select("source_name", "source_file", "a", "b", "c"))
+        finally:
+            spark.sparkContext.setJobGroup("", "")
+        want = [(["even", "odd"][i % 2], f"f+ {i}%.csv", *((str(i), "x", None) if i % 3 else (None, "y", str(i)))) for i in range(n)]
+        assert found == sorted(want, key=repr)
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+    assert jobs(4) == jobs(24)
+    with pytest.raises(ValueError, match="unique"):
+        files.read_sources(spark, [SourceSpec("a", "x"), SourceSpec("a", "y")])
+    with pytest.raises(ValueError, match="no CSV"):
+        files.read_sources(spark, [SourceSpec("a", "x", "parquet")])
+
+
+def test_rejects_are_handed_over(spark, tmp_path):
+    (tmp_path / "plain.csv").write_text("a,b\n1,x\nbad,y\n2,z\n")
+    good, bad = files.load_with_rejects(spark, SourceSpec("p", str(tmp_path / "plain.csv"), schema="a int, b string"))
+    assert rows(good) == [(1, "x"), (2, "z")] and rows(bad) == [("bad,y",)]
+    (tmp_path / "ragged.csv").write_text("T\na,b\n1,x\n2,x,,,y\n")
+    good, bad = files.load_with_rejects(spark, SourceSpec("r", str(tmp_path / "ragged.csv"), "ragged_csv", skip_rows=1))
+    assert rows(good) == [("1", "x")] and rows(bad) == [("2,x,,,y",)]
