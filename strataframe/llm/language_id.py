@@ -182,9 +182,8 @@ def probabilities(counts: DataFrame, size: int) -> DataFrame:
             total, kinds = (F.lit(known[f"{n}_2"]), F.lit(known[f"{n}_3"])) if out is None else (F.col(f"{n}_total"), F.col(f"{n}_kinds"))
             seen = (F.greatest(F.col(n) - F.lit(discount), F.lit(0.0)) + F.lit(discount) * kinds * p) / total
             values.append(F.when(total > 0, seen).otherwise(p))
-        out = rows.select("gram", F.array(*values).alias("p"))
-    out = staged(out, "language-probabilities")
-    drop_staged(*levels.values())
+        before, out = out, staged(rows.select("gram", F.array(*values).alias("p")), "language-probabilities")
+        drop_staged(levels[k], *[before] * (before is not None))  # an order needs the one below only
     return out
 
 
@@ -234,9 +233,23 @@ def _known_words(common, size: int):
     return run
 
 
+def commonest(scores: DataFrame) -> DataFrame:
+    """The words to look up inside tasks: all above the least count, in steps of a sixteenth of a power of two, that leaves at most ``COMMON``."""
+    short = scores.filter(F.length("word") <= COMMON_CHARS)
+    step = F.floor(F.log2("n") * 16)
+    steps = short.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("step")).collect()  # some hundred at most
+    least, total = None, 0
+    for row in steps:
+        total += row.words
+        if total > COMMON:
+            break
+        least = row.step
+    return short.filter(step >= least) if least is not None else short.limit(0)
+
+
 def entropies(docs: DataFrame, scores: DataFrame, size: int) -> DataFrame:
     """The documents with their characters and cross-entropy under every language, null without characters."""
-    common = scores.filter(F.length("word") <= COMMON_CHARS).orderBy(F.desc("n"), "word").limit(COMMON).collect()
+    common = commonest(scores).collect()
     held = ({r.word: i for i, r in enumerate(common)}, np.array([r.chars for r in common], np.int64), np.array([r.logs for r in common], np.int64).reshape(-1, size))
     kind = f"id long, doc_id {dict(docs.dtypes)['doc_id']}, lang string, held_out boolean, learned boolean, chars long, logs array<long>, rest array<string>, times array<long>"
     parts = docs.withColumn("id", F.monotonically_increasing_id()).mapInArrow(_known_words(docs.sparkSession.sparkContext.broadcast(held), size), kind)
