@@ -1,14 +1,16 @@
 """License scans: a positional index of rare licence words.
 
-Every template is a run of words with key phrases that must stand in it.  The index holds, for
-each template, its words of the highest inverse document frequency, measured over all documents,
-with their places.  A file's words that are in the index name a template and the place where it
-would start; places named by at least two words of a template (by one, where the index has one)
-are candidates, and a candidate counts when all key phrases of its template stand at their places.
+Every template is a run of words with key phrases that must stand in it.  Inverse document
+frequencies of all template words come from all documents.  For a template the index posts the two
+rarest places of its key phrases: in a file that has the phrases these are its rarest licence words
+of that template.  A file's hits name a template and the place where it would start; places that
+both words name are candidates, and a candidate counts when all key phrases stand at their places.
+Since every key phrase has its rarest words, a file that has the phrases always has the candidate:
+frequencies decide what is looked up, never what is found, so no row's labels depend on others.
 
 Only DataFrame functions are used.  The text is scanned whole; null and blank texts have no words
 and no labels; repeated rows are scanned alike; an empty table gives an empty result; other
-columns are ignored.  Words are split as ``WORD`` says after lower-casing A-Z.
+columns are ignored.  Words are split as ``NOT_WORD`` says after lower-casing A-Z.
 """
 
 from __future__ import annotations
@@ -51,31 +53,54 @@ TEMPLATES = (
     Template("isc", "permission to use copy modify and or distribute this software for any purpose", ("permission to use copy modify",)),
     Template("unlicense", "this is free and unencumbered software released into the public domain", ("unencumbered software",)),
     Template("reserved", "copyright all rights reserved", ("all rights reserved",)),
+    Template("apache-2.0", "spdx license identifier apache 2 0", ("spdx license identifier apache 2 0",)),
+    Template("mit", "spdx license identifier mit", ("spdx license identifier mit",)),
+    Template("gpl-2.0", "spdx license identifier gpl 2 0", ("spdx license identifier gpl 2 0",)),
+    Template("gpl-3.0", "spdx license identifier gpl 3 0", ("spdx license identifier gpl 3 0",)),
+    Template("bsd", "spdx license identifier bsd", ("spdx license identifier bsd",)),
+    Template("later-version", "at your option any later version", ("any later version",)),
+    Template("cc-by-nd-4.0", "licensed under cc by nd 4 0", ("cc by nd 4 0",)),
+    Template("epl-2.0", "made available under the terms of the eclipse public license 2 0", ("eclipse public license",)),
+    Template("artistic-2.0", "licensed under the artistic license 2 0", ("artistic license",)),
+    Template("bsl-1.0", "distributed under the boost software license version 1 0", ("boost software license",)),
+    Template("zlib", "in no event will the authors be held liable for any damages", ("in no event will the authors be held liable",)),
 )
 
 
-KNOWN = sorted({w for t in TEMPLATES for w in t.text.split()} | {w for p in BASE for w in p.split()})
-INDEX_WORDS, VOTES = 3, 2  # index words per template, and how many of them must agree on a place
+VOTES = 2  # places of a template that must agree
 START = 1 << 20  # added to places, so that a template may begin before the text
 
 
-def licence_words(docs: DataFrame, *carry: str) -> DataFrame:
+def known_words(templates) -> list[str]:
+    return sorted({w for t in templates for w in t.text.split()} | {w for p in BASE for w in p.split()})
+
+
+def licence_words(docs: DataFrame, *carry: str, templates=TEMPLATES) -> DataFrame:
     """Number of words and, word by word, those that templates or base phrases use; null for all others."""
     # full lower-casing moves no word's border and changes no other letter into A-Z but the Kelvin sign
     low = F.lower(F.replace(F.coalesce("text", F.lit("")), F.lit("\u212a"), F.lit("\u00a7")))
     words = docs.select(*carry, F.array_remove(F.split(low, NOT_WORD), "").alias("_words"))
-    return words.select(*carry, F.size("_words").cast("long").alias("n_words"), F.transform("_words", lambda w: F.when(w.isin(*KNOWN), w)).alias("words"))
+    return words.select(*carry, F.size("_words").cast("long").alias("n_words"), F.transform("_words", lambda w: F.when(w.isin(*known_words(templates)), w)).alias("words"))
+
+
+def key_places(template: Template) -> list[tuple[int, list[str]]]:
+    """Where each key phrase stands in the template, and its words."""
+    own, out = template.text.split(), []
+    for phrase in template.phrases:
+        words = phrase.split()
+        out.append((next(i for i in range(len(own)) if own[i : i + len(words)] == words), words))
+    return out
 
 
-def rare_word_index(rows: DataFrame) -> dict[str, list[tuple[int, int]]]:
-    """Index word to the templates and places it stands at; document frequencies come from all rows."""
+def rare_word_index(rows: DataFrame, templates=TEMPLATES) -> dict[str, list[tuple[int, int]]]:
+    """Word to the templates and places it is posted for: the two rarest places of a template's key phrases, by all rows."""
     counts = rows.select(F.explode(F.array_distinct("words")).alias("w")).filter("w is not null").groupBy("w").count()
     df = {r.w: r["count"] for r in counts.collect()}  # one row per word of the templates
     index: dict[str, list[tuple[int, int]]] = {}
-    for t, template in enumerate(TEMPLATES):
-        words = template.text.split()
-        for w in sorted(set(words), key=lambda w: (df.get(w, 0), w))[:INDEX_WORDS]:
-            index.setdefault(w, []).extend((t, p) for p, own in enumerate(words) if own == w)
+    for t, template in enumerate(templates):
+        places = sorted({(df.get(w, 0), first + k, w) for first, words in key_places(template) for k, w in enumerate(words)})[:VOTES]
+        for _, p, w in places * (VOTES // len(places)):  # a phrase of one word votes twice
+            index.setdefault(w, []).append((t, p))
     return index
 
 
@@ -87,10 +112,10 @@ def _literal(entries: list[tuple[object, Column]]) -> Column:
     return F.create_map(*[x for k, v in entries for x in (F.lit(k), v)])
 
 
-def license_scan(docs: DataFrame, *carry: str) -> DataFrame:
+def license_scan(docs: DataFrame, *carry: str, templates=TEMPLATES) -> DataFrame:
     """``carry``, words, base places, base labels, all labels, score and the matches (label, start) of every document."""
-    rows = staged(licence_words(docs, *carry), "licence-words")
-    index = rare_word_index(rows)
+    rows = staged(licence_words(docs, *carry, templates=templates), "licence-words")
+    index = rare_word_index(rows, templates)
     at = lambda i: F.get("words", i)
 
     def base_at(w: Column, i: Column) -> Column:
@@ -114,16 +139,9 @@ def license_scan(docs: DataFrame, *carry: str) -> DataFrame:
     agreed = lambda s: F.array_distinct(F.filter(s, lambda v, i: v == F.get(s, i + VOTES - 1)))
     voted = scanned.select(*carry, "n_words", "words", "base", F.when(F.size("hits") > 0, bound(F.sort_array(named), agreed)).alias("votes"))
 
-    phrases, whole = [], []
-    for t, template in enumerate(TEMPLATES):
-        own, keys = template.text.split(), []
-        for phrase in template.phrases:
-            k = len(phrase.split())
-            keys.append(_places(phrase.split(), next(i for i in range(len(own)) if own[i : i + k] == phrase.split())))
-        phrases.append((t, F.flatten(F.array(*keys))))
-        whole.append((t, _places(own)))
-    phrases, whole = _literal(phrases), _literal(whole)
-    labels = F.array(*[F.lit(t.label) for t in TEMPLATES])
+    phrases = _literal([(t, F.flatten(F.array(*[_places(words, first) for first, words in key_places(x)]))) for t, x in enumerate(templates)])
+    whole = _literal([(t, _places(x.text.split())) for t, x in enumerate(templates)])
+    labels = F.array(*[F.lit(t.label) for t in templates])
     stands = lambda q, start: F.coalesce(at((start + q["p"]).cast("int")) == q["w"], F.lit(False))
 
     def match(v: Column) -> Column:

@@ -392,3 +392,43 @@ def test_secret_dictionary_of_all_documents(spark):
     own = b"9" * 450 + b"filler" * 20
     got = secret_scan.features(own, 0, len(own), b"", "", pairs, words)
     assert got[secret_scan.FEATURES.index("dictionary")] == pytest.approx(120 / 570)
+
+
+def brute_licenses(text, templates):
+    import re
+
+    words = [w for w in re.split(licenses.NOT_WORD, (text or "").translate({c: c + 32 for c in range(65, 91)})) if w]
+    found, base = set(), []
+    for phrase, label in licenses.BASE.items():
+        own = phrase.split()
+        base += [(i, label) for i in range(len(words)) if words[i : i + len(own)] == own]
+    for t in templates:
+        own = t.text.split()
+        keys = [(next(i for i in range(len(own)) if own[i : i + len(p.split())] == p.split()), p.split()) for p in t.phrases]
+        for start in range(-len(own), len(words)):
+            if all(start + first >= 0 and words[start + first : start + first + len(p)] == p for first, p in keys):
+                found.add(t.label)
+    return len(words), len(base), ",".join(sorted({x for _, x in base})), ",".join(sorted(found | {x for _, x in base}))
+
+
+MENTIONS = ["MIT License", "Apache License, Version 2.0", "CC0 1.0", "Mozilla Public License 2.0", "CC BY-SA 4.0", "SPDX-License-Identifier: GPL-3.0", "any later version", "Eclipse Public License", None, "", " . "]
+
+
+def test_license_labels_by_brute_force(spark, sf_dir):
+    """Every key phrase alone is labelled, and no label of a row depends on the other rows."""
+    phrases = [p for t in licenses.TEMPLATES for p in t.phrases]
+    own = [*MENTIONS, *phrases, " ".join(phrases), "license mit", "x " * 50 + "cc by 4 0 cc by nc 4 0", *[t.text.upper() for t in licenses.TEMPLATES]]
+    docs = [r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
+    common = ["cc by sa 4 0 license mit version universal domain dedication mozilla public boost"] * 300
+    for texts in (own, own + docs, own + common):
+        df = spark.createDataFrame([(i, t, "x", 1) for i, t in enumerate(texts)], "doc_id long, text string, words string, hits int")
+        got = {r.doc_id: (r.n_words, r.n_base, r.base_labels, r.labels) for r in licenses.license_scan(df, "doc_id").collect()}
+        assert got == {i: brute_licenses(t, licenses.TEMPLATES) for i, t in enumerate(texts)}
+    assert all("mit" in brute_licenses(t, licenses.TEMPLATES)[3] for t in MENTIONS[:1])
+
+
+def test_license_templates_are_an_argument(spark):
+    own = (licenses.Template("word", "solo", ("solo",)), licenses.Template("pair", "one two three four", ("one two", "four")))
+    df = spark.createDataFrame([(0, "solo"), (1, "one two 3 four"), (2, "one two three"), (3, "")], "doc_id long, text string")
+    got = {r.doc_id: (r.labels, r.score) for r in licenses.license_scan(df, "doc_id", templates=own).collect()}
+    assert got == {0: ("word", 1.0), 1: ("pair", 0.75), 2: ("", 0.0), 3: ("", 0.0)}
