@@ -1,10 +1,11 @@
 """Quality rules: base rules, then robust multivariate outliers per language and source.
 
 Only DataFrame functions are used.  Each document that passes the base rules has five
-transformed statistics.  Per group (language and source; where that has too few rows the
-language; else all rows) a minimum-covariance-determinant estimate is found by C-steps from
-two deterministic starts, re-weighted once, and documents with a large Mahalanobis distance
-are rejected.  Every C-step is one aggregate over all rows: moments are summed per bin of the
+transformed statistics.  Per group (language and source) a minimum-covariance-determinant estimate is found by
+C-steps from two deterministic starts and re-weighted once.  Its moments are then mixed with those
+of the language, as ``PRIOR_ROWS`` rows of it would, and the language's likewise with those of all
+rows: a small group is judged nearly like its language, a large one by itself, and no number of
+rows switches between the two.  Documents with a large Mahalanobis distance are rejected.  Every C-step is one aggregate over all rows: moments are summed per bin of the
 distance, and the bins up to the wanted share make up the next subset.
 
 Null texts count as empty, null languages and sources are groups of their own, repeated rows
@@ -32,6 +33,7 @@ FLOOR = [0.05, 0.04, 0.06, 0.25, 0.10]
 # the factors that make covariances of the kept rows consistent at the normal distribution
 SUBSET_SHARE, SUBSET_FACTOR = 0.75, 1.411
 REWEIGHT_LIMIT, REWEIGHT_FACTOR = 12.83, 1.055
+PRIOR_ROWS = 200  # as many rows of its own weigh as much in a group as its language does
 
 
 def repeated_words(words: Column) -> Column:
@@ -148,14 +150,27 @@ def _medians(rows: DataFrame, values: list[Column], name: str) -> DataFrame:
     return halves.groupBy("key").agg(*[F.max(F.when(F.col("dim") == i, F.col("bin") / 1000.0)).alias(f"{name}{i}") for i in range(D)])
 
 
-def fit_groups(rows: DataFrame, min_rows: int, c_steps: int) -> DataFrame:
-    """A robust centre and scatter for every group of at least ``min_rows`` rows, and for all rows together."""
+def _mixed_down(sums: DataFrame) -> DataFrame:
+    """The moments of every key with ``PRIOR_ROWS`` rows' worth of its parent's, from the root down."""
+    names = ["n", *[f"s{i}" for i in range(D)], *[f"p{i}{j}" for i, j in PAIRS]]
+    group, root = F.contains("key", F.lit("\x00")), F.col("key") == "*"
+    above = sums.filter(root)
+    out = [above.select("key", *names)]
+    for level in (~group & ~root, group):
+        parent = F.when(group, F.substring_index("key", "\x00", 1)).otherwise(F.lit("*"))
+        own = sums.filter(level).withColumn("_up", parent)
+        prior = above.select(F.col("key").alias("_up"), *[(F.col(c) / F.col("n")).alias(f"_{c}") for c in names])
+        above = cut_lineage(own.join(prior, "_up").select("key", *[(F.col(c) + F.lit(float(PRIOR_ROWS)) * F.col(f"_{c}")).alias(c) for c in names]))
+        out.append(above)
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
+def fit_groups(rows: DataFrame, c_steps: int) -> DataFrame:
+    """A robust centre and scatter for every group, for every language and for all rows together."""
     keyed = rows.select(F.explode(_keys()).alias("key"), *[f"x{i}" for i in range(D)])
-    large = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter((F.col("n") >= min_rows) | (F.col("key") == "*"))
-    large = cut_lineage(large.select("key"))
+    keys = cut_lineage(keyed.select("key").distinct())
     # all tables joined below have a row or two for each of these groups
-    hint = F.broadcast if is_small(large, max_rows=50_000) else (lambda df: df)
-    keyed = keyed.join(hint(large), "key")
+    hint = F.broadcast if is_small(keys, max_rows=50_000) else (lambda df: df)
     centre = cut_lineage(_medians(keyed, [F.col(f"x{i}") for i in range(D)], "m"))
     spread = _medians(keyed.join(hint(centre), "key"), [F.abs(v) for v in _offsets()], "a")
     scale = cut_lineage(centre.join(spread, "key").select("key", *[f"m{i}" for i in range(D)], *[(1.4826 * F.col(f"a{i}") + FLOOR[i]).alias(f"a{i}") for i in range(D)]))
@@ -182,10 +197,11 @@ def fit_groups(rows: DataFrame, min_rows: int, c_steps: int) -> DataFrame:
         fits = cut_lineage(_fit(subset.select("key", "start", "s.*"), SUBSET_FACTOR, ["key", "start"]))
     best = fits.groupBy("key").agg(F.min_by(F.struct(*[c for c in fits.columns if c != "key"]), F.struct("logdet", "start")).alias("f")).select("key", "f.*")
     inner = keyed.join(hint(cut_lineage(best)), "key").filter(_distance() <= REWEIGHT_LIMIT)
-    return cut_lineage(_fit(inner.groupBy("key").agg(*_sums(*[F.col(f"x{i}") for i in range(D)])), REWEIGHT_FACTOR, ["key"]))
+    sums = cut_lineage(inner.groupBy("key").agg(*_sums(*[F.col(f"x{i}") for i in range(D)])))
+    return cut_lineage(_fit(_mixed_down(sums), REWEIGHT_FACTOR, ["key"]))
 
 
-def quality_rules(docs: DataFrame, *carry: str, min_rows: int = 200, c_steps: int = 3, limit: float = 40.0) -> DataFrame:
+def quality_rules(docs: DataFrame, *carry: str, c_steps: int = 3, limit: float = 40.0) -> DataFrame:
     """Counts, base verdict, distance and verdict per document.
 
     ``limit`` bounds the squared distance; it lies far above the 0.9999 quantile (25.7) of normal
@@ -193,14 +209,11 @@ def quality_rules(docs: DataFrame, *carry: str, min_rows: int = 200, c_steps: in
     """
     rows = staged(base_rules(docs, *carry), "quality")
     judged = rows.filter(~F.col("base_failed"))
-    fits = fit_groups(judged, min_rows, c_steps)
+    fits = fit_groups(judged, c_steps)
     fits = fits.select("key", F.struct(*[c for c in fits.columns if c != "key"]).alias("f"))
     keys = _keys()
-    known = rows.withColumns({f"_k{i}": keys[i] for i in range(3)})
-    small = broadcast_if_small(fits)
-    for i in range(3):
-        known = known.join(small.select(F.col("key").alias(f"_k{i}"), F.col("f").alias(f"_f{i}")), f"_k{i}", "left")
-    chosen = known.select(*rows.columns, F.coalesce("_f0", "_f1", "_f2").alias("_f")).select(*rows.columns, "_f.*")
+    known = rows.withColumn("_k", keys[0])  # a group whose rows all failed has no fit and needs none
+    chosen = known.join(broadcast_if_small(fits.withColumnRenamed("key", "_k")), "_k", "left").select(*rows.columns, "f.*")
     distance = F.when(~F.col("base_failed"), F.round(_distance(), 6))
     out = chosen.select(*rows.columns, distance.alias("distance"))
     return out.select(

@@ -432,3 +432,16 @@ def test_license_templates_are_an_argument(spark):
     df = spark.createDataFrame([(0, "solo"), (1, "one two 3 four"), (2, "one two three"), (3, "")], "doc_id long, text string")
     got = {r.doc_id: (r.labels, r.score) for r in licenses.license_scan(df, "doc_id", templates=own).collect()}
     assert got == {0: ("word", 1.0), 1: ("pair", 0.75), 2: ("", 0.0), 3: ("", 0.0)}
+
+
+def test_quality_groups_lean_on_their_language(spark):
+    """Moments of a group, its language and all rows are mixed by size; no number of rows switches."""
+    names = ["n", *[f"s{i}" for i in range(quality.D)], *[f"p{i}{j}" for i, j in quality.PAIRS]]
+    sums = {"*": [1000.0] + [3000.0] * 20, "=en": [400.0] + [800.0] * 20, "=de": [1.0] + [9.0] * 20, "=en\x00=web": [390.0] + [780.0] * 20, "=en\x00-": [10.0] + [100.0] * 20, "=de\x00=web": [1.0] + [9.0] * 20}
+    table = spark.createDataFrame([(k, *v) for k, v in sums.items()], "key string, " + ", ".join(f"{c} double" for c in names))
+    got = {r.key: (r.n, r.s0, r.p44) for r in quality._mixed_down(table).collect()}
+    p = quality.PRIOR_ROWS
+    en = 800 + p * 3.0
+    assert got["*"] == (1000, 3000, 3000) and got["=en"] == (400 + p, en, en) and np.isclose(got["=de"][1], 9 + p * 3.0)
+    assert np.isclose(got["=en\x00=web"][1], 780 + p * en / (400 + p)) and np.isclose(got["=en\x00-"][1], 100 + p * en / (400 + p))
+    assert np.isclose(got["=de\x00=web"][1] / got["=de\x00=web"][0], 3, atol=0.1) and len(got) == 6
