@@ -2,15 +2,16 @@
 
 A page is parsed to a tree; scripts, menus, headers, footers, sidebars, notices, adverts, forms
 and reader comments are pruned by tag, role and names; inside an article a name needs support, a high
-share of links or a class that is the name as a whole, and prunes no heading.  Each paragraph left gives points for its
+share of links or a class that is the name as a whole, and prunes no heading, quotation, table or
+figure.  A form around the article is a wrapper and stays.  Each paragraph left gives points for its
 length and commas to its parent, half of them to the next ancestor, a third to the one above and
 so on; a container's points are discounted by its share of linked text.  The best container,
-taken up to the article or main element around it, is kept with those siblings that score well
-or read like its paragraphs.  Everything in what is kept is returned.
+taken up to the article or main element around it, is kept with those siblings that score well,
+read like its paragraphs or hold the title.  Everything in what is kept is returned.
 
 Character references are decoded; white space inside a block becomes one space; blocks stand in
 page order, one per line.  A null or empty page has the empty text; a page without markup is one
-block; any size and depth is parsed whole; repeated rows are parsed alike; an empty table gives
+block; any size and depth is parsed whole, in time that grows with the page; repeated rows are parsed alike; an empty table gives
 an empty result; columns not asked for are ignored.
 """
 
@@ -47,7 +48,9 @@ SCOPE = {"li": frozenset(["ul", "ol", "menu"]), "dt": frozenset(["dl"]), "dd": f
 SECTIONS = frozenset("article aside blockquote body div footer header main nav section table td th ul ol form fieldset figure details".split())
 
 # elements, roles and names of what is not the article
-PRUNED = frozenset("head nav footer aside form button select input label dialog menu svg canvas object embed audio video map search fieldset".split()) | RAW
+PRUNED = frozenset("head nav footer aside button select input label dialog menu svg canvas object embed audio video map search".split()) | RAW
+FORMS = frozenset(["form", "fieldset"])
+QUOTED = frozenset("blockquote pre table thead tbody tr td th dl dt dd figure figcaption details summary".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split())
 NAMES = frozenset(
     "nav navbar navigation menu breadcrumb breadcrumbs header masthead footer sidebar aside widget widgets ad ads adv advert adverts advertisement advertisements "
@@ -59,15 +62,17 @@ COMMENTS = frozenset("comment comments commentlist disqus discussion respond rep
 GOOD = frozenset("article content main body post entry story text page hentry blog".split())
 BEST = frozenset(["article", "main"])
 TITLES = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
+PROSE = re.compile(r"[.!?\u3002\uff01\uff1f]")
 
 
 class Node:
-    __slots__ = ("tag", "names", "whole", "role", "hidden", "parent", "children", "points", "size", "linked", "gone")
+    __slots__ = ("tag", "names", "whole", "role", "hidden", "parent", "children", "points", "size", "linked", "gone", "commas", "titled", "prose")
 
     def __init__(self, tag: str, attributes: str, parent: Node | None):
         self.tag, self.parent, self.children = tag, parent, []
         self.names, self.whole, self.role, self.hidden = frozenset(), frozenset(), "", False
         self.points, self.size, self.linked, self.gone = 0.0, 0, 0, False
+        self.commas, self.titled, self.prose = 0, tag == "h1", False
         if attributes and not attributes.isspace():
             names = ""
             for key, *values in ATTRIBUTE.findall(attributes):
@@ -170,17 +175,24 @@ def length(text: str) -> int:
 
 
 def measure(nodes: list[Node]) -> None:
-    """Size of the text and of the linked text in each element, without pruned ones; children come after parents."""
+    """Text, linked text, commas, sentences and titles below each element, without pruned ones; children come after parents."""
     for node in reversed(nodes):
-        node.size = node.linked = 0
+        node.size = node.linked = node.commas = 0
+        node.titled, node.prose = node.tag == "h1", False
         if node.gone:
             continue
         for child in node.children:
             if isinstance(child, str):
-                node.size += length(child)
+                text = unescape(child) if "&" in child else child
+                node.size += length(text)
+                node.commas += text.count(",") + text.count("，")
+                node.prose = node.prose or PROSE.search(text) is not None
             else:
                 node.size += child.size
                 node.linked += child.linked
+                node.commas += child.commas
+                node.titled = node.titled or child.titled
+                node.prose = node.prose or child.prose
         if node.tag == "a":
             node.linked = node.size
 
@@ -188,37 +200,47 @@ def measure(nodes: list[Node]) -> None:
 def aside(node: Node) -> bool:
     """Whether a named element inside the article is none of it: mostly links, or a class that is a name as a whole.
 
-    Headers, what holds the title, and sections that only their id names belong to the article.
+    Headers, what holds the title, and sections that only their id names belong to the article, and
+    so do quotations, tables and figures that are not mostly links.
     """
-    below, stack = node.tag == "header", list(node.children)
-    while stack and not below:
-        child = stack.pop()
-        if isinstance(child, Node):
-            below = child.tag == "h1"
-            stack += child.children
-    if below or node.tag == "section" and not NAMES.intersection(x for w in node.whole for x in NAME.findall(w)):
+    if node.tag == "header" or node.titled or node.tag == "section" and not NAMES.intersection(x for w in node.whole for x in NAME.findall(w)):
         return False
-    return node.linked > 0.5 * node.size or bool(node.whole & NAMES)
+    return node.linked > 0.5 * node.size or bool(node.whole & NAMES) and node.tag not in QUOTED
 
 
 def prune(root: Node, nodes: list[Node]) -> None:
     """Mark what is not the article."""
     inside = set()  # articles and main elements that are no comment, and what is in them
     holds = set()  # elements around an article or main element that is no comment
+    talk, best = set(), set()  # what lies in comments, and in any article or main element
     for node in nodes:
-        if (node.tag in BEST or node.role in BEST) and not any(n.names & COMMENTS for n in node.upward()):
-            holds.update(node.upward())
+        if node.names & COMMENTS or node.parent in talk:
+            talk.add(node)
+        if node.tag in BEST or node.parent in best:
+            best.add(node)
+        if (node.tag in BEST or node.role in BEST) and node not in talk:
+            for around in node.upward():
+                if around in holds:
+                    break
+                holds.add(around)
             inside.add(node)
         elif node.parent in inside:
             inside.add(node)
     for node in nodes[1:]:  # by what an element is
-        if node.parent.gone or node.hidden or node.tag in PRUNED or node.role in ROLES:
+        if node.parent.gone or node.hidden or node.tag in PRUNED or node.role in ROLES and not (node.tag in FORMS and node in holds):
             node.gone = True
         elif node.tag == "header":
-            node.gone = not any(n.tag in BEST for n in node.upward())
+            node.gone = node not in best
         elif node.names & COMMENTS and node.tag != "body":
             node.gone = node not in holds
     measure(nodes)
+    for node in nodes[1:]:  # a form is a wrapper if it holds the article, or where there is none the title or nearly all text
+        if node.parent.gone:
+            node.gone = True
+        elif not node.gone and node.tag in FORMS:
+            wraps = node in holds if holds else node.titled or node.size >= 0.8 * root.size and node.prose
+            node.gone = not wraps and not (node.parent.tag in FORMS and node.titled)
+    measure(nodes)
     whole = max(1, root.size)
     for node in nodes[1:]:  # by what it is called, unless most of the page is in it
         if node.parent.gone:
@@ -242,8 +264,7 @@ def score(nodes: list[Node]) -> Node | None:
         paragraph = node.tag in ("p", "pre", "blockquote", "td", "dd") or node.tag in ("div", "section", "article", "main", "body", "li") and length(own) > 25
         if not paragraph:
             continue
-        text = text_of([node], "")
-        points = (1 + text.count(",") + text.count("，") + min(len(text) / 100, 3)) * (1 - node.linked / node.size)
+        points = (1 + node.commas + min(node.size / 100, 3)) * (1 - node.linked / node.size)
         takes = (node.parent or node).upward() if node.tag in ("p", "pre", "td", "blockquote", "dd", "li") else node.upward()
         for level, above in enumerate(takes):
             if above.tag == "html" or level > 6:
@@ -276,7 +297,9 @@ def kept(root: Node, nodes: list[Node]) -> list[Node]:
         elif isinstance(other, Node) and not other.gone and other.size:
             density = other.linked / other.size
             same = 0.2 * best.points if best.names and other.names == best.names else 0.0
-            if other.points + same >= limit and density < 0.5 or other.tag == "p" and (other.size > 80 and density < 0.25 or not density and other.size > 0):
+            title = other.titled and not best.titled
+            part = other.tag == best.tag and other.names == best.names and other.prose and not density
+            if other.points + same >= limit and density < 0.5 or title or part or other.tag == "p" and (other.size > 80 and density < 0.25 or not density and other.size > 0):
                 out.append(other)
     return out
 

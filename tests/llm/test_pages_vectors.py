@@ -96,3 +96,30 @@ def test_names_inside_the_article():
 <div class="share-box"><a href="x">Share</a> <a href="y">Send</a></div></article></body>"""
     want = ["Title", "One, two, three, four and some words more.", "Related work", "Others did this, too.", "Search", "We search, then find.", "Law", "Periods are long."]
     assert html_text.extract(page).split("\n") == want
+
+
+WHOLE_PAGES = {
+    "a form around the page": ("<body><form id='f'><h1>Title here</h1><div><p>First paragraph, that goes on, and on.</p><p>Second one, of the same kind.</p></div></form></body>",
+        "Title here\nFirst paragraph, that goes on, and on.\nSecond one, of the same kind."),
+    "a quotation with a name": ("<body><article><h1>T</h1><p>Text of the article, long enough.</p><blockquote class='social'>A quotation that belongs here.</blockquote><p>More text, and more.</p></article></body>",
+        "T\nText of the article, long enough.\nA quotation that belongs here.\nMore text, and more."),
+    "title and parts side by side": ("<body><div id='t'><h1>The title</h1></div><div>First part of the body, which has a sentence.</div><div>Second part of the body, which goes on, with more, and more.</div></body>",
+        "The title\nFirst part of the body, which has a sentence.\nSecond part of the body, which goes on, with more, and more."),
+    "a form beside the text": ("<body><div class='x'><p>Article text, that is long, and good. It has sentences, too.</p></div><form><p>Subscribe to our newsletter. Enter your mail address here, please, it is free.</p></form></body>",
+        "Article text, that is long, and good. It has sentences, too."),
+}
+
+
+@pytest.mark.parametrize("name", WHOLE_PAGES)
+def test_nothing_of_the_article_is_lost(name):
+    html, text = WHOLE_PAGES[name]
+    assert html_text.extract(html) == text
+
+
+@pytest.mark.parametrize("open_", ["<div class='related{}'>some text, of a level that is long enough ", "<article>text, of an article that is long enough {}", "<td><div class='share'>cell, of a table that is long enough {}"])
+def test_deep_pages_take_time_that_grows_with_them(open_):
+    import time
+
+    start = time.perf_counter()
+    html_text.extract("<body>" + "".join(open_.format(i % 3) for i in range(20_000)))
+    assert time.perf_counter() - start < 6
