@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,9 +63,34 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+_FOLDERS: ContextVar[list[str] | None] = ContextVar("strataframe_folders", default=None)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if (noted := _FOLDERS.get()) is not None:
+        noted.append(path)
+    return path
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder wherever it lies; a missing one is fine."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@contextmanager
+def scratch_removed(spark: SparkSession) -> Iterator[None]:
+    """Folders that ``scratch_path`` names inside the block go when it ends, also on failure."""
+    noted: list[str] = []
+    token = _FOLDERS.set(noted)
+    try:
+        yield
+    finally:
+        _FOLDERS.reset(token)
+        for path in noted:
+            remove_folder(spark, path)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

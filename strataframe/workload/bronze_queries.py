@@ -25,6 +25,7 @@ from strataframe.workload.registry import query
     "yearly_union",
     """SELECT o_orderstatus, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS checksum, CAST(sum(o_custkey) AS BIGINT) AS customers,
     count(CASE WHEN year(o_orderdate) % 2 = 1 THEN 1 END) AS with_priority FROM orders GROUP BY 1""",
+    folders=True,
 )
 def yearly_union(spark, sf_dir):
     """Yearly files whose columns differ in order and number, united by name."""
@@ -57,6 +58,7 @@ def _ragged(spark, sf_dir) -> files.Ragged:
     "ragged_full",
     """SELECT c_mktsegment, count(*) AS n, CAST(sum(c_custkey) AS BIGINT) AS checksum, count(CASE WHEN c_custkey % 3 = 0 THEN 1 END) AS two_lines
     FROM customer WHERE c_custkey % 10 <> 3 GROUP BY 1""",
+    folders=True,
 )
 def ragged_full(spark, sf_dir):
     two = F.col("c_name").endswith('\n"second" line')
@@ -65,7 +67,7 @@ def ragged_full(spark, sf_dir):
     )
 
 
-@query("ragged_rejects", "SELECT 'overlong' AS reason, count(*) AS n, CAST(sum(c_custkey) AS BIGINT) AS checksum FROM customer WHERE c_custkey % 10 = 3")
+@query("ragged_rejects", "SELECT 'overlong' AS reason, count(*) AS n, CAST(sum(c_custkey) AS BIGINT) AS checksum FROM customer WHERE c_custkey % 10 = 3", folders=True)
 def ragged_rejects(spark, sf_dir):
     key = F.substring_index("record", ",", 1).try_cast("long")
     return _ragged(spark, sf_dir).rejects.groupBy("reason").agg(F.count(F.lit(1)).alias("n"), F.sum(key).alias("checksum"))
@@ -75,6 +77,7 @@ def ragged_rejects(spark, sf_dir):
     "ragged_stray_quote",
     """SELECT c_mktsegment, count(*) AS n, CAST(sum(c_custkey) AS BIGINT) AS checksum, count(CASE WHEN c_custkey % 5 = 0 THEN 1 END) AS stray,
     count(CASE WHEN c_custkey % 5 = 1 THEN 1 END) AS two_lines, count(CASE WHEN c_custkey % 5 IN (0, 1) THEN 1 END) AS quotes FROM customer GROUP BY 1""",
+    folders=True,
 )
 def ragged_stray_quote(spark, sf_dir):
     """Customers as lines in which a quote stands inside a field, a quoted name spans lines, or the last quote of a file is never closed."""
@@ -97,6 +100,7 @@ def ragged_stray_quote(spark, sf_dir):
     "source_list",
     """SELECT 'source_' || (c_custkey % 24 // 4) AS source_name, count(*) AS n, count(DISTINCT c_custkey % 24) AS files, CAST(sum(c_custkey) AS BIGINT) AS checksum,
     count(CASE WHEN c_custkey % 3 <> 1 THEN c_name END) AS names, count(CASE WHEN c_custkey % 3 = 2 THEN 1 END) AS segments FROM customer WHERE c_custkey % 3 = 1 OR c_custkey % 7 > 0 GROUP BY 1""",
+    folders=True,
 )
 def source_list(spark, sf_dir):
     """24 files of three layouts, half of them below a title, as six sources read together."""
@@ -158,6 +162,7 @@ def metadata_catalogue(spark, sf_dir):
 @query(
     "catalogue_roundtrip",
     """SELECT 'orders_by_status' AS name, 'orders, ''by'' status' AS comment, 'o_orderstatus,n,checksum' AS columns, o_orderstatus, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS checksum, true AS owner_known, 0 AS left_behind FROM orders GROUP BY o_orderstatus""",
+    folders=True,
 )
 def catalogue_roundtrip(spark, sf_dir):
     """A catalogue table replaced with another schema, described, read back and dropped with its database."""
@@ -179,7 +184,7 @@ def catalogue_roundtrip(spark, sf_dir):
     return rows.withColumn("left_behind", F.lit(left).cast("int"))
 
 
-@query("schema_merge", "SELECT count(*) AS n, count(CASE WHEN o_orderkey % 2 = 1 THEN 1 END) AS with_status, CAST(sum(o_custkey) AS BIGINT) AS customers FROM orders")
+@query("schema_merge", "SELECT count(*) AS n, count(CASE WHEN o_orderkey % 2 = 1 THEN 1 END) AS with_status, CAST(sum(o_custkey) AS BIGINT) AS customers FROM orders", folders=True)
 def schema_merge(spark, sf_dir):
     """Two appends with different columns, read with the union of both."""
     orders, path = table(spark, sf_dir, "orders"), scratch_path(spark, "orders-merged")
@@ -192,6 +197,7 @@ def schema_merge(spark, sf_dir):
     "append_after_mark",
     """WITH m AS (SELECT max(o_orderkey) AS mark FROM orders WHERE o_orderkey % 5 < 3 AND o_orderkey < (SELECT avg(o_orderkey) FROM orders))
     SELECT CASE WHEN o_orderkey <= mark THEN 1 ELSE 2 END AS batch, o_orderstatus, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS checksum FROM orders, m WHERE o_orderkey > mark OR o_orderkey % 5 < 3 GROUP BY 1, 2""",
+    folders=True,
 )
 def append_after_mark(spark, sf_dir):
     """A first load, the rows past its committed mark, and a run that finds nothing more."""

@@ -94,7 +94,7 @@ def dimension_history(spark, sf_dir):
 # --- files and streams ------------------------------------------------------
 
 
-@query("stream_ingest", "SELECT event_type, count(*) AS n, count(DISTINCT user_id) AS users FROM events GROUP BY 1")
+@query("stream_ingest", "SELECT event_type, count(*) AS n, count(DISTINCT user_id) AS users FROM events GROUP BY 1", folders=True)
 def stream_ingest(spark, sf_dir):
     """The events file as an arriving file; a second run over the same checkpoint adds nothing."""
     schema = table(spark, sf_dir, "events").schema
@@ -107,6 +107,7 @@ def stream_ingest(spark, sf_dir):
 @query(
     "stream_upsert",
     """SELECT event_type, count(*) AS users, CAST(sum(event_id) AS BIGINT) AS checksum FROM (SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1) GROUP BY 1""",
+    folders=True,
 )
 def stream_upsert(spark, sf_dir):
     """The newest event of every user, by micro-batches of arriving files; replayed batches and a compaction change nothing."""
@@ -123,7 +124,7 @@ def stream_upsert(spark, sf_dir):
     return log.current().groupBy("event_type").agg(F.count(F.lit(1)).alias("users"), F.sum("event_id").alias("checksum"))
 
 
-@query("csv_roundtrip", "SELECT o_orderstatus, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS checksum FROM orders GROUP BY 1")
+@query("csv_roundtrip", "SELECT o_orderstatus, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS checksum FROM orders GROUP BY 1", folders=True)
 def csv_roundtrip(spark, sf_dir):
     """Sorted header CSV, read back with a schema and its source file."""
     rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
@@ -133,7 +134,7 @@ def csv_roundtrip(spark, sf_dir):
     return back.filter("source_file like 'part-%'").groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("checksum"))
 
 
-@query("ragged_roundtrip", "SELECT c_mktsegment, count(*) AS n, CAST(sum(c_custkey) AS BIGINT) AS checksum FROM customer GROUP BY 1")
+@query("ragged_roundtrip", "SELECT c_mktsegment, count(*) AS n, CAST(sum(c_custkey) AS BIGINT) AS checksum FROM customer GROUP BY 1", folders=True)
 def ragged_roundtrip(spark, sf_dir):
     """Customers written as CSV lines with a phantom last field and a preamble in every file."""
     line = F.concat_ws(",", F.col("c_custkey").cast("string"), F.concat(F.lit('"'), "c_name", F.lit(', "')), "c_mktsegment", F.lit(""))
@@ -150,7 +151,7 @@ def ragged_roundtrip(spark, sf_dir):
     return back.groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("c_custkey").try_cast("long")).alias("checksum"))
 
 
-@query("partitioned_table", "SELECT CAST(year(o_orderdate) AS INTEGER) AS anio, count(*) AS n, count(DISTINCT o_custkey) AS customers FROM orders WHERE year(o_orderdate) IN (1997, 1998) GROUP BY 1")
+@query("partitioned_table", "SELECT CAST(year(o_orderdate) AS INTEGER) AS anio, count(*) AS n, count(DISTINCT o_custkey) AS customers FROM orders WHERE year(o_orderdate) IN (1997, 1998) GROUP BY 1", folders=True)
 def partitioned_table(spark, sf_dir):
     """Stored by year; the reader prunes to two partitions."""
     target = scratch_path(spark, "orders-by-year")

@@ -188,7 +188,7 @@ def test_records_of_any_text_split_anywhere(spark, tmp_path):
     import random
 
     draw, texts = random.Random(5), {}
-    for i in range(24):
+    for i in range(12):
         texts[f"t{i:02}.csv"] = "".join(draw.choices('ab,"\n', [4, 2, 3, 3, 3], k=draw.randint(0, 60)))
         (tmp_path / f"t{i:02}.csv").write_text(texts[f"t{i:02}.csv"])
     want = sorted((name, r) for name, text in texts.items() for r in split_records(text))
