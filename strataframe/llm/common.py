@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataframe.session import apply_scale_settings, scratch_path
+from strataframe.session import apply_scale_settings, remove_folder, scratch_path
 
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 SPACE = r"\x20\x09-\x0D"
@@ -47,12 +47,7 @@ class scratch:  # noqa: N801
     def __exit__(self, *_) -> None:
         _SCOPES.reset(self.token)
         for path, spark in self.own.items():
-            _remove(spark, path)
-
-
-def _remove(spark: SparkSession, path: str) -> None:
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+            remove_folder(spark, path)
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
@@ -76,7 +71,7 @@ def drop_staged(*tables: DataFrame) -> None:
     for df in tables:
         for scope in _SCOPES.get():
             scope.pop(df._scratch_path, None)
-        _remove(df.sparkSession, df._scratch_path)
+        remove_folder(df.sparkSession, df._scratch_path)
 
 
 def content_key(*columns: str) -> Column:
