@@ -46,7 +46,7 @@ NAME_BEFORE = re.compile(rb"([A-Za-z0-9_-]{2,40})[\"']?\s{0,3}$")
 VALUE_AFTER = re.compile(rb">?(?:[ \t]*|\s{0,3})[\"']?([^\s\"'<>`,;|]{6,})")
 ASSIGNED = re.compile(rb"[:=]>?(?:[ \t]*|\s{0,3})[\"']?$")
 LONG = re.compile(rb"(?<![A-Za-z0-9+/_.@-])[A-Za-z0-9+/_-]{16,}+={0,2}(?![A-Za-z0-9@])")
-KEY_BLOCK = re.compile(rb"-----BEGIN [A-Z ]*PRIVATE KEY-----.*?-----END [A-Z ]*PRIVATE KEY-----", re.S)
+KEY_MARK = re.compile(rb"-----(BEGIN|END) [A-Z ]*PRIVATE KEY-----")
 WORD = re.compile(rb"[a-z]{3,12}$")
 HEX = re.compile(rb"[0-9a-fA-F]+$")
 
@@ -68,9 +68,26 @@ def name_end(text: bytes, at: int) -> int:
     return at
 
 
+def key_blocks(text: bytes) -> Iterator[tuple[int, int]]:
+    """From each mark that begins a key to the next that ends one; one pass, however many marks have no other."""
+    start = None
+    for m in KEY_MARK.finditer(text):
+        if m[1] == b"END" and start is not None:
+            yield start, m.end()
+            start = None
+        elif m[1] == b"BEGIN" and start is None:
+            start = m.start()
+
+
+def characters(text: bytes) -> np.ndarray:
+    """How many code points begin before each byte, and before the end."""
+    begins = (np.frombuffer(text, np.uint8) & 0xC0) != 0x80
+    return np.concatenate([[0], np.cumsum(begins)])
+
+
 def spans(text: bytes) -> list[tuple[int, int, bytes]]:
     """Start, end and the name assigned to (empty if none) of every candidate, in order, not overlapping."""
-    found = [(m.start(), m.end(), b"private key") for m in KEY_BLOCK.finditer(text)]
+    found = [(start, end, b"private key") for start, end in key_blocks(text)]
     for m in OPERATOR.finditer(text):
         name = NAME_BEFORE.search(text, max(0, (end := name_end(text, m.start())) - 48), end)
         if name and NAMES.search(name[1]) and (value := VALUE_AFTER.match(text, m.end())):
@@ -168,10 +185,11 @@ def find(docs: DataFrame, *carry: str, known) -> DataFrame:
             at, rows = [], []
             sources = batch.column("source").to_pylist()
             for i, text in enumerate(texts_of(batch)):
-                for start, end, name in spans(text):
-                    first = len(text[:start].decode())
+                own = spans(text)
+                place = characters(text) if own else None
+                for start, end, name in own:
                     at.append(i)
-                    rows.append((first, first + len(text[start:end].decode()), name.decode().lower(), features(text, start, end, name, sources[i] or "", transitions, dictionary)))
+                    rows.append((int(place[start]), int(place[end]), name.decode().lower(), features(text, start, end, name, sources[i] or "", transitions, dictionary)))
             kept = batch.select(list(carry)).take(pa.array(at, pa.int32()))
             found = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate((pa.int64(), pa.int64(), pa.string(), pa.list_(pa.float64())))]
             yield pa.RecordBatch.from_arrays([*kept.columns, *found], names=[*carry, "start", "end", "name", "features"])
