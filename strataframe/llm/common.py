@@ -87,14 +87,14 @@ def words_of(text: Column) -> Column:
 class WordHashes(dict):
     """64-bit hashes of words; forgets them when it holds ``limit``, so a worker's memory stays bounded."""
 
-    def __init__(self, limit: int = 200_000):
+    def __init__(self, limit: int = 200_000, seed: int = 0):
         super().__init__()
-        self.limit = limit
+        self.limit, self.seed = limit, seed
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.limit:
             self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
+        value = self[word] = xxhash.xxh3_64_intdigest(word, self.seed)
         return value
 
     def of(self, words: list[bytes]) -> np.ndarray:

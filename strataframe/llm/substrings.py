@@ -3,8 +3,9 @@
 A window is ``LENGTH`` consecutive words.  In each window the least hash among its shorter runs
 of ``SEED`` words is its anchor, so equal windows have equal anchors.  Documents are joined on
 their anchors; an anchor that starts in one document only can lie in no repeat.  Seeds that are
-left are extended both ways: every window around a shared anchor is compared by the hash of its
-whole word sequence with the smallest document that holds it.  Windows that start in a smaller
+left are extended both ways: every window around a shared anchor is compared by a 128-bit hash of
+its whole word sequence, from two independent hashes of every word, with the smallest document
+that holds it.  Windows that start in a smaller
 document make up the maximal repeats, and their words go.  Work is linear in the words near
 shared anchors whatever the size of a group; equal documents are one from the start.
 
@@ -64,17 +65,21 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The windows of each document whose anchor is shared."""
-    words = WordHashes()
+    words, again = WordHashes(), WordHashes(seed=1)
     for batch in batches:
-        rows, hashes, places = [], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        rows, places = [], [np.zeros(0, np.int64)]
+        hashes = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
         for i, (text, shared) in enumerate(zip(texts_of(batch), batch.column("anchors"))):
-            ten = tens(words.of(text.split()))
+            own = text.split()
+            ten = tens(words.of(own))
             keep = np.nonzero(np.isin(anchors(ten), np.array(shared.as_py(), np.int64).view(np.uint64)))[0]
-            hashes.append(window_hashes(ten, LENGTH // 10, 10)[keep])
+            for found, of in zip(hashes, (ten, tens(again.of(own)))):
+                found.append(window_hashes(of, LENGTH // 10, 10)[keep])
             places.append(keep)
             rows += [i] * len(keep)
         own = batch.select(["id", "doc_id"]).take(pa.array(rows, pa.int32()))
-        yield pa.RecordBatch.from_arrays([*own.columns, pa.array(np.concatenate(hashes).view(np.int64)), pa.array(np.concatenate(places))], names=["id", "doc_id", "window", "at"])
+        both = [pa.array(np.concatenate(h).view(np.int64)) for h in hashes]
+        yield pa.RecordBatch.from_arrays([*own.columns, *both, pa.array(np.concatenate(places))], names=["id", "doc_id", "window", "second", "at"])
 
 
 def covered(starts: list[int], n: int) -> np.ndarray:
@@ -115,10 +120,10 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
     near = docs.join(per_doc, "doc_id").mapInArrow(_same_text, "doc_id long, text string, id long, anchors array<long>")
     near = staged(near, "substrings-near")
 
-    windows = near.mapInArrow(_windows, "id long, doc_id long, window long, at long")
-    earlier = windows.groupBy("window").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi").select("window", "lo")
+    windows = near.mapInArrow(_windows, "id long, doc_id long, window long, second long, at long")
+    earlier = windows.groupBy("window", "second").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi").select("window", "second", "lo")
     earlier = staged(earlier, "substrings-windows")
-    repeats = windows.join(earlier, "window").filter("lo < doc_id").groupBy("id").agg(F.collect_list("at").alias("starts"))
+    repeats = windows.join(earlier, ["window", "second"]).filter("lo < doc_id").groupBy("id").agg(F.collect_list("at").alias("starts"))
     cut = near.select("id", "text").join(repeats, "id").mapInArrow(_cut, "id long, lost long, left_text string")
     cut = staged(cut.dropDuplicates(["id"]), "substrings-cut")  # rows may repeat
 
