@@ -102,11 +102,21 @@ def _language_grams(langs: list[str]):
     return run
 
 
+ID_BITS = 31  # the low part of a word's id, as it travels
+
+
 def _word_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each n-gram of a batch of words once, with the ids of the words that hold it, as often as they do."""
     for batch in batches:
-        if batch.num_rows:
-            found, of = grams(np.array(batch.column("word").to_pylist(), object))
-            yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(of)), pa.array(found)], names=["id", "gram"])
+        ids = batch.column("id").to_numpy(zero_copy_only=False)
+        for high in np.unique(ids >> ID_BITS):
+            own = np.flatnonzero(ids >> ID_BITS == high)
+            found, of = grams(np.array(batch.column("word").take(pa.array(own)).to_pylist(), object))
+            order = np.argsort(found, kind="stable")
+            keys, first = np.unique(found[order], return_index=True)
+            low = (ids[own][of[order]] & ((1 << ID_BITS) - 1)).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(low)).astype(np.int32)), pa.array(low))
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), high, np.int64)), pa.array(keys), lists], names=["high", "gram", "lows"])
 
 
 def find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -203,7 +213,9 @@ def word_scores(docs: DataFrame) -> tuple[list[str], DataFrame | None]:
 
     words = staged(counts.groupBy("word").agg(F.sum("n").alias("n")).withColumn("id", F.monotonically_increasing_id()), "language-vocabulary")
     whole = [F.sum(F.round(F.log(F.get("p", F.lit(i))) * UNIT).cast("long")).alias(f"s{i}") for i in range(len(langs))]
-    scored = words.mapInArrow(_word_grams, "id long, gram long").join(p, "gram").groupBy("id").agg(F.count(F.lit(1)).alias("chars"), *whole)
+    held = words.mapInArrow(_word_grams, "high long, gram long, lows array<int>").join(p, "gram")
+    each = held.select("high", F.explode("lows").alias("low"), "p")
+    scored = each.select((F.shiftleft("high", ID_BITS) + F.col("low")).alias("id"), "p").groupBy("id").agg(F.count(F.lit(1)).alias("chars"), *whole)
     scores = words.join(scored, "id").select("word", "n", "chars", F.array(*[f"s{i}" for i in range(len(langs))]).alias("logs"))
     scores = staged(scores, "language-scores")
     drop_staged(counts, p, words)
