@@ -500,8 +500,8 @@ def surrogate_keys(spark, sf_dir):
     (SELECT count(*) FROM m) AS all_keys FROM m GROUP BY 1""",
 )
 def surrogate_hash_keys(spark, sf_dir):
-    """Keys of 20 bits, so that many members collide at first; every member has a key of its own in the end."""
-    keyed = cut_lineage(hash_keys(table(spark, sf_dir, "orders"), ["o_custkey", "o_orderpriority"], "member_key", bits=20))
+    """Keys of 20 bits, more above 2^17 members, so that many members collide at first; every member has a key of its own in the end."""
+    keyed = cut_lineage(hash_keys(table(spark, sf_dir, "orders"), ["o_custkey", "o_orderpriority"], "member_key", bits=20, room=8))
     every = keyed.select(F.countDistinct("member_key")).scalar()
     own = keyed.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("members"), F.countDistinct("member_key").alias("distinct_keys"), F.sum("o_custkey").alias("checksum"))
     return own.withColumn("all_keys", every)

@@ -12,6 +12,7 @@ from strataframe.operators import aggregate as ag
 from strataframe.operators.keys import hash_keys
 from strataframe.sources.ledger import Ledger, UpsertLog, upsert_stream
 from strataframe.streaming.arrival import arriving_files
+from strataframe.workload import quality_queries
 
 SCHEMA = "id long, v string"
 
@@ -89,6 +90,23 @@ def test_too_few_bits(spark):
         hash_keys(spark.range(9).select(F.col("id").alias("a")), ["a"], "key", bits=3, rounds=6)
 
 
+def test_hash_keys_leave_room(spark):
+    """More members than keys of the bits asked for: the hash gets wider, and few rounds suffice."""
+    members = spark.range(9).select(F.col("id").alias("a"))
+    found = hash_keys(members, ["a"], "key", bits=3, rounds=6, room=8).collect()
+    assert sorted(r.a for r in found) == list(range(9)) and len({r.key for r in found}) == 9 and max(r.key for r in found) < 128
+    narrow = {r.a: r.key for r in hash_keys(members, ["a"], "key", bits=9).collect()}
+    assert {r.a: r.key for r in hash_keys(members, ["a"], "key", bits=9, room=8).collect()} == narrow
+
+
+def test_surrogate_hash_keys_above_their_bits(spark, tmp_path, monkeypatch):
+    """What the query asks for holds although its bits hold no key for every member."""
+    monkeypatch.setattr(quality_queries, "hash_keys", lambda *a, bits, **k: hash_keys(*a, bits=4, **k))
+    spark.range(100).selectExpr("id as o_orderkey", "id % 40 as o_custkey", "concat('P', id % 3) as o_orderpriority").write.parquet(f"{tmp_path}/orders.parquet")
+    found = quality_queries.surrogate_hash_keys(spark, str(tmp_path)).collect()
+    assert all(r.members == r.distinct_keys for r in found) and sum(r.members for r in found) == found[0].all_keys == 100
+
+
 def test_bits_are_in_order(spark):
     draw = random.Random(2)
     values = [0.0, -0.0, 5e-324, -5e-324, 2.2250738585072014e-308, 2.225073858507201e-308, 1.7976931348623157e308, math.inf, -math.inf, 1.0, math.nextafter(1, 2), math.nextafter(1, 0), math.nan]
