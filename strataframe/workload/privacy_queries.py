@@ -49,7 +49,7 @@ def suppress_small(spark, sf_dir):
 
 
 def _two_way(spark, sf_dir):
-    """Every order in a table of months by 97 groups of customers, whose cells are small by nature."""
+    """Every order in a table of years by 97 groups of customers, whose cells are small by nature."""
     rows = table(spark, sf_dir, "orders").select(
         F.date_format("o_orderdate", "yyyy").alias("month"), F.concat(F.lit("P-"), (F.col("o_custkey") % 97).cast("string")).alias("people")
     )
@@ -60,24 +60,24 @@ _TWO_WAY = "t AS (SELECT strftime(o_orderdate, '%Y') AS month, 'P-' || (o_custke
 HIDE_BELOW = 30
 
 
-@query(
-    "suppress_complementary",
-    f"""WITH {_TWO_WAY} SELECT month, CAST(sum(n) AS BIGINT) AS n, count(*) AS cells, count(*) FILTER (n < {HIDE_BELOW}) AS small, 0 AS small_shown, 0 AS wrong, 0 AS lone_lines FROM t GROUP BY 1""",
-)
+_SUPPRESSED = f"""WITH RECURSIVE t AS (SELECT strftime(o_orderdate, '%Y-%m') AS month, 'P-' || (o_custkey % 97) AS people, count(*) AS n FROM orders GROUP BY 1, 2),
+  s AS (SELECT 0 AS pass, month, people, n, n < {pv.MIN_CELL} AS hidden, true AS more FROM t
+    UNION ALL
+    SELECT pass + 1, month, people, n, hidden OR (h = 1 AND r = 1), bool_or((hidden OR (h = 1 AND r = 1)) <> was) OVER () FROM (
+      SELECT *, count(*) FILTER (hidden) OVER (PARTITION BY people) AS h, row_number() OVER (PARTITION BY people, hidden ORDER BY n, month NULLS FIRST) AS r FROM (
+        SELECT pass, month, people, n, hidden AS was, hidden OR (h = 1 AND r = 1) AS hidden FROM (
+          SELECT *, count(*) FILTER (hidden) OVER (PARTITION BY month) AS h, row_number() OVER (PARTITION BY month, hidden ORDER BY n, people NULLS FIRST) AS r FROM s WHERE more))))
+  SELECT month, people, CASE WHEN NOT hidden THEN n END AS n, hidden AS suppressed,
+    hidden AND (count(*) OVER (PARTITION BY month) = 1 OR count(*) OVER (PARTITION BY people) = 1) AS total_exposed FROM s WHERE NOT more"""
+
+
+@query("suppress_complementary", _SUPPRESSED)
 def suppress_complementary(spark, sf_dir):
-    """Per year: all records are accounted for, small cells are hidden, shown cells are true, no line hides a single cell."""
-    own = _two_way(spark, sf_dir)
-    held = pv.complementary_suppression(own, "month", "people", minimum=HIDE_BELOW).withColumnRenamed("n", "shown")
-    whole = own.join(held, ["month", "people"], "full_outer")
-    lone = whole.groupBy("people").agg(F.count_if("suppressed").alias("_h"), F.count(F.lit(1)).alias("_c")).filter("_h = 1 and _c > 1")
-    marked = whole.join(lone.select("people", F.lit(True).alias("_lone")), "people", "left")
-    by_month = marked.groupBy("month").agg(
-        F.sum("n").alias("n"), F.count(F.lit(1)).alias("cells"), F.count_if(F.col("n") < HIDE_BELOW).alias("small"),
-        F.count_if((F.col("n") < HIDE_BELOW) & ~F.col("suppressed")).cast("int").alias("small_shown"),
-        F.count_if(~F.col("shown").eqNullSafe(F.when(~F.col("suppressed"), F.col("n")))).cast("int").alias("wrong"),
-        (F.count_if("_lone") + F.when((F.count_if("suppressed") == 1) & (F.count(F.lit(1)) > 1), 1).otherwise(0)).cast("int").alias("lone_lines"),
-    )
-    return by_month
+    """Every cell of all orders by month and 97 groups of customers, after as many passes as it takes."""
+    rows = table(spark, sf_dir, "orders").select(
+        F.date_format("o_orderdate", "yyyy-MM").alias("month"), F.concat(F.lit("P-"), (F.col("o_custkey") % 97).cast("string")).alias("people")
+    )
+    return pv.complementary_suppression(pv.cells(rows, "month", "people"), "month", "people")
 
 
 @query(

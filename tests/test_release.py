@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from strataframe.operators import release as rl
 from strataframe.operators.privacy import complementary_suppression, policy_catalogue
 from strataframe.spec import PrivacyPolicy, Rollup
+from strataframe.workload.privacy_queries import suppress_complementary
 
 POLICY = PrivacyPolicy(
     "t", "high", drop=("id",), age_groups=("age",), publish=("place", "cause", "age"), minors=("age", "place", "all"), places=("place", "area", 100), others=("cause", 3),
@@ -71,3 +72,14 @@ def test_differences_of_releases(spark):
         "f": (3, None, "withheld"), "g": (-3, 3, "withheld"), "h": (7, 7, "released"), None: (1, 8, "withheld"),
     }
     assert rl.withheld_differences(old.filter(F.lit(False)), new.filter(F.lit(False)), ["k"]).isEmpty()
+
+
+def test_suppressed_cells_of_all_orders(spark, tmp_path):
+    """A row per month and group: P-0 and P-1 have one small cell each, so the next larger cell of both goes too."""
+    counts = {("1995-01", 0): 3, ("1995-01", 1): 2, ("1995-02", 0): 6, ("1995-02", 1): 7, ("1995-02", 2): 9, ("1995-03", 0): 8, ("1995-03", 1): 8, ("1995-03", 2): 8, ("1995-03", 90): 5}
+    spark.createDataFrame([(c + 97 * i, f"{m}-0{1 + i % 9}") for (m, c), n in counts.items() for i in range(n)], "o_custkey long, day string").selectExpr(
+        "o_custkey", "cast(day as timestamp) as o_orderdate"
+    ).write.parquet(f"{tmp_path}/orders.parquet")
+    found = {(r.month, int(r.people[2:])): (r.n, r.suppressed, r.total_exposed) for r in suppress_complementary(spark, str(tmp_path)).collect()}
+    gone = {("1995-01", 0), ("1995-01", 1), ("1995-02", 0), ("1995-02", 1)}
+    assert found == {k: (None if k in gone else n, k in gone, False) for k, n in counts.items()}
