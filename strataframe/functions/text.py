@@ -10,11 +10,17 @@ def clean_upper(col: Column) -> Column:
     return F.upper(F.trim(col))
 
 
+# spelled out: Java looks single characters up in a bit map, but walks through ranges and \s one by one
+_BLANKS = r" \t\n\x0B\f\r"
+_LETTERS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+_ACCENTED = "áéíóúÁÉÍÓÚñÑ"
+
+
 def slug(col: Column, keep_accents: bool = False) -> Column:
     """Words joined by underscores; other characters vanish ("Cólera" -> "clera" in ASCII form)."""
-    letters = "a-zA-Z0-9áéíóúÁÉÍÓÚñÑ" if keep_accents else "a-zA-Z0-9"
-    kept = F.regexp_replace(col, rf"[^{letters}\s]+", "")
-    return F.lower(F.regexp_replace(kept, r"\s+", "_"))
+    letters = _LETTERS + _ACCENTED if keep_accents else _LETTERS
+    kept = F.regexp_replace(col, f"[^{letters}{_BLANKS}]+", "")
+    return F.lower(F.regexp_replace(kept, rf"[{_BLANKS}]+", "_"))
 
 
 def unquote(col: Column) -> Column:

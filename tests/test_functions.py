@@ -1,6 +1,8 @@
 """Names, text, dates, numbers and rule lists on hand-made rows."""
 
 import math
+import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -44,6 +46,21 @@ def test_slug_forms(spark):
     assert evaluate(spark, ["Cólera, no especificado"], "string", lambda c: tx.slug(c, True)) == ["cólera_no_especificado"]
 
 
+def test_slugs_of_any_characters(spark):
+    draw = random.Random(5)
+    every = [chr(c) for c in [*range(0x300), *range(0x2000, 0x2070), 0x3000, 0xFEFF, 0xFFFD, 0x1F600, 0x10FFFF]]
+    texts = ["".join(every), *["".join(draw.choices([*" \t\n\x0b\f\r", *"aZ9_-éÑü", *every], k=60)) for _ in range(300)], "", None]
+    for keep in (False, True):
+        gone = re.compile(f"[^a-zA-Z0-9 \t\n\x0b\f\r{'áéíóúÁÉÍÓÚñÑ' if keep else ''}]+")
+        want = [t if t is None else re.sub("[ \t\n\x0b\f\r]+", "_", gone.sub("", t)).lower() for t in texts]
+        assert evaluate(spark, texts, "string", lambda c: tx.slug(c, keep)) == want  # noqa: B023
+
+
+def test_slugs_look_characters_up(spark):
+    """Ranges in the class cost six times the time of single characters."""
+    assert all("a-z" not in str(tx.slug(F.col("t"), keep)) and "\\s" not in str(tx.slug(F.col("t"), keep)) for keep in (False, True))
+
+
 def test_text_helpers(spark):
     assert evaluate(spark, ["45 años", "NI", None, "3 de 7"], "string", tx.first_number) == [45, None, None, 3]
     assert evaluate(spark, ['"a"', "b"], "string", tx.unquote) == ["a", "b"]
