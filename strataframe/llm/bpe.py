@@ -25,8 +25,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-# what a worker remembers is bounded: the first so many words, pieces and pairs of tokens, and no long ones
-LONGEST_KEPT, WORDS_KEPT, PIECES_KEPT, PAIRS_KEPT = 48, 700_000, 100_000, 1_000_000
+# what a worker remembers is bounded: the first so many words that come again, pieces and pairs of tokens, and no long ones;
+# workers of other operators keep it, as Spark hands the same processes on
+LONGEST_KEPT, WORDS_KEPT, PIECES_KEPT, PAIRS_KEPT = 48, 200_000, 50_000, 250_000
+SEEN_BITS = 21  # a mark per hash of a word tells that it came before
 BATCH_BYTES = 8 << 20
 
 
@@ -178,6 +180,7 @@ class Words(dict):
     def __init__(self, pieces: Encoder):
         super().__init__()
         self.pieces = pieces
+        self.seen = bytearray(1 << SEEN_BITS)
 
     def __missing__(self, word: str) -> bytes:
         if word.isalpha():
@@ -186,7 +189,11 @@ class Words(dict):
             first, *rest = self.pieces.pattern.findall(" " + word)
             packed = (self[first[1:]] if first[1:].isalpha() else self.pieces[first]) + b"".join(map(self.pieces.__getitem__, rest))
         if len(word) <= LONGEST_KEPT and len(self) < WORDS_KEPT:
-            self[word] = packed
+            place = hash(word) & (1 << SEEN_BITS) - 1
+            if self.seen[place]:
+                self[word] = packed
+            else:
+                self.seen[place] = 1
         return packed
 
 

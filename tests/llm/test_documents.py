@@ -445,3 +445,10 @@ def test_quality_groups_lean_on_their_language(spark):
     assert got["*"] == (1000, 3000, 3000) and got["=en"] == (400 + p, en, en) and np.isclose(got["=de"][1], 9 + p * 3.0)
     assert np.isclose(got["=en\x00=web"][1], 780 + p * en / (400 + p)) and np.isclose(got["=en\x00-"][1], 100 + p * en / (400 + p))
     assert np.isclose(got["=de\x00=web"][1] / got["=de\x00=web"][0], 3, atol=0.1) and len(got) == 6
+
+
+def test_encoder_forgets_words_that_stand_once():
+    own = encoder()
+    once = [own.encode(f"a zq{i}x zebra") for i in range(2_000)]
+    assert "zebra" in own.words and len(own.words) < 50
+    assert once == [own.encode(f"a zq{i}x zebra") for i in range(2_000)]
