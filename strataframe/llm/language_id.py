@@ -6,10 +6,10 @@ counts follow from the distinct n-grams of the next order, discounts from the n-
 once and twice.  Counts and probabilities are tables with one row per n-gram of any document and a
 value for each language, filled order by order.  A word's log probability is the sum over its
 n-grams; that of a text is the sum over its words, of which the commonest are looked up inside
-tasks and the others are joined.  A text's cross-entropy under a language is the mean over the
-characters of its words; the lowest wins.  The score is the posterior at the temperature that fits
-the documents learned from best; ``rejected`` marks texts whose cross-entropy lies far above that
-of its language's documents, given its length.
+tasks and the others are joined, in ``PASSES`` shares one after another.  A text's cross-entropy
+under a language is the mean over the characters of its words; the lowest wins.  The score is the
+posterior at the temperature that fits the documents learned from best; ``rejected`` marks texts
+whose cross-entropy lies far above that of its language's documents, given its length.
 
 Null texts and texts without a letter are ``und`` with score 0; all of a text is read; documents
 without language or doc_id are not learned from; with nothing to learn from every text is
@@ -19,25 +19,23 @@ columns other than doc_id, text and lang are ignored.
 
 from __future__ import annotations
 
-import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
-from functools import lru_cache
-from itertools import groupby
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strataframe.llm.common import drop_staged, staged
 
 ORDER, BITS = 5, 12
 LETTERS = 1 << BITS  # letters of higher code points share the last quarter
-WORD = re.compile(r"[^\W\d_]+")  # runs of letters, and of numerals that are no decimal digits
 COMMON, COMMON_CHARS = 50_000, 64  # words looked up inside tasks and their length; all others are joined, with the same result
 UNIT = 1e8  # log probabilities are summed as whole numbers of this fraction, so no order of rows changes a sum
 TEMPERATURES = (0.5, 1.0, 2.0, 4.0, 8.0, 16.0, 32.0, 64.0)
+PASSES = 2  # joins by word and n-gram take the words in so many shares, so only one share's rows lie in shuffles at once
 
 
 @lru_cache(maxsize=1)
@@ -64,13 +62,15 @@ def grams(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return packed, np.cumsum(points == 10)[use] - (points == 10)[use]
 
 
-def letter_words(text: str) -> Iterator[str]:
+@lru_cache(maxsize=1)
+def is_letter() -> np.ndarray:
+    return letter_ids() > 0
+
+
+def letter_words(text: str) -> list[str]:
     """The runs of letters of a text, in small letters."""
-    for word in WORD.findall(text.lower()):
-        if word.isalpha():
-            yield word
-        else:
-            yield from ("".join(run) for letters, run in groupby(word, str.isalpha) if letters)
+    points = np.frombuffer(text.lower().encode("utf-32-le"), np.uint32)
+    return str(np.where(is_letter()[points], points, np.uint32(32)), "utf-32-le").split()
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,8 +187,13 @@ def probabilities(counts: DataFrame, size: int) -> DataFrame:
     return out
 
 
-def word_scores(docs: DataFrame) -> tuple[list[str], DataFrame | None]:
-    """The languages, sorted, and each word of any document with its count, characters and log probability under every language.
+def share_of(word: str) -> Column:
+    """The share, from 0, in which a word is scored."""
+    return F.pmod(F.xxhash64(word), F.lit(PASSES))
+
+
+def word_scores(docs: DataFrame) -> tuple[list[str], list[DataFrame]]:
+    """The languages, sorted, and each word of any document with its count, characters and log probability under every language, share by share.
 
     The languages are learned from the documents that are ``learned`` and have a language.
     """
@@ -196,16 +201,19 @@ def word_scores(docs: DataFrame) -> tuple[list[str], DataFrame | None]:
     counts = staged(rows.mapInArrow(_count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")), "language-words")
     langs = sorted(r.lang for r in counts.filter("lang is not null").select("lang").distinct().collect())
     if not langs:
-        return [], None
+        return [], []
     per_language = [F.sum(F.when(F.col("lang") == i, F.col("n")).otherwise(0)).alias(f"n{i}") for i in range(len(langs))]
     grams_ = staged(counts.mapInArrow(_language_grams(langs), "lang long, gram long, n long").groupBy("gram").agg(*per_language), "language-grams")
     p = probabilities(grams_, len(langs))
 
     words = staged(counts.groupBy("word").agg(F.sum("n").alias("n")).withColumn("id", F.monotonically_increasing_id()), "language-vocabulary")
     whole = [F.sum(F.round(F.log(F.get("p", F.lit(i))) * UNIT).cast("long")).alias(f"s{i}") for i in range(len(langs))]
-    scored = words.mapInArrow(_word_grams, "id long, gram long").join(p, "gram").groupBy("id").agg(F.count(F.lit(1)).alias("chars"), *whole)
-    scores = words.join(scored, "id").select("word", "n", "chars", F.array(*[f"s{i}" for i in range(len(langs))]).alias("logs"))
-    scores = staged(scores, "language-scores")
+    scores = []
+    for i in range(PASSES):
+        share = words.filter(share_of("word") == i)
+        scored = share.mapInArrow(_word_grams, "id long, gram long").join(p, "gram").groupBy("id").agg(F.count(F.lit(1)).alias("chars"), *whole)
+        rows = share.join(scored, "id").select("word", "n", "chars", F.array(*[f"s{i}" for i in range(len(langs))]).alias("logs"))
+        scores.append(staged(rows, "language-scores"))
     drop_staged(counts, p, words)
     return langs, scores
 
@@ -247,22 +255,27 @@ def commonest(scores: DataFrame) -> DataFrame:
     return short.filter(step >= least) if least is not None else short.limit(0)
 
 
-def entropies(docs: DataFrame, scores: DataFrame, size: int) -> DataFrame:
+def entropies(docs: DataFrame, scores: list[DataFrame], size: int) -> DataFrame:
     """The documents with their characters and cross-entropy under every language, null without characters."""
-    common = commonest(scores).collect()
+    common = commonest(reduce(DataFrame.unionAll, scores)).collect()
     held = ({r.word: i for i, r in enumerate(common)}, np.array([r.chars for r in common], np.int64), np.array([r.logs for r in common], np.int64).reshape(-1, size))
     kind = f"id long, doc_id {dict(docs.dtypes)['doc_id']}, lang string, held_out boolean, learned boolean, chars long, logs array<long>, rest array<string>, times array<long>"
     parts = docs.withColumn("id", F.monotonically_increasing_id()).mapInArrow(_known_words(docs.sparkSession.sparkContext.broadcast(held), size), kind)
     parts = staged(parts, "language-parts")
     each = parts.select("id", F.explode(F.arrays_zip("rest", "times")).alias("e")).select("id", F.col("e.rest").alias("word"), F.col("e.times").alias("times"))
     own = [F.sum(F.col("times") * F.get("logs", F.lit(i))).alias(f"r{i}") for i in range(size)]
-    other = each.join(scores.select("word", "chars", "logs"), "word").groupBy("id").agg(F.sum(F.col("times") * F.col("chars")).alias("more"), *own)
+    others = []
+    for i, share in enumerate(scores):
+        found = each.filter(share_of("word") == i).join(share.select("word", "chars", "logs"), "word")
+        others.append(staged(found.groupBy("id").agg(F.sum(F.col("times") * F.col("chars")).alias("more"), *own), "language-others"))
+        drop_staged(share)
+    other = reduce(DataFrame.unionAll, others).groupBy("id").agg(*[F.sum(c).alias(c) for c in ("more", *[f"r{i}" for i in range(size)])])
     both = parts.drop("rest", "times").join(other, "id", "left")
     chars = F.col("chars") + F.coalesce("more", F.lit(0))
     means = [-(F.get("logs", F.lit(i)) + F.coalesce(f"r{i}", F.lit(0))) / (UNIT * chars) for i in range(size)]
     out = both.select("doc_id", "lang", "held_out", "learned", chars.alias("chars"), F.when(chars > 0, F.array(*means)).alias("entropy"))
     out = staged(out, "language-entropies")
-    drop_staged(parts, scores)
+    drop_staged(parts, *others)
     return out
 
 
@@ -274,7 +287,7 @@ def identify(docs: DataFrame) -> DataFrame:
     fold = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5))
     docs = docs.select("doc_id", "text", "lang", F.coalesce(fold == 0, F.lit(False)).alias("held_out"), F.coalesce(fold != 0, F.lit(False)).alias("learned"))
     langs, scores = word_scores(docs)
-    if scores is None:
+    if not langs:
         return docs.select("doc_id", "held_out", F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(True).alias("rejected"), F.lit(None).cast("double").alias("cross_entropy"))
     scored = entropies(docs, scores, len(langs))
 

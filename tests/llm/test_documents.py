@@ -4,6 +4,8 @@ import random
 from array import array
 from collections import Counter, defaultdict
 from hashlib import sha256
+from itertools import groupby
+from pathlib import Path
 
 import duckdb
 import numpy as np
@@ -12,7 +14,8 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from strataframe.llm import bpe, jaccard, language_id, licenses, mixing, quality, secret_scan, substrings
+from strataframe.llm import bpe, common, jaccard, language_id, licenses, mixing, quality, secret_scan, substrings
+from strataframe.session import shared_dir
 
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long, words long, id string, n string"
 LONG = " ".join(f"word{i % 977}" for i in range(30_000))
@@ -338,6 +341,43 @@ def test_language_counts_every_gram(spark):
         assert got[i].cross_entropy == pytest.approx(min(want.values()), abs=1e-6)
 
 
+def test_language_disk(spark, monkeypatch):
+    """Words that are nearly all different: the shuffles of one step and all staged tables beside them, against the texts."""
+    rng = random.Random(7)
+    syllables = [a + b for a in "bdfgklmnpr" for b in "aeou"]
+    rows = [(i, " ".join("".join(rng.choice(syllables[i % 2 :: 2]) for _ in range(5)) for _ in range(200)), ("aa", "bb")[i % 2]) for i in range(300)]
+    monkeypatch.setattr(language_id, "COMMON", 100)
+    monkeypatch.setattr(common, "SHUFFLE_CLEANUP", "strataframe.test.shuffles.stay")
+    shuffles = [str(x) for x in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    stored = [shared_dir(spark)]
+    size = lambda folders: sum(f.stat().st_size for x in folders for f in Path(x).rglob("*") if f.suffix in (".data", ".parquet"))
+    start, disk = size(stored), []
+
+    def measured(df, name):
+        before = size(shuffles)
+        held = common.staged(df, name)
+        disk.append(size(shuffles) - before + size(stored) - start)
+        return held
+
+    monkeypatch.setattr(language_id, "staged", measured)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with tables too large for it
+    try:
+        got = language_id.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(8)).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(got) == 300 and all(r.lang_pred == rows[r.doc_id][2] for r in got)
+    assert max(disk) < 13 * sum(len(text) for _, text, _ in rows)  # 19.1 times with all words in one pass
+
+
+def test_letter_words():
+    """Runs of letters at every place where a text may break, against a test of each character."""
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for text in ("", " 1_", "x\u00b2y \u0130 \u03a3\u03a3\u0345\u2167z", "a" + "b".join(points) + "".join(points)):
+        want = ["".join(run) for letters, run in groupby(text.lower(), str.isalpha) if letters]
+        assert list(language_id.letter_words(text)) == want
+
+
 def test_jaccard_width_and_percent(spark):
     rng = random.Random(8)
     rows = []
